@@ -1,0 +1,116 @@
+"""The driver tables seen as frames, detections, faces, images and a gallery.
+
+One order is a frame, one line of it a detected face, and an embedding vector
+is an embedded face. ``ORACLE`` states the same views in SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from castframe.functions.boxes import pack_box
+from castframe.operators.numbering import assign_face_ids
+from castframe.session import materialize
+
+INPUT_ROOT = "/frames"
+OUTPUT_ROOT = "/embeddings"
+
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _text(value) -> F.Column:
+    return value.cast("string")
+
+
+def frame_path(key, suffix=None) -> F.Column:
+    shot = F.floor(key / 100).cast("bigint")
+    return F.concat(
+        F.lit("/frames/movie_"), _text(key % 3), F.lit("/shot_"), _text(shot), F.lit("/"), _text(key % 4), F.lit("/"),
+        _text(key), F.lit(".jpg") if suffix is None else suffix,
+    )
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    suffix = F.when(key % 50 == 49, ".JPG").when(key % 50 == 48, ".txt").otherwise(".jpg")
+    length = F.when(key % 40 == 7, 52428801).when(key % 40 == 8, 52428800).otherwise(1000 + key).cast("bigint")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("movie_"), _text(key % 3)).alias("movie"), frame_path(key, suffix).alias("path"), length.alias("length")
+    )
+
+
+def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections without ids, with the line columns that give their order."""
+    lines = table(spark, sf_dir, "lineitem")
+    x = (F.col("l_partkey") % 1200).cast("double") + F.col("l_discount")
+    y = (F.col("l_suppkey") % 650).cast("double") + F.col("l_discount")
+    return lines.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.concat(F.lit("movie_"), _text(F.col("l_orderkey") % 3)).alias("movie"),
+        frame_path(F.col("l_orderkey")).alias("image_path"),
+        x.alias("x1"), y.alias("y1"),
+        (x + 20 + F.col("l_quantity")).alias("x2"), (y + 20 + F.col("l_quantity")).alias("y2"),
+        (F.lit(1.0) - F.col("l_discount") * 5).alias("confidence"),
+    )
+
+
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def number_detections(raw: DataFrame) -> DataFrame:
+    return assign_face_ids(raw, [F.col(c) for c in LINE_ORDER]).drop(*LINE_ORDER)
+
+
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detections table with ids, stored once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = materialize(number_detections(raw_detections(spark, sf_dir)), "detections")
+    return _stored[key]
+
+
+def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("vec_id")
+    frame = F.floor(v / 2).cast("bigint")
+    x, y = (v * 37 % 1200).cast("double"), (v * 53 % 650).cast("double")
+    path = F.concat(
+        F.lit("/frames/movie_"), _text(frame % 3), F.lit("/shot_"), _text(F.floor(v / 20).cast("bigint")), F.lit("/"),
+        _text(frame % 4), F.lit("/"), _text(frame), F.lit(".jpg"),
+    )
+    return table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("movie_"), _text(frame % 3)).alias("movie"),
+        v.alias("face_id"), "embedding", path.alias("image_path"),
+        pack_box(x + 0.75, y + 0.25, x + 40.75, y + 50.25).alias("bbox"),
+        (F.lit(0.5) + (v % 50).cast("double") / 100).alias("confidence"),
+    )
+
+
+def gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first vector of each label, as the reference vector of one actor."""
+    first = table(spark, sf_dir, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    label = F.col("label")
+    name = F.concat(F.lit("actor_"), _text(label), F.lit("_face_0"))
+    styled = label % 3 == 0
+    return first.select(
+        F.concat(F.lit("movie_"), _text(label % 3)).alias("movie"),
+        label.cast("int").alias("actor_ord"),
+        F.concat(F.lit("/gallery/"), name, F.lit(".pkl")).alias("embedding_path"),
+        "embedding",
+        F.when(label % 2 == 0, F.concat(F.lit("Actor "), _text(label))).alias("display_name"),
+        F.when(styled, F.struct((label * 20).cast("int").alias("r"), F.lit(50).alias("g"), F.lit(50).alias("b"))).alias("color"),
+        F.when(styled, F.lit("white")).alias("text_color"),
+    )
+
+
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images that hold embedded faces, with their sizes."""
+    frame = F.regexp_extract("image_path", r"/([0-9]+)\.jpg$", 1).cast("bigint")
+    length = F.when(frame % 40 == 7, 52428801).otherwise(52428800).cast("bigint")
+    return faces(spark, sf_dir).select("image_path").distinct().select(
+        "image_path", F.lit(1280).alias("width"), F.lit(720).alias("height"), length.alias("length")
+    )
