@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,7 @@ SCORES = T.ArrayType(
 )
 
 
-@dataclass
-class Block:
+class Block(NamedTuple):
     """Gallery vectors of bounded size: one unit-row matrix per movie."""
 
     dims: int

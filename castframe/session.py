@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{workspace(df.sparkSession)}/castframe/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send packages of this repository to the executors, once per application.
+
+    The same as ``--py-files`` on submission, for drivers that do without.
+    """
+    root = Path(__file__).resolve().parent.parent
+    for package in packages or ("castframe",):
+        key = (spark.sparkContext.applicationId, package)
+        if key not in _shipped:
+            archive = f"{tempfile.mkdtemp(prefix='castframe-ship-')}/{package}"
+            spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", root, package))
+            _shipped.add(key)

@@ -1,7 +1,7 @@
 """The driver tables seen as frames, detections, faces, images and a gallery.
 
 One order is a frame, one line of it a detected face, and an embedding vector
-is an embedded face. ``ORACLE`` states the same views in SQL.
+is an embedded face. ``workload.oracle`` states the same views in SQL.
 """
 
 from __future__ import annotations
@@ -114,3 +114,64 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return faces(spark, sf_dir).select("image_path").distinct().select(
         "image_path", F.lit(1280).alias("width"), F.lit(720).alias("height"), length.alias("length")
     )
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One embedding record per detection; most hold no vector."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("face_id"), "embedding")
+    return detections(spark, sf_dir).join(vectors, "face_id", "left")
+
+
+def done(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """The detections that already have an embedding."""
+    keys = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("face_id"))
+    return detections(spark, sf_dir).join(keys, "face_id", "left_semi").withColumn("model", F.lit(model))
+
+
+def config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration row per movie, from the gallery."""
+    actor = F.struct("actor_ord", "embedding_path", "actor_name", "display_name", "color", "text_color")
+    named = gallery(spark, sf_dir).withColumn("actor_name", F.regexp_extract("embedding_path", "([^/]+)[.]pkl$", 1))
+    grouped = named.groupBy("movie").agg(F.array_sort(F.collect_list(actor)).alias("actors"))
+
+    def lookup(key, value):
+        known = F.filter("actors", lambda a: a[value].isNotNull())
+        return F.map_from_entries(F.transform(known, lambda a: F.struct(key(a).alias("key"), a[value].alias("value"))))
+
+    return grouped.select(
+        "movie",
+        F.concat(F.lit("/frames/"), "movie").alias("frames_dir"),
+        F.concat(F.lit("/out/"), "movie").alias("output_dir"),
+        F.transform("actors", lambda a: a.embedding_path).alias("actor_embeddings"),
+        lookup(lambda a: F.concat(a.actor_name, F.lit(".pkl")), "display_name").alias("actor_names"),
+        lookup(lambda a: a.actor_name, "color").alias("actor_colors"),
+        lookup(lambda a: a.actor_name, "text_color").alias("actor_text_colors"),
+    )
+
+
+def pixel_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as an 8 x 8 grey image; those of label 0 are unreadable."""
+    digits = F.transform("embedding", lambda x: F.lpad(F.hex(F.floor((x.cast("double") + 1) * 127).cast("bigint")), 2, "0"))
+    readable = F.col("label") != 0
+    return table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("/pixels/"), _text(F.col("vec_id")), F.lit(".png")).alias("image_path"),
+        F.struct(
+            F.concat(F.lit("/pixels/"), _text(F.col("vec_id")), F.lit(".png")).alias("origin"),
+            F.when(readable, 8).otherwise(-1).alias("height"),
+            F.when(readable, 8).otherwise(-1).alias("width"),
+            F.when(readable, 1).otherwise(-1).alias("nChannels"),
+            F.when(readable, 0).otherwise(-1).alias("mode"),
+            F.when(readable, F.unhex(F.array_join(digits, ""))).otherwise(F.unhex(F.lit(""))).alias("data"),
+        ).alias("image"),
+    )
+
+
+def pixel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box on each of those images; some reach over its border."""
+    v = F.col("vec_id")
+    x, y = (v % 7).cast("double") - 1.5, (v % 5).cast("double") - 0.5
+    return table(spark, sf_dir, "embeddings").select(
+        v.alias("face_id"),
+        F.concat(F.lit("/pixels/"), _text(v), F.lit(".png")).alias("image_path"),
+        x.alias("x1"), y.alias("y1"), (x + 3 + v % 4).alias("x2"), (y + 2 + v % 3).alias("y2"),
+    )
