@@ -9,15 +9,15 @@ Which device a model uses is its own business; ``profile`` takes a Spark
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castframe.functions.boxes import pack_box
+from castframe.functions.boxes import CORNERS, pack_box
 from castframe.schema import DETECTION_BATCH, DETECTIONS, EMBEDDING_BATCH, FACE_EMBEDDINGS
 from castframe.sources.images import rgb_pixels
 
@@ -35,21 +35,13 @@ def _model(factory: Callable[[], Any], key: str | None) -> Any:
     return _kept_models[key]
 
 
-def in_batches(frames: Iterable[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """The same rows, in frames of exactly ``size`` rows but for the last one."""
-    held: list[pd.DataFrame] = []
-    rows = 0
-    for frame in frames:
-        while len(frame):
-            piece = frame.iloc[: size - rows]
-            frame = frame.iloc[len(piece) :]
-            held.append(piece)
-            rows += len(piece)
-            if rows == size:
-                yield pd.concat(held, ignore_index=True)
-                held, rows = [], 0
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def spread(rows: DataFrame, tasks: int | None, *keys: Column) -> DataFrame:
+    """Hash rows to a fixed number of tasks.
+
+    The number is explicit because adaptive execution would otherwise merge
+    the tasks by their few bytes, though each row means opening an image.
+    """
+    return rows.repartition(tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def detect(
@@ -58,29 +50,46 @@ def detect(
     batch_size: int = DETECTION_BATCH,
     model_key: str | None = None,
     profile: Any = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One row per detected face; a frame without faces gives none.
 
     The detector gets a batch of frame rows and returns, for each of them, a
     list of ``(x1, y1, x2, y2, confidence)``. ``det_no`` counts the faces of a
-    frame from 0. The frames are not shuffled. An exception in the detector
-    fails the job.
+    frame from 0. An exception in the detector fails the job.
+
+    A listing is small next to the work it stands for, so its rows are spread
+    over ``tasks`` first. Frames that carry their ``content`` stay where they
+    are read.
     """
+    if "content" not in frames.columns:
+        frames = spread(frames, tasks, F.col("path"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detector = None
-        for batch in in_batches(batches, batch_size):
+        for batch in batches:
             detector = detector or _model(detector_factory, model_key)
-            found = detector(batch)
-            if len(found) != len(batch):
-                raise ValueError(f"the detector returned {len(found)} results for {len(batch)} frames")
-            rows = [
-                (movie, path, number, *(float(v) for v in face))
-                for movie, path, faces in zip(batch["movie"], batch["path"], found)
-                for number, face in enumerate(faces)
-            ]
-            if rows:
-                yield pd.DataFrame(rows, columns=DETECTIONS.fieldNames())
+            found = []
+            for at in range(0, len(batch), batch_size):
+                some = batch.iloc[at : at + batch_size]
+                result = detector(some)
+                if len(result) != len(some):
+                    raise ValueError(f"the detector returned {len(result)} results for {len(some)} frames")
+                found.extend(result)
+            counts = np.array([len(faces) for faces in found])
+            if not counts.sum():
+                continue
+            values = np.array([face for faces in found for face in faces], np.float64)
+            frame = np.repeat(np.arange(len(batch)), counts)
+            numbers = np.arange(len(frame)) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield pd.DataFrame(
+                {
+                    "movie": batch["movie"].to_numpy()[frame],
+                    "image_path": batch["path"].to_numpy()[frame],
+                    "det_no": numbers,
+                    **dict(zip((*CORNERS, "confidence"), values.T)),
+                }
+            )
 
     return frames.mapInPandas(run, DETECTIONS, profile=profile)
 
@@ -93,7 +102,7 @@ def pending_embeddings(detections: DataFrame, done: DataFrame, model: str) -> Da
 
 def crop(pixels: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
     """Cut a box out. Corners round half to even; outside the image is zero."""
-    left, top, right, bottom = (int(v) for v in np.rint(box))
+    left, top, right, bottom = (round(float(v)) for v in box)
     if right < left or bottom < top:
         raise ValueError(f"box has no area: {box}")
     height, width = pixels.shape[:2]
@@ -141,6 +150,32 @@ def crop_faces(detections: DataFrame) -> DataFrame:
     return detections.where(F.col("image.height") > 0).select(*columns).mapInPandas(run, schema)
 
 
+def _message(problem: Exception) -> str:
+    return f"{type(problem).__name__}: {problem}"
+
+
+class _Opened:
+    """The image opened last, or the error of opening it: rows come sorted by image."""
+
+    def __init__(self, read_image: Callable[[str], np.ndarray] | None):
+        self.read_image = read_image
+        self.path: str | None = None
+        self.held: np.ndarray | Exception | None = None
+
+    def pixels(self, picture: Any) -> np.ndarray:
+        if self.read_image is None:
+            return rgb_pixels(picture)
+        if picture != self.path or self.held is None:
+            self.path = picture
+            try:
+                self.held = self.read_image(picture)
+            except Exception as problem:
+                self.held = problem
+        if isinstance(self.held, Exception):
+            raise self.held
+        return self.held
+
+
 def embed(
     detections: DataFrame,
     embedder_factory: Callable[[], Callable[[list[np.ndarray]], Any]],
@@ -163,55 +198,38 @@ def embed(
     that cannot be read becomes an ``error`` row. If the model fails, all rows
     of its batch become ``error`` rows, and a later run takes them up again.
     """
-    columns = ["movie", "face_id", "image_path", "x1", "y1", "x2", "y2", "confidence"]
+    columns = ["movie", "face_id", "image_path", *CORNERS, "confidence"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embedder = None
-        opened: tuple[str | None, np.ndarray | None, str | None] = (None, None, None)
-        for batch in in_batches(batches, batch_size):
-            crops, places = [], []
+        opened = _Opened(read_image)
+        for batch in batches:
             vectors: list = [None] * len(batch)
             errors: list = [None] * len(batch)
-            for place, row in enumerate(batch.itertuples(index=False)):
-                try:
-                    if read_image is None:
-                        pixels = rgb_pixels(row.image)
-                    else:
-                        if opened[0] != row.image_path:
-                            try:
-                                opened = (row.image_path, read_image(row.image_path), None)
-                            except Exception as problem:
-                                opened = (row.image_path, None, f"{type(problem).__name__}: {problem}")
-                        if opened[2] is not None:
-                            errors[place] = opened[2]
-                            continue
-                        pixels = opened[1]
-                    crops.append(crop(pixels, (row.x1, row.y1, row.x2, row.y2)))
-                    places.append(place)
-                except Exception as problem:
-                    errors[place] = f"{type(problem).__name__}: {problem}"
-            if crops:
+            pictures = batch["image_path"] if read_image else batch["image"]
+            boxes = batch[[*CORNERS]].to_numpy(np.float64)
+            for at in range(0, len(batch), batch_size):
+                crops, places = [], []
+                for place in range(at, min(at + batch_size, len(batch))):
+                    try:
+                        crops.append(crop(opened.pixels(pictures.iat[place]), boxes[place]))
+                        places.append(place)
+                    except Exception as problem:
+                        errors[place] = _message(problem)
+                if not crops:
+                    continue
                 try:
                     embedder = embedder or _model(embedder_factory, model_key)
                     result = embedder(crops)
                     if len(result) != len(crops):
                         raise ValueError(f"the model returned {len(result)} vectors for {len(crops)} crops")
-                    for place, vector in zip(places, result):
-                        vectors[place] = np.asarray(vector, np.float32)
+                    for place, vector in zip(places, np.asarray(result, np.float32)):
+                        vectors[place] = vector
                 except Exception as problem:
                     for place in places:
-                        vectors[place], errors[place] = None, f"{type(problem).__name__}: {problem}"
-            yield pd.DataFrame(
-                {
-                    "movie": batch["movie"],
-                    "face_id": batch["face_id"],
-                    "image_path": batch["image_path"],
-                    **{c: batch[c] for c in ("x1", "y1", "x2", "y2")},
-                    "confidence": batch["confidence"],
-                    "embedding": vectors,
-                    "status": ["error" if e is not None else "saved" for e in errors],
-                    "error": errors,
-                }
+                        vectors[place], errors[place] = None, _message(problem)
+            yield batch[columns].assign(
+                embedding=vectors, status=["saved" if e is None else "error" for e in errors], error=errors
             )
 
     schema = (
@@ -224,13 +242,11 @@ def embed(
         # Ids are dense in image order, so an image has few or many id ranges
         # according to its number of faces.
         keys = [F.col("image_path"), F.expr(f"face_id div {FACES_PER_READ}")]
-        rows = detections.select(*columns)
-        rows = rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)
-        rows = rows.sortWithinPartitions("image_path", "face_id")
+        rows = spread(detections.select(*columns), tasks, *keys).sortWithinPartitions("image_path", "face_id")
     embedded = rows.mapInPandas(run, schema, profile=profile)
     return embedded.select(
         "movie", "face_id", "embedding", F.lit(model).alias("model"),
-        pack_box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("bbox"),
+        pack_box(*[F.col(c) for c in CORNERS]).alias("bbox"),
         "confidence", "image_path", "status", "error",
     ).select(*FACE_EMBEDDINGS.fieldNames())
 

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from castframe.operators.inference import spread
 from castframe.schema import BOX_WIDTH
 
 _RESULT = "frame_image_path string, save_path string, status string, faces_drawn long, error string, height int, width int, channels int, pixels binary"
@@ -74,6 +75,7 @@ def render(
     keep_pixels: bool = False,
     usable: DataFrame | None = None,
     profile: Any = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Open every image of the plan once, draw its boxes in order, hand it on.
 
@@ -100,11 +102,8 @@ def render(
         rows = rows.join(ok, "frame_image_path", "left_semi")
     factory = renderer_factory or outline_renderer
     columns = [c for c in rows.columns if c != "color"]
-    rows = (
-        rows.select(*columns, "color.r", "color.g", "color.b")
-        .repartition("frame_image_path")
-        .sortWithinPartitions("frame_image_path", "actor_ord", "rank")
-    )
+    rows = spread(rows.select(*columns, "color.r", "color.g", "color.b"), tasks, F.col("frame_image_path"))
+    rows = rows.sortWithinPartitions("frame_image_path", "actor_ord", "rank")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         draw = None

@@ -393,10 +393,11 @@ def embed_with_stub(spark, sf_dir):
 
 
 def _rendered(spark, sf_dir):
-    matches = _matches(spark, sf_dir)
+    """Drawing starts from stored matches: they are read for the plan and for the images."""
+    matches = materialize(annotate.above_threshold(_matches(spark, sf_dir), THRESHOLD), "matches")
     plan = annotate.annotation_plan(matches, fx.gallery(spark, sf_dir), THRESHOLD)
     listing = fx.images(spark, sf_dir).select(F.col("image_path").alias("path"), "length")
-    usable = annotate.annotatable_images(annotate.above_threshold(matches, THRESHOLD), listing)
+    usable = materialize(annotate.annotatable_images(matches, listing), "usable")
     return render.render(plan, stubs.blank_frame, usable=usable)
 
 
