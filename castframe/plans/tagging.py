@@ -17,7 +17,7 @@ from castframe.operators.annotate import annotation_plan
 from castframe.operators.inference import detect, embed, pending_embeddings
 from castframe.operators.numbering import assign_face_ids
 from castframe.operators.search import match_faces
-from castframe.schema import DETECTION_BATCH, EMBEDDING_BATCH, FACE_EMBEDDINGS, SIMILARITY_THRESHOLD
+from castframe.schema import DETECTION_BATCH, EMBEDDING_BATCH, SIMILARITY_THRESHOLD, STAGES
 from castframe.session import materialize
 from castframe.sinks.tables import save_detections, save_embeddings, save_matches
 from castframe.sources.frames import image_frames
@@ -56,15 +56,14 @@ class TaggingRun:
         self.spark = spark
         self.settings = settings
         folder = folder.rstrip("/")
-        self.paths = {name: f"{folder}/{name}" for name in ("detections", "embeddings", "matches", "annotation_plan")}
+        self.paths = {name: f"{folder}/{name}" for name in STAGES}
         self.redetected = False
         self.embedding_counts: dict[str, int] = {}
 
     def _table(self, name: str) -> DataFrame:
         if not table_exists(self.spark, self.paths[name]):
             raise FileNotFoundError(f"the {name} table is missing: {self.paths[name]}")
-        reader = self.spark.read.schema(FACE_EMBEDDINGS) if name == "embeddings" else self.spark.read
-        return reader.parquet(self.paths[name])
+        return self.spark.read.schema(STAGES[name]).parquet(self.paths[name])
 
     def detections(self, frames: DataFrame, detector_factory: Callable[[], Any]) -> DataFrame:
         if not (self.settings.skip_detection and table_exists(self.spark, self.paths["detections"])):

@@ -94,6 +94,32 @@ MATCHES = T.StructType(
     ]
 )
 
+ANNOTATION_PLAN = T.StructType(
+    [
+        T.StructField("movie", T.StringType()),
+        T.StructField("frame_image_path", T.StringType()),
+        T.StructField("save_path", T.StringType()),
+        T.StructField("actor_ord", T.IntegerType()),
+        T.StructField("rank", T.LongType()),
+        T.StructField("face_id", T.LongType()),
+        *[T.StructField(c, T.IntegerType()) for c in ("x1", "y1", "x2", "y2")],
+        T.StructField("label", T.StringType()),
+        *[T.StructField(c, T.IntegerType()) for c in ("text_x", "text_y", "back_x2", "back_y2")],
+        T.StructField("color", COLOR),
+        T.StructField("text_color", T.StringType()),
+    ]
+)
+
+# The tables between the stages of a run.
+STAGES = {
+    "detections": T.StructType([*DETECTIONS.fields, T.StructField("face_id", T.LongType())]),
+    "embeddings": FACE_EMBEDDINGS,
+    "matches": T.StructType(
+        [T.StructField("movie", T.StringType()), T.StructField("actor_ord", T.IntegerType()), *MATCHES.fields]
+    ),
+    "annotation_plan": ANNOTATION_PLAN,
+}
+
 # One JSON object per movie.
 CONFIG = T.StructType(
     [
