@@ -11,13 +11,19 @@ there is nothing to save.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castframe.functions.vectors import cosine, l2_norm, scaled
-from castframe.operators.search import _as_matches
+from castframe.operators.search import _as_matches, _rank_best
+
+
+MAX_TABLE_BYTES = 64 << 20  # of hashed gallery rows broadcast at once
 
 
 def match_faces_lsh(
@@ -27,43 +33,48 @@ def match_faces_lsh(
     tables: int = 16,
     bucket: float = 0.5,
     seed: int = 42,
+    max_bytes: int = MAX_TABLE_BYTES,
 ) -> DataFrame:
     """The k best faces per actor among those that share a hash bucket.
 
-    A face meets an actor in as many tables as they share. The pair is kept
-    only in the first of them, which both sides' hash lists tell without
-    another shuffle.
+    The faces are hashed where they are and meet a broadcast gallery, so they
+    are not shuffled. A gallery whose hashed rows exceed ``max_bytes`` takes
+    several passes. A face meets an actor in as many tables as they share; the
+    pair is kept only in the first of them, which both sides' hash lists tell.
     """
-    unit = lambda df: df.withColumn("norm", l2_norm(F.col("embedding"))).withColumn(
-        "unit", array_to_vector(scaled(F.col("embedding"), F.col("norm")))
-    )
     lsh = BucketedRandomProjectionLSH(
         inputCol="unit", outputCol="buckets", bucketLength=bucket, numHashTables=tables, seed=seed
     )
-    actor_units = unit(gallery)
-    model = lsh.fit(actor_units)
+    actors = _with_unit(gallery)
+    model = lsh.fit(actors)
 
-    def hashed(df: DataFrame) -> DataFrame:
-        names = [F.col(c) for c in df.columns if c not in ("unit", "buckets", "norm")]
-        as_arrays = model.transform(df)
-        lists = F.array(*[F.element_at(vector_to_array(F.get("buckets", F.lit(i))), 1).cast("long") for i in range(tables)])
-        return as_arrays.select(*names, lists.alias("hashes"))
+    def hashed(units: DataFrame) -> DataFrame:
+        numbers = [F.element_at(vector_to_array(F.get("buckets", F.lit(i))), 1).cast("long") for i in range(tables)]
+        return model.transform(units).withColumn("hashes", F.array(*numbers)).drop("unit", "norm", "buckets")
 
-    left = hashed(unit(faces.select("face_id", "image_path", "bbox", "confidence", "embedding"))).select(
-        "*", F.posexplode("hashes").alias("hash_table", "hash")
-    )
-    right = hashed(actor_units.select("actor_ord", F.col("embedding").alias("reference"), "unit")).select(
-        "actor_ord", "reference", F.col("hashes").alias("actor_hashes"), F.posexplode("hashes").alias("hash_table", "hash")
+    size = gallery.agg(F.sum((4 * F.size("embedding") + 8 * tables + 64) * tables)).first()[0] or 0
+    pieces = 1 if size <= max_bytes else math.ceil(2 * size / max_bytes)
+
+    left = hashed(_with_unit(faces.select("face_id", "image_path", "bbox", "confidence", "embedding")))
+    left = left.select("*", F.posexplode("hashes").alias("hash_table", "hash"))
+    right = hashed(actors.select("actor_ord", F.col("embedding").alias("reference"), "norm", "unit"))
+    right = right.withColumnRenamed("hashes", "actor_hashes").select(
+        "*", F.posexplode("actor_hashes").alias("hash_table", "hash")
     )
-    # No broadcast hint: Catalyst broadcasts the gallery side if its size
-    # permits, and else joins by shuffle with AQE splitting hot buckets.
-    met = left.join(right, ["hash_table", "hash"])
     first_shared = F.array_position(F.zip_with("hashes", "actor_hashes", lambda a, b: a == b), True) - 1
-    pairs = met.where(F.col("hash_table") == first_shared)
-    scored = pairs.select(
-        "actor_ord", "face_id", "image_path", "bbox", "confidence",
-        cosine(F.col("embedding"), F.col("reference")).alias("similarity_score"),
+
+    def met(part: DataFrame) -> DataFrame:
+        pairs = left.join(F.broadcast(part), ["hash_table", "hash"]).where(F.col("hash_table") == first_shared)
+        score = cosine(F.col("embedding"), F.col("reference")).alias("similarity_score")
+        return pairs.select("actor_ord", "face_id", "image_path", "bbox", "confidence", score)
+
+    parts = [right.where(F.pmod(F.xxhash64("actor_ord"), F.lit(pieces)) == p) for p in range(pieces)] if pieces > 1 else [right]
+    scored = reduce(DataFrame.unionByName, map(met, parts))
+    ranked = _rank_best(scored, ["actor_ord"], [F.desc("similarity_score"), F.asc("face_id")], k)
+    return _as_matches(ranked.where(F.col("rank") <= k), gallery, [])
+
+
+def _with_unit(vectors: DataFrame) -> DataFrame:
+    return vectors.withColumn("norm", l2_norm(F.col("embedding"))).withColumn(
+        "unit", array_to_vector(scaled(F.col("embedding"), F.col("norm")))
     )
-    best = Window.partitionBy("actor_ord").orderBy(F.desc("similarity_score"), F.asc("face_id"))
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return _as_matches(ranked, gallery, [])

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -29,6 +30,7 @@ from castframe.session import materialize
 MAX_BLOCK_BYTES = 64 << 20  # of gallery data sent to the tasks at once
 MAX_SORTED_GROUP = 1_000_000  # rows of one actor that one task may rank
 MAX_KEPT_ROWS = 500_000  # best rows that one task may hold (actors x k)
+MAX_TASK_K = 10_000  # beyond this k, ranking everything is less work
 _CELLS = 4_000_000  # scores computed at once in a task
 
 SCORES = T.ArrayType(
@@ -44,37 +46,60 @@ class Block(NamedTuple):
     actors: int
 
 
-def gallery_blocks(gallery: DataFrame, within: str | None, max_bytes: int) -> Iterator[Block]:
-    """Cut the gallery into blocks under ``max_bytes`` and fetch them one by one.
+class Pass(NamedTuple):
+    """One block, the faces that can meet it, and the names of its actors."""
 
-    Almost every gallery is one block. A larger one costs one pass over the
-    faces per block and still gives every result.
+    block: Block
+    faces: DataFrame
+    names: pa.Table
+
+
+def gallery_passes(faces: DataFrame, gallery: DataFrame, within: str | None, max_bytes: int) -> Iterator[Pass]:
+    """Fetch the gallery in blocks under ``max_bytes``, with the faces to score.
+
+    Almost every gallery is one block, so there is one pass over the faces. A
+    larger one takes a pass per block. If faces meet only the actors of their
+    movie, the blocks hold whole movies and a pass takes the faces of those
+    movies alone: on a table stored by movie the passes together read every
+    face once.
     """
-    size = gallery.agg(
-        F.count("*").alias("n"), F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high")
-    ).first()
-    if not size["n"]:
+    shared = [within] if within else []
+    vector_bytes = 8 * F.size("embedding") + 64
+    size = (
+        gallery.groupBy(*shared)
+        .agg(F.sum(vector_bytes).alias("bytes"), F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high"))
+        .agg(F.sum("bytes").alias("all"), F.max("bytes").alias("most"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .first()
+    )
+    if not size["all"]:
         return
     if size["low"] != size["high"] or size["low"] < 1:
         raise ValueError(f"gallery vectors have between {size['low']} and {size['high']} elements")
     dims = size["high"]
-    total = size["n"] * (8 * dims + 64)
-    pieces = 1 if total <= max_bytes else math.ceil(2 * total / max_bytes)
-    columns = [F.col(within) if within else F.lit(None).cast("string").alias("movie"), "actor_ord", "embedding"]
+    # Half of the limit on average, so that uneven hashing stays under it.
+    pieces = 1 if size["all"] <= max_bytes else math.ceil(2 * size["all"] / max_bytes)
+    by_movie = within is not None and size["most"] <= max_bytes // 2
+    columns = [F.col(within) if within else F.lit(None).cast("string").alias("movie"), "actor_ord", "embedding_path", "embedding"]
     for piece in range(pieces):
-        part = gallery if pieces == 1 else gallery.where(F.pmod(F.xxhash64("actor_ord", "embedding_path"), F.lit(pieces)) == piece)
+        part, some = gallery, faces
+        if pieces > 1 and by_movie:
+            here = F.pmod(F.xxhash64(within), F.lit(pieces)) == piece
+            part, some = gallery.where(here), faces.where(here)
+        elif pieces > 1:
+            part = gallery.where(F.pmod(F.xxhash64("embedding_path", "actor_ord"), F.lit(pieces)) == piece)
         table = part.select(*columns).toArrow()
         if not table.num_rows:
             continue
-        keys = np.array(table.column(0).to_pylist(), dtype=object)
-        ords = table.column(1).to_numpy()
-        units = unit_rows(stack(table.column(2), dims))
-        matrices = {}
-        for key in dict.fromkeys(keys.tolist()):
-            rows = np.flatnonzero(keys == key)
-            rows = rows[np.argsort(ords[rows], kind="stable")]
-            matrices[key] = (ords[rows].astype(np.int32), units[rows])
-        yield Block(dims, matrices, table.num_rows)
+        table = table.sort_by([(table.column_names[0], "ascending"), ("actor_ord", "ascending")])
+        movies = table.column(0).to_pylist()
+        ords = table.column(1).to_numpy().astype(np.int32)
+        units = unit_rows(stack(table.column(3), dims))
+        matrices, begin = {}, 0
+        for movie, rows in groupby(movies):
+            end = begin + len(list(rows))
+            matrices[movie] = (ords[begin:end], units[begin:end])
+            begin = end
+        yield Pass(Block(dims, matrices, len(movies)), some, table.drop_columns(["embedding"]))
 
 
 def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
@@ -131,22 +156,29 @@ def _score_lists(block, within: bool):
     return of_all
 
 
+def _all_scores(passes: Iterator[Pass], within: str | None) -> tuple[list[DataFrame], list[pa.Table]]:
+    results, names = [], []
+    for one in passes:
+        rest = [c for c in one.faces.columns if c != "embedding"]
+        function = _score_lists(one.faces.sparkSession.sparkContext.broadcast(one.block), bool(within))
+        lists = function(F.col("embedding"), F.col(within)) if within else function(F.col("embedding"))
+        results.append(one.faces.select(*rest, F.inline(lists)))
+        names.append(one.names)
+    return results, names
+
+
+def _no_scores(faces: DataFrame) -> DataFrame:
+    rest = [c for c in faces.columns if c != "embedding"]
+    return faces.select(*rest, F.lit(0).alias("actor_ord"), F.lit(0.0).alias("similarity_score")).where(F.lit(False))
+
+
 def score_all(faces: DataFrame, gallery: DataFrame, within: str | None = None, max_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """Every face with its score against every actor (of its movie, if ``within``).
 
     Only the vectors pass through Python; the other columns stay in the JVM.
     """
-    context = faces.sparkSession.sparkContext
-    rest = [c for c in faces.columns if c != "embedding"]
-    results = []
-    for block in gallery_blocks(gallery, within, max_bytes):
-        function = _score_lists(context.broadcast(block), bool(within))
-        lists = function(F.col("embedding"), F.col(within)) if within else function(F.col("embedding"))
-        results.append(faces.select(*rest, F.inline(lists)))
-    if not results:
-        empty = faces.select(*rest, F.lit(0).alias("actor_ord"), F.lit(0.0).alias("similarity_score"))
-        return empty.where(F.lit(False))
-    return reduce(DataFrame.unionByName, results)
+    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes), within)
+    return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
 
 
 def _first_k(ords: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -193,42 +225,39 @@ class _Best:
         )
 
 
-def score_best(
-    faces: DataFrame, gallery: DataFrame, k: int, within: str | None = None, max_bytes: int = MAX_BLOCK_BYTES
-) -> DataFrame | None:
+def _best_scores(
+    passes: Iterator[Pass], k: int, within: str | None
+) -> tuple[list[DataFrame], list[pa.Table]] | None:
     """The k best faces per actor within each task: all that can still reach the top k.
 
     Returns None when a task would have to hold more than ``MAX_KEPT_ROWS``.
     """
-    context = faces.sparkSession.sparkContext
-    rest = [c for c in faces.columns if c != "embedding"]
-    schema = T.StructType(
-        [faces.schema[c] for c in rest]
-        + [T.StructField("actor_ord", T.IntegerType()), T.StructField("similarity_score", T.DoubleType())]
-    )
-    results = []
-    for block in gallery_blocks(gallery, within, max_bytes):
-        if block.actors * k > MAX_KEPT_ROWS:
+    results, names = [], []
+    for one in passes:
+        if one.block.actors * k > MAX_KEPT_ROWS:
             return None
-        shared = context.broadcast(block)
+        rest = [c for c in one.faces.columns if c != "embedding"]
+        schema = T.StructType([one.faces.schema[c] for c in rest] + SCORES.elementType.fields)
+        shared = one.faces.sparkSession.sparkContext.broadcast(one.block)
 
-        def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def best(batches: Iterator[pa.RecordBatch], shared=shared, rest=rest) -> Iterator[pa.RecordBatch]:
             kept: dict[str | None, _Best] = {}
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 ids = table.column("face_id").to_numpy()
-                movies = batch.column(batch.schema.get_field_index(within)) if within else None
+                movies = batch.column(within) if within else None
                 plain = table.select(rest)
                 for rows, movie, ords, scores in _scored_parts(shared.value, batch.column("embedding"), movies):
                     if movie not in kept:
                         kept[movie] = _Best(ords, k)
                     kept[movie].add(plain, rows, ids, scores)
-            for one in kept.values():
-                if one.rows is not None:
-                    yield from one.table().to_batches()
+            for found in kept.values():
+                if found.rows is not None:
+                    yield from found.table().to_batches()
 
-        results.append(faces.select(*rest, "embedding").mapInArrow(best, schema))
-    return reduce(DataFrame.unionByName, results) if results else score_all(faces, gallery, within, max_bytes)
+        results.append(one.faces.select(*rest, "embedding").mapInArrow(best, schema))
+        names.append(one.names)
+    return results, names
 
 
 def match_faces(
@@ -254,27 +283,42 @@ def match_faces(
     faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
     groups = [*shared, "actor_ord"]
     order = [F.desc("similarity_score"), F.asc("face_id")]
-    best = score_best(faces, gallery, k, within, max_bytes) if k is not None else None
+
+    best = None
+    if k is not None and k <= MAX_TASK_K:
+        best = _best_scores(gallery_passes(faces, gallery, within, max_bytes), k, within)
+    results, names = best or _all_scores(gallery_passes(faces, gallery, within, max_bytes), within)
+    scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
     if best is not None:
-        ranked = _rank_in_window(best, groups, order).where(F.col("rank") <= k)
+        ranked = _rank_best(scored, groups, order, k)
+    elif _largest_group(faces, within) <= max_sorted_group:
+        ranked = _rank(scored, groups, order)
     else:
-        scored = score_all(faces, gallery, within, max_bytes)
-        if _largest_group(faces, within) <= max_sorted_group:
-            ranked = _rank_in_window(scored, groups, order)
-        else:
-            # The sort samples its input first; scoring must not run twice for it.
-            ranked = number_rows(
-                materialize(scored, "scored"), order, "rank", groups, max_groups=gallery.count()
-            )
-        if k is not None:
-            ranked = ranked.where(F.col("rank") <= k)
-    return _as_matches(ranked, gallery, shared)
-
-
-def _rank_in_window(scored: DataFrame, groups: list[str], order: list) -> DataFrame:
+        # The sort samples its input first; scoring must not run twice for it.
+        actors = sum(table.num_rows for table in names)
+        ranked = number_rows(materialize(scored, "scored"), order, "rank", groups, max_groups=actors)
+    if k is not None:
+        ranked = ranked.where(F.col("rank") <= k)
+    return _as_matches(ranked, _actor_names(gallery, names, shared), shared)
+
+
+def _rank(scored: DataFrame, groups: list[str], order: list) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
 
 
+def _rank_best(scored: DataFrame, groups: list[str], order: list, k: int) -> DataFrame:
+    """Reduce the tasks' best rows in two steps, so that no step gets them all.
+
+    Every task contributes up to k rows per actor. Salts keep the number of
+    rows that meet in one task under ``MAX_SORTED_GROUP`` in the second step.
+    """
+    partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, min(partitions, MAX_SORTED_GROUP // k))
+    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("face_id"), F.lit(salts)))
+    first = _rank(salted, [*groups, "_salt"], order).where(F.col("rank") <= k)
+    return _rank(first.drop("rank", "_salt"), groups, order)
+
+
 def _largest_group(faces: DataFrame, within: str | None) -> int:
     """How many rows the largest group to be ranked can have."""
     if within is None:
@@ -282,15 +326,19 @@ def _largest_group(faces: DataFrame, within: str | None) -> int:
     return faces.groupBy(within).count().agg(F.max("count")).first()[0] or 0
 
 
-def _as_matches(ranked: DataFrame, gallery: DataFrame, shared: list[str]) -> DataFrame:
-    # No broadcast hint: Catalyst broadcasts this side if its size permits.
-    names = gallery.select(
-        *shared,
-        "actor_ord",
-        stem(F.col("embedding_path")).alias("actor_name"),
-        F.col("embedding_path").alias("actor_embedding_path"),
-    )
-    return ranked.join(names, [*shared, "actor_ord"]).select(
+def _actor_names(gallery: DataFrame, names: list[pa.Table], shared: list[str]) -> DataFrame:
+    """The actors without their vectors: as already fetched, if that was one bounded block."""
+    if len(names) != 1:
+        # No broadcast hint: Catalyst broadcasts this side if its size permits.
+        return gallery
+    local = gallery.sparkSession.createDataFrame(names[0])
+    return F.broadcast(local if shared else local.drop("movie"))
+
+
+def _as_matches(ranked: DataFrame, actors: DataFrame, shared: list[str]) -> DataFrame:
+    path = F.col("embedding_path")
+    named = actors.select(*shared, "actor_ord", stem(path).alias("actor_name"), path.alias("actor_embedding_path"))
+    return ranked.join(named, [*shared, "actor_ord"]).select(
         *shared,
         "actor_ord",
         F.col("rank").cast("bigint").alias("rank"),

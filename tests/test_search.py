@@ -80,7 +80,27 @@ def test_top_k_beyond_the_task_limit(faces, gallery, monkeypatch):
 @pytest.mark.parametrize("within", [None, "movie"])
 def test_gallery_in_blocks(faces, gallery, k, within):
     whole = match_faces(faces, gallery, k, within)
-    assert rows(match_faces(faces, gallery, k, within, max_bytes=1500)) == rows(whole)
+    for limit in (1500, 5000):  # actors of one movie apart, and together
+        passes = list(search.gallery_passes(faces, gallery, within, limit))
+        assert len(passes) > 1 and sum(p.block.actors for p in passes) == gallery.count()
+        assert rows(match_faces(faces, gallery, k, within, max_bytes=limit)) == rows(whole)
+
+
+def test_passes_prune_a_table_stored_by_movie(spark, faces, gallery, tmp_path):
+    path = str(tmp_path / "faces")
+    faces.write.partitionBy("movie").parquet(path)
+    stored = spark.read.parquet(path)
+    passes = list(search.gallery_passes(stored, gallery, "movie", 5000))
+    counted = [p.faces.count() for p in passes]
+    assert sum(counted) == faces.count() and max(counted) < faces.count()
+    plan = passes[0].faces._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(movie" in plan or "PartitionFilters: [(pmod" in plan
+
+
+def test_top_k_is_reduced_in_two_steps(faces, gallery, monkeypatch):
+    expected = rows(match_faces(faces, gallery, 4))
+    monkeypatch.setattr(search, "MAX_SORTED_GROUP", 12)  # three salts
+    assert rows(match_faces(faces.repartition(6), gallery, 4)) == expected
 
 
 def test_faces_meet_only_their_movie(faces, gallery):
@@ -133,6 +153,7 @@ def test_lsh_recall(faces, gallery):
     assert hits.count() >= 0.9 * exact.count()
     assert hits.where(F.abs(F.col("s") - F.col("similarity_score")) > 1e-9).count() == 0
     assert near.groupBy(*keys).count().where("count > 1").count() == 0
+    assert rows(match_faces_lsh(faces, gallery, 10, max_bytes=20_000)) == rows(near)
 
 
 def test_union_and_preview(faces, gallery):
