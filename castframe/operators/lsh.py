@@ -1,80 +1,127 @@
 """Approximate matching for large galleries by locality-sensitive hashing.
 
-Unit vectors that are close in angle are close in distance, so Spark's bucketed
-random projection puts them into equal buckets of some hash table. Only faces
-and actors that share a bucket are scored, then ranked exactly. A result may
-have fewer than k rows per actor, but never a wrong score.
-
-The exact search stays the default: with a gallery of a few vectors per movie
-there is nothing to save.
+Vectors are projected on random directions, and each projection is cut into
+buckets. Unit vectors that are close in angle fall into equal buckets in some
+hash table. Only faces and actors that share a bucket are scored, then ranked
+exactly: a result may have fewer than k rows per actor, but never a wrong
+score.
+
+It runs in the same passes as the exact search: the hashed gallery is broadcast
+in blocks of bounded size and the faces are not shuffled. The exact search
+stays the default; with a gallery of a few vectors per movie, or with buckets
+so wide that most pairs share one, hashing saves nothing.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castframe.functions.vectors import cosine, l2_norm, scaled
-from castframe.operators.search import _as_matches, _rank_best
-
-
-MAX_TABLE_BYTES = 64 << 20  # of hashed gallery rows broadcast at once
+from castframe.functions.vectors import SCORE_DECIMALS, unit_rows
+from castframe.operators.search import (
+    MAX_BLOCK_BYTES,
+    MAX_KEPT_ROWS,
+    Block,
+    _actor_names,
+    _as_matches,
+    _best_scores,
+    _no_scores,
+    _rank_best,
+    _rows_by_movie,
+    gallery_passes,
+)
+
+# Of a chunk's pairs; above it, one matrix product beats scoring pair by pair.
+_DENSE = 0.02
+
+
+class Hashed(NamedTuple):
+    """A gallery block with its actors sorted by bucket in every table."""
+
+    block: Block
+    directions: np.ndarray  # dims x tables x projections
+    bucket: float
+    tables: dict[str | None, list[tuple[np.ndarray, np.ndarray]]]  # sorted buckets, actor positions
+
+
+def _buckets(units: np.ndarray, directions: np.ndarray, bucket: float) -> np.ndarray:
+    """One bucket number per row and table."""
+    cells = np.floor(np.tensordot(units, directions, 1) / bucket).astype(np.int64)
+    mixed = np.zeros(cells.shape[:2], np.int64)
+    for projection in range(cells.shape[2]):
+        mixed = mixed * 1_000_003 + cells[:, :, projection]
+    return mixed
+
+
+def _hash_block(block: Block, tables: int, projections: int, bucket: float, seed: int) -> Hashed:
+    directions = np.random.default_rng(seed).normal(size=(block.dims, tables, projections))
+    directions /= np.linalg.norm(directions, axis=0, keepdims=True)
+    sorted_tables = {}
+    for movie, (_, units) in block.matrices.items():
+        numbers = _buckets(units, directions, bucket)
+        orders = np.argsort(numbers, axis=0, kind="stable")
+        sorted_tables[movie] = [(numbers[orders[:, t], t], orders[:, t]) for t in range(tables)]
+    return Hashed(block, directions, bucket, sorted_tables)
+
+
+def _candidate_parts(hashed: Hashed, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
+    """As the exact scoring, but pairs without a common bucket score -inf."""
+    for rows, movie, matrix in _rows_by_movie(hashed.block, vectors, movies):
+        ords, references = hashed.block.matrices[movie]
+        units = unit_rows(matrix)
+        numbers = _buckets(units, hashed.directions, hashed.bucket)
+        met = np.zeros((len(rows), len(ords)), bool)
+        for table, (ordered, actors) in enumerate(hashed.tables[movie]):
+            low = np.searchsorted(ordered, numbers[:, table], "left")
+            counts = np.searchsorted(ordered, numbers[:, table], "right") - low
+            face = np.repeat(np.arange(len(rows)), counts)
+            place = np.arange(len(face)) - np.repeat(np.cumsum(counts) - counts, counts) + low[face]
+            met[face, actors[place]] = True
+        scores = np.full(met.shape, -np.inf)
+        if met.mean() > _DENSE:
+            scores[met] = np.round(units @ references.T, SCORE_DECIMALS)[met]
+        else:
+            i, j = np.nonzero(met)
+            scores[i, j] = np.round(np.einsum("ij,ij->i", units[i], references[j]), SCORE_DECIMALS)
+        yield rows, movie, ords, scores
 
 
 def match_faces_lsh(
     faces: DataFrame,
     gallery: DataFrame,
     k: int,
+    within: str | None = None,
     tables: int = 16,
+    projections: int = 1,
     bucket: float = 0.5,
     seed: int = 42,
-    max_bytes: int = MAX_TABLE_BYTES,
+    max_bytes: int = MAX_BLOCK_BYTES,
 ) -> DataFrame:
     """The k best faces per actor among those that share a hash bucket.
 
-    The faces are hashed where they are and meet a broadcast gallery, so they
-    are not shuffled. A gallery whose hashed rows exceed ``max_bytes`` takes
-    several passes. A face meets an actor in as many tables as they share; the
-    pair is kept only in the first of them, which both sides' hash lists tell.
+    More ``tables`` raise the recall; more ``projections`` per table or smaller
+    buckets leave fewer pairs to score. Arguments and result are otherwise
+    those of ``match_faces``.
     """
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="buckets", bucketLength=bucket, numHashTables=tables, seed=seed
-    )
-    actors = _with_unit(gallery)
-    model = lsh.fit(actors)
-
-    def hashed(units: DataFrame) -> DataFrame:
-        numbers = [F.element_at(vector_to_array(F.get("buckets", F.lit(i))), 1).cast("long") for i in range(tables)]
-        return model.transform(units).withColumn("hashes", F.array(*numbers)).drop("unit", "norm", "buckets")
-
-    size = gallery.agg(F.sum((4 * F.size("embedding") + 8 * tables + 64) * tables)).first()[0] or 0
-    pieces = 1 if size <= max_bytes else math.ceil(2 * size / max_bytes)
-
-    left = hashed(_with_unit(faces.select("face_id", "image_path", "bbox", "confidence", "embedding")))
-    left = left.select("*", F.posexplode("hashes").alias("hash_table", "hash"))
-    right = hashed(actors.select("actor_ord", F.col("embedding").alias("reference"), "norm", "unit"))
-    right = right.withColumnRenamed("hashes", "actor_hashes").select(
-        "*", F.posexplode("actor_hashes").alias("hash_table", "hash")
-    )
-    first_shared = F.array_position(F.zip_with("hashes", "actor_hashes", lambda a, b: a == b), True) - 1
-
-    def met(part: DataFrame) -> DataFrame:
-        pairs = left.join(F.broadcast(part), ["hash_table", "hash"]).where(F.col("hash_table") == first_shared)
-        score = cosine(F.col("embedding"), F.col("reference")).alias("similarity_score")
-        return pairs.select("actor_ord", "face_id", "image_path", "bbox", "confidence", score)
-
-    parts = [right.where(F.pmod(F.xxhash64("actor_ord"), F.lit(pieces)) == p) for p in range(pieces)] if pieces > 1 else [right]
-    scored = reduce(DataFrame.unionByName, map(met, parts))
-    ranked = _rank_best(scored, ["actor_ord"], [F.desc("similarity_score"), F.asc("face_id")], k)
-    return _as_matches(ranked.where(F.col("rank") <= k), gallery, [])
-
-
-def _with_unit(vectors: DataFrame) -> DataFrame:
-    return vectors.withColumn("norm", l2_norm(F.col("embedding"))).withColumn(
-        "unit", array_to_vector(scaled(F.col("embedding"), F.col("norm")))
+    shared = [within] if within else []
+    faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
+    found = _best_scores(
+        gallery_passes(faces, gallery, within, max_bytes),
+        k,
+        within,
+        lambda block: _hash_block(block, tables, projections, bucket, seed),
+        _candidate_parts,
     )
+    if found is None:
+        raise ValueError(f"k is too large: a task may hold {MAX_KEPT_ROWS} rows; use the exact search")
+    results, names = found
+    scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
+    order = [F.desc("similarity_score"), F.asc("face_id")]
+    ranked = _rank_best(scored, [*shared, "actor_ord"], order, k).where(F.col("rank") <= k)
+    return _as_matches(ranked, _actor_names(gallery, names, shared), shared)

@@ -9,10 +9,10 @@ be scored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import groupby
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,7 @@ MAX_SORTED_GROUP = 1_000_000  # rows of one actor that one task may rank
 MAX_KEPT_ROWS = 500_000  # best rows that one task may hold (actors x k)
 MAX_TASK_K = 10_000  # beyond this k, ranking everything is less work
 _CELLS = 4_000_000  # scores computed at once in a task
+_BELOW_ALL = -2.0  # under every cosine, above the -inf of pairs left out
 
 SCORES = T.ArrayType(
     T.StructType([T.StructField("actor_ord", T.IntegerType()), T.StructField("similarity_score", T.DoubleType())])
@@ -104,6 +105,13 @@ def gallery_passes(faces: DataFrame, gallery: DataFrame, within: str | None, max
 
 def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
     """Yield (row numbers, movie, ordinals, scores) for the rows of one batch."""
+    for rows, movie, matrix in _rows_by_movie(block, vectors, movies):
+        ords, units = block.matrices[movie]
+        yield rows, movie, ords, cosine_matrix(matrix, units)
+
+
+def _rows_by_movie(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
+    """Yield (row numbers, movie, their vectors), few enough to score at once."""
     matrix = stack(vectors, block.dims)
     if movies is None:
         rows_of = {None: np.arange(len(matrix))}
@@ -115,11 +123,10 @@ def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> I
     for movie, rows in rows_of.items():
         if movie not in block.matrices:
             continue
-        ords, units = block.matrices[movie]
-        step = max(1, _CELLS // len(ords))
+        step = max(1, _CELLS // len(block.matrices[movie][0]))
         for at in range(0, len(rows), step):
             some = rows[at : at + step]
-            yield some, movie, ords, cosine_matrix(matrix[some], units)
+            yield some, movie, matrix[some]
 
 
 def _score_lists(block, within: bool):
@@ -196,7 +203,7 @@ class _Best:
     def __init__(self, actors: np.ndarray, k: int):
         self.k = k
         self.actors = actors  # ascending
-        self.bar = np.full(len(actors), -np.inf)  # k-th best score per actor
+        self.bar = np.full(len(actors), _BELOW_ALL)  # k-th best score per actor
         self.columns = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)  # actor, score, id
         self.rows: pa.Table | None = None
 
@@ -216,7 +223,7 @@ class _Best:
         full = np.bincount(self.columns[0], minlength=len(self.bar)) >= self.k
         lowest = np.full(len(self.bar), np.inf)
         np.minimum.at(lowest, self.columns[0], self.columns[1])
-        self.bar = np.where(full, lowest, -np.inf)
+        self.bar = np.where(full, lowest, _BELOW_ALL)
 
     def table(self) -> pa.Table:
         actor, score, _ = self.columns
@@ -226,11 +233,16 @@ class _Best:
 
 
 def _best_scores(
-    passes: Iterator[Pass], k: int, within: str | None
+    passes: Iterator[Pass],
+    k: int,
+    within: str | None,
+    prepare: Callable[[Block], Any] = lambda block: block,
+    parts: Callable[..., Iterator[tuple]] = _scored_parts,
 ) -> tuple[list[DataFrame], list[pa.Table]] | None:
     """The k best faces per actor within each task: all that can still reach the top k.
 
     Returns None when a task would have to hold more than ``MAX_KEPT_ROWS``.
+    ``parts`` scores a batch against what ``prepare`` made of the block.
     """
     results, names = [], []
     for one in passes:
@@ -238,7 +250,7 @@ def _best_scores(
             return None
         rest = [c for c in one.faces.columns if c != "embedding"]
         schema = T.StructType([one.faces.schema[c] for c in rest] + SCORES.elementType.fields)
-        shared = one.faces.sparkSession.sparkContext.broadcast(one.block)
+        shared = one.faces.sparkSession.sparkContext.broadcast(prepare(one.block))
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared, rest=rest) -> Iterator[pa.RecordBatch]:
             kept: dict[str | None, _Best] = {}
@@ -247,7 +259,7 @@ def _best_scores(
                 ids = table.column("face_id").to_numpy()
                 movies = batch.column(within) if within else None
                 plain = table.select(rest)
-                for rows, movie, ords, scores in _scored_parts(shared.value, batch.column("embedding"), movies):
+                for rows, movie, ords, scores in parts(shared.value, batch.column("embedding"), movies):
                     if movie not in kept:
                         kept[movie] = _Best(ords, k)
                     kept[movie].add(plain, rows, ids, scores)

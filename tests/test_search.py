@@ -156,6 +156,19 @@ def test_lsh_recall(faces, gallery):
     assert rows(match_faces_lsh(faces, gallery, 10, max_bytes=20_000)) == rows(near)
 
 
+def test_lsh_with_narrow_buckets_scores_few_pairs(faces, gallery):
+    keys = ["actor_ord", "face_id"]
+    near = match_faces_lsh(faces, gallery, 100, tables=8, projections=3, bucket=0.1)
+    assert 0 < near.count() < 100 * gallery.count()
+    exact = match_faces(faces, gallery).select(*keys, F.col("similarity_score").alias("s"))
+    assert near.join(exact, keys).where(F.abs(F.col("s") - F.col("similarity_score")) > 1e-9).count() == 0
+    # Every reference vector is itself a face, and always meets itself.
+    assert near.where("rank = 1 and similarity_score > 0.999").count() == gallery.count()
+    inside = match_faces_lsh(faces, gallery, 10, within="movie")
+    assert inside.count() > 0
+    assert inside.join(gallery.select("actor_ord", F.col("movie").alias("home")), "actor_ord").where("movie <> home").count() == 0
+
+
 def test_union_and_preview(faces, gallery):
     everything = match_faces(faces, gallery)
     runs = [match_faces(faces, gallery.where(c)) for c in ("actor_ord < 4", "actor_ord >= 4")]

@@ -19,8 +19,18 @@ OUTPUT_ROOT = "/embeddings"
 _stored: dict[tuple[str, str], DataFrame] = {}
 
 
+# The columns in use; with a schema given, Spark need not open a file to plan.
+SCHEMAS = {
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "orders": "o_orderkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double",
+    "part": "p_brand string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(value) -> F.Column:
