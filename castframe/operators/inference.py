@@ -16,14 +16,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from castframe.functions.boxes import CORNERS, pack_box
 from castframe.schema import DETECTION_BATCH, DETECTIONS, EMBEDDING_BATCH, FACE_EMBEDDINGS
 from castframe.sources.images import rgb_pixels
 
-# A frame's faces stay together up to this many; more are spread over tasks.
-FACES_PER_READ = 1024
-
 _kept_models: dict[str, Any] = {}
 
 
@@ -35,13 +33,21 @@ def _model(factory: Callable[[], Any], key: str | None) -> Any:
     return _kept_models[key]
 
 
+def _message(problem: Exception) -> str:
+    return f"{type(problem).__name__}: {problem}"
+
+
 def spread(rows: DataFrame, tasks: int | None, *keys: Column) -> DataFrame:
     """Hash rows to a fixed number of tasks.
 
     The number is explicit because adaptive execution would otherwise merge
     the tasks by their few bytes, though each row means opening an image.
     """
-    return rows.repartition(tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return rows.repartition(tasks or _default_tasks(rows), *keys)
+
+
+def _default_tasks(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def detect(
@@ -51,12 +57,15 @@ def detect(
     model_key: str | None = None,
     profile: Any = None,
     tasks: int | None = None,
+    keep_errors: bool = False,
 ) -> DataFrame:
     """One row per detected face; a frame without faces gives none.
 
     The detector gets a batch of frame rows and returns, for each of them, a
     list of ``(x1, y1, x2, y2, confidence)``. ``det_no`` counts the faces of a
-    frame from 0. An exception in the detector fails the job.
+    frame from 0. An exception in the detector fails the job; with
+    ``keep_errors`` each frame of its batch becomes a row with an ``error``
+    and no box instead, so that other movies go on.
 
     A listing is small next to the work it stands for, so its rows are spread
     over ``tasks`` first. Frames that carry their ``content`` stay where they
@@ -64,25 +73,38 @@ def detect(
     """
     if "content" not in frames.columns:
         frames = spread(frames, tasks, F.col("path"))
+    schema = T.StructType([*DETECTIONS.fields, T.StructField("error", T.StringType())]) if keep_errors else DETECTIONS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detector = None
         for batch in batches:
             detector = detector or _model(detector_factory, model_key)
-            found = []
+            found, failed, messages = [], [], []
             for at in range(0, len(batch), batch_size):
                 some = batch.iloc[at : at + batch_size]
-                result = detector(some)
-                if len(result) != len(some):
-                    raise ValueError(f"the detector returned {len(result)} results for {len(some)} frames")
+                try:
+                    result = detector(some)
+                    if len(result) != len(some):
+                        raise ValueError(f"the detector returned {len(result)} results for {len(some)} frames")
+                except Exception as problem:
+                    if not keep_errors:
+                        raise
+                    result = [()] * len(some)
+                    failed.extend(range(at, at + len(some)))
+                    messages.extend([_message(problem)] * len(some))
                 found.extend(result)
+            if failed:
+                lost = batch.iloc[failed]
+                nothing = dict.fromkeys(("det_no", *CORNERS, "confidence"))
+                lost = pd.DataFrame({"movie": lost["movie"], "image_path": lost["path"], "error": messages}).assign(**nothing)
+                yield lost[schema.fieldNames()]
             counts = np.array([len(faces) for faces in found])
             if not counts.sum():
                 continue
             values = np.array([face for faces in found for face in faces], np.float64)
             frame = np.repeat(np.arange(len(batch)), counts)
             numbers = np.arange(len(frame)) - np.repeat(np.cumsum(counts) - counts, counts)
-            yield pd.DataFrame(
+            faces = pd.DataFrame(
                 {
                     "movie": batch["movie"].to_numpy()[frame],
                     "image_path": batch["path"].to_numpy()[frame],
@@ -90,8 +112,9 @@ def detect(
                     **dict(zip((*CORNERS, "confidence"), values.T)),
                 }
             )
+            yield faces.assign(error=None) if keep_errors else faces
 
-    return frames.mapInPandas(run, DETECTIONS, profile=profile)
+    return frames.mapInPandas(run, schema, profile=profile)
 
 
 def pending_embeddings(detections: DataFrame, done: DataFrame, model: str) -> DataFrame:
@@ -150,10 +173,6 @@ def crop_faces(detections: DataFrame) -> DataFrame:
     return detections.where(F.col("image.height") > 0).select(*columns).mapInPandas(run, schema)
 
 
-def _message(problem: Exception) -> str:
-    return f"{type(problem).__name__}: {problem}"
-
-
 class _Opened:
     """The image opened last, or the error of opening it: rows come sorted by image."""
 
@@ -189,9 +208,11 @@ def embed(
     """One row per detection with its embedding and a status.
 
     ``read_image`` opens a path as an RGB array inside the task, so pixels are
-    never shuffled: the small detection rows are, such that the faces of one
-    image meet and the image is opened once. The faces of an image that has
-    very many are spread over several tasks. Without ``read_image`` the rows
+    never shuffled. The small detection rows are sorted into ranges of movie,
+    image and face: an image is opened once, or once per task where a range
+    ends within it, and an image or movie with very many faces covers many
+    ranges. A task then also holds few movies, which keeps the number of files
+    low when the result is stored by movie. Without ``read_image`` the rows
     must carry an ``image`` column.
 
     The embedder gets a list of crops and returns one vector for each. A crop
@@ -239,10 +260,9 @@ def embed(
     if read_image is None:
         rows = detections.select(*columns, "image")
     else:
-        # Ids are dense in image order, so an image has few or many id ranges
-        # according to its number of faces.
-        keys = [F.col("image_path"), F.expr(f"face_id div {FACES_PER_READ}")]
-        rows = spread(detections.select(*columns), tasks, *keys).sortWithinPartitions("image_path", "face_id")
+        order = ("movie", "image_path", "face_id")
+        rows = detections.select(*columns)
+        rows = rows.repartitionByRange(tasks or _default_tasks(rows), *order).sortWithinPartitions(*order)
     embedded = rows.mapInPandas(run, schema, profile=profile)
     return embedded.select(
         "movie", "face_id", "embedding", F.lit(model).alias("model"),

@@ -11,9 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castframe.operators.inference import spread
-from castframe.schema import BOX_WIDTH
-
-_RESULT = "frame_image_path string, save_path string, status string, faces_drawn long, error string, height int, width int, channels int, pixels binary"
+from castframe.schema import BOX_WIDTH, RENDERED
 
 
 def outline(pixels: np.ndarray, box: tuple[int, int, int, int], color: tuple[int, int, int], width: int) -> None:
@@ -123,7 +121,7 @@ def render(
             status = "processed" if fine else "error"
             return pd.DataFrame(
                 [(path, save_path, status, drawn if fine else 0, error, *size, kept)],
-                columns=[field.split()[0] for field in _RESULT.split(", ")],
+                columns=RENDERED.fieldNames(),
             )
 
         for batch in batches:
@@ -145,7 +143,7 @@ def render(
         if path is not None:
             yield finished()
 
-    result = rows.mapInPandas(run, _RESULT, profile=profile)
+    result = rows.mapInPandas(run, RENDERED, profile=profile)
     return result if usable is None else result.unionByName(unopened)
 
 

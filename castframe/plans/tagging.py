@@ -10,12 +10,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.operators.annotate import annotation_plan
+from castframe.operators.annotate import annotatable_images, annotation_plan
 from castframe.operators.inference import detect, embed, pending_embeddings
 from castframe.operators.numbering import assign_face_ids
+from castframe.operators.render import render
 from castframe.operators.search import match_faces
 from castframe.schema import DETECTION_BATCH, EMBEDDING_BATCH, SIMILARITY_THRESHOLD, STAGES
 from castframe.session import materialize
@@ -38,6 +39,17 @@ class Settings:
     skip_annotation: bool = False
 
 
+def settings_of(movie: Row) -> Settings:
+    """The settings in one row of the configuration table; absent values take the defaults."""
+    names = {
+        "embedding_model": "model", "top_k": "top_k", "similarity_threshold": "threshold",
+        "face_detection_batch_size": "detection_batch", "embedding_batch_size": "embedding_batch",
+        "skip_face_detection": "skip_detection", "skip_embedding_generation": "skip_embedding",
+        "skip_actor_search": "skip_search", "skip_image_generation": "skip_annotation",
+    }
+    return Settings(**{own: movie[name] for name, own in names.items() if movie[name] is not None})
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished table lies at ``path``."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
@@ -67,11 +79,14 @@ class TaggingRun:
 
     def detections(self, frames: DataFrame, detector_factory: Callable[[], Any]) -> DataFrame:
         if not (self.settings.skip_detection and table_exists(self.spark, self.paths["detections"])):
-            found = detect(image_frames(frames), detector_factory, self.settings.detection_batch)
+            found = detect(image_frames(frames), detector_factory, self.settings.detection_batch, keep_errors=True)
             # Numbering sorts, and a sort samples its input first: detect once.
-            numbered = assign_face_ids(materialize(found, "found"))
+            found = materialize(found, "found")
+            numbered = assign_face_ids(found.where("error is null").drop("error"))
             self.redetected = table_exists(self.spark, self.paths["embeddings"])
             save_detections(numbered, self.paths["detections"])
+            failed = found.where("error is not null").select(*STAGES["detection_errors"].fieldNames())
+            failed.write.mode("overwrite").parquet(self.paths["detection_errors"])
         return self._table("detections")
 
     def embeddings(self, embedder_factory: Callable[[], Any], read_image: Callable[[str], Any]) -> DataFrame:
@@ -101,13 +116,28 @@ class TaggingRun:
     def matches(self, embeddings: DataFrame, gallery: DataFrame) -> None:
         if not self.settings.skip_search:
             found = match_faces(embeddings, gallery, self.settings.top_k, within="movie")
-            save_matches(found, self.paths["matches"])
+            save_matches(found, self.paths["matches"], by=("movie", "actor_name"))
 
     def annotations(self, actors: DataFrame) -> None:
         if not self.settings.skip_annotation:
             plan = annotation_plan(self._table("matches"), actors, self.settings.threshold, within="movie")
             plan.write.mode("overwrite").parquet(self.paths["annotation_plan"])
 
+    def draw(
+        self,
+        listing: DataFrame,
+        read_image: Callable[[str], Any],
+        write_image: Callable[[str, Any], None],
+        renderer_factory: Callable[[], Any] | None = None,
+    ) -> None:
+        """Draw the plan on the frames. Each movie has a folder of its own."""
+        if not self.settings.skip_annotation:
+            plan = self._table("annotation_plan")
+            usable = materialize(annotatable_images(plan, listing), "usable")
+            plan = plan.withColumn("save_path", F.concat_ws("/", "movie", "save_path"))
+            drawn = render(plan, read_image, renderer_factory, write_image, usable=usable)
+            drawn.drop("pixels").write.mode("overwrite").parquet(self.paths["annotated_images"])
+
     def run(
         self,
         frames: DataFrame,
@@ -116,25 +146,35 @@ class TaggingRun:
         detector_factory: Callable[[], Any],
         embedder_factory: Callable[[], Any],
         read_image: Callable[[str], Any],
+        write_image: Callable[[str, Any], None] | None = None,
+        renderer_factory: Callable[[], Any] | None = None,
     ) -> "TaggingRun":
+        """All stages in order. Images are drawn if ``write_image`` says where they go."""
         self.detections(frames, detector_factory)
         self.matches(self.embeddings(embedder_factory, read_image), gallery)
         self.annotations(actors)
+        if write_image is not None:
+            self.draw(frames, read_image, write_image, renderer_factory)
         return self
 
     def table(self, name: str) -> DataFrame:
         return self._table(name)
 
 
-def movie_status(movies: DataFrame, frames: DataFrame, matches: DataFrame) -> DataFrame:
+def movie_status(
+    movies: DataFrame, frames: DataFrame, matches: DataFrame, errors: DataFrame | None = None
+) -> DataFrame:
     """One row per configured movie: its frames, its matches, and how it went.
 
-    A movie without frames is skipped; the others go on.
+    A movie without frames is skipped, and one with frames that the detector
+    could not take has failed; the others go on.
     """
     listed = image_frames(frames).groupBy("movie").agg(F.count("*").alias("frames"))
     matched = matches.groupBy("movie").agg(F.count("*").alias("matches"))
-    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-    return (
-        movies.select("movie").distinct().join(listed, "movie", "left").join(matched, "movie", "left")
-        .select("movie", zero("frames"), zero("matches"), F.when(F.col("frames").isNull(), "skipped").otherwise("success").alias("status"))
-    )
+    outcome = movies.select("movie").distinct().join(listed, "movie", "left").join(matched, "movie", "left")
+    status = F.when(F.col("frames").isNull(), "skipped")
+    if errors is not None:
+        outcome = outcome.join(errors.groupBy("movie").agg(F.count("*").alias("errors")), "movie", "left")
+        status = status.when(F.col("errors") > 0, "failed")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("frames", "matches")]
+    return outcome.select("movie", *counts, status.otherwise("success").alias("status"))

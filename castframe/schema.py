@@ -110,14 +110,33 @@ ANNOTATION_PLAN = T.StructType(
     ]
 )
 
+# Frames that the detector failed on.
+DETECTION_ERRORS = T.StructType(
+    [T.StructField("movie", T.StringType()), T.StructField("image_path", T.StringType()), T.StructField("error", T.StringType())]
+)
+
+RENDERED = T.StructType(
+    [
+        T.StructField("frame_image_path", T.StringType()),
+        T.StructField("save_path", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("faces_drawn", T.LongType()),
+        T.StructField("error", T.StringType()),
+        *[T.StructField(c, T.IntegerType()) for c in ("height", "width", "channels")],
+        T.StructField("pixels", T.BinaryType()),
+    ]
+)
+
 # The tables between the stages of a run.
 STAGES = {
     "detections": T.StructType([*DETECTIONS.fields, T.StructField("face_id", T.LongType())]),
+    "detection_errors": DETECTION_ERRORS,
     "embeddings": FACE_EMBEDDINGS,
     "matches": T.StructType(
         [T.StructField("movie", T.StringType()), T.StructField("actor_ord", T.IntegerType()), *MATCHES.fields]
     ),
     "annotation_plan": ANNOTATION_PLAN,
+    "annotated_images": T.StructType([f for f in RENDERED.fields if f.name != "pixels"]),
 }
 
 # One JSON object per movie.
@@ -130,6 +149,15 @@ CONFIG = T.StructType(
         T.StructField("actor_names", T.MapType(T.StringType(), T.StringType())),
         T.StructField("actor_colors", T.MapType(T.StringType(), COLOR)),
         T.StructField("actor_text_colors", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("embedding_model", T.StringType()),
+        T.StructField("top_k", T.IntegerType()),
+        T.StructField("similarity_threshold", T.DoubleType()),
+        T.StructField("face_detection_batch_size", T.IntegerType()),
+        T.StructField("embedding_batch_size", T.IntegerType()),
+        T.StructField("skip_face_detection", T.BooleanType()),
+        T.StructField("skip_embedding_generation", T.BooleanType()),
+        T.StructField("skip_actor_search", T.BooleanType()),
+        T.StructField("skip_image_generation", T.BooleanType()),
     ]
 )
 

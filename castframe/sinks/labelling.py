@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castframe.functions.boxes import match_label, relative_box
+from castframe.functions.boxes import CORNERS, match_label, relative_box
 from castframe.session import materialize
 
 MAX_FACES = 10_000  # labelled boxes in one sample
@@ -19,9 +19,14 @@ def with_dimensions(matches: DataFrame, dimensions: DataFrame) -> DataFrame:
 
 def relative_boxes(matches: DataFrame, dimensions: DataFrame) -> DataFrame:
     """One row per match: its label and its box as fractions of the image."""
-    corners = [F.col(f"face_{c}") for c in ("x1", "y1", "x2", "y2")]
-    return with_dimensions(matches, dimensions).select(
+    return _boxes(with_dimensions(matches, dimensions))
+
+
+def _boxes(sized: DataFrame, *extra: str) -> DataFrame:
+    corners = [F.col(f"face_{c}") for c in CORNERS]
+    return sized.select(
         F.col("frame_image_path").alias("filepath"),
+        *extra,
         "actor_ord",
         "rank",
         "face_id",
@@ -36,25 +41,37 @@ def labelling_samples(matches: DataFrame, dimensions: DataFrame, max_faces: int
 
     An image with more than ``max_faces`` boxes becomes several samples of the
     same file, ``part`` 0 to ``parts - 1``, so that no group grows without
-    bound. ``matches`` should be a stored table, since it is read twice: first
+    bound. The part also salts the join: the size of a large image is repeated
+    for each of its parts, and join and grouping share one shuffle by image and
+    part. ``matches`` should be a stored table, since it is read twice: first
     for the list of large images, which is written so that Catalyst knows its
     true size and broadcasts it only if that is small.
     """
-    boxes = relative_boxes(matches, dimensions)
     large = materialize(
-        matches.groupBy(F.col("frame_image_path").alias("filepath")).count().where(F.col("count") > max_faces)
-        .select("filepath", F.ceil(F.col("count") / max_faces).alias("parts")),
+        matches.groupBy("frame_image_path").count().where(F.col("count") > max_faces)
+        .select("frame_image_path", F.ceil(F.col("count") / max_faces).alias("parts")),
         "large-images",
     )
-    split = boxes.join(large, "filepath", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    parts = F.coalesce("parts", F.lit(1).cast("long")).alias("parts")
+    split = matches.join(large, "frame_image_path", "left").select(*matches.columns, parts)
     split = split.withColumn("part", F.pmod(F.xxhash64("actor_ord", "face_id"), F.col("parts")))
+    sizes = dimensions.select(F.col("image_path").alias("frame_image_path"), "width", "height")
+    sizes = sizes.join(large, "frame_image_path", "left").select(
+        "frame_image_path", "width", "height", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1)).alias("part")
+    )
+    boxes = _boxes(split.join(sizes, ["frame_image_path", "part"]), "part", "parts")
     entry = F.struct("actor_ord", "rank", "face_id", "label", "bounding_box", "confidence")
-    grouped = split.groupBy("filepath", "parts", "part").agg(F.array_sort(F.collect_list(entry)).alias("ordered"))
+    grouped = boxes.groupBy("filepath", "part").agg(
+        F.max("parts").alias("parts"), F.array_sort(F.collect_list(entry)).alias("ordered")
+    )
     return grouped.select(
         "filepath",
         "part",
         "parts",
-        F.transform("ordered", lambda e: F.struct(e.label.alias("label"), e.bounding_box.alias("bounding_box"), e.confidence.alias("confidence"))).alias("faces"),
+        F.transform(
+            "ordered",
+            lambda e: F.struct(e.label.alias("label"), e.bounding_box.alias("bounding_box"), e.confidence.alias("confidence")),
+        ).alias("faces"),
     )
 
 

@@ -21,7 +21,7 @@ def save_detections(detections: DataFrame, path: str, fmt: str = "parquet") -> N
 
 
 def save_embeddings(records: DataFrame, path: str, mode: str = "append") -> None:
-    """One folder per movie. No shuffle: every task writes the movies it holds."""
+    """One folder per movie. No shuffle: a task writes the movies it holds, which are few after ``embed``."""
     records.write.mode(mode).partitionBy("movie").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
@@ -36,9 +36,13 @@ def save_normalized(faces: DataFrame, path: str) -> None:
     normalized_embeddings(faces).write.mode("overwrite").parquet(path)
 
 
-def save_matches(matches: DataFrame, path: str) -> None:
-    """One table with a folder per actor: the result of one actor is one folder."""
-    matches.write.mode("overwrite").partitionBy("actor_name").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+def save_matches(matches: DataFrame, path: str, by: tuple[str, ...] = ("actor_name",)) -> None:
+    """One table with a folder per actor: the result of one actor is one folder.
+
+    Ranking leaves each actor's rows in one task, or in a few neighbours, so
+    this writes few files.
+    """
+    matches.write.mode("overwrite").partitionBy(*by).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 def export_matches(matches: DataFrame, path: str) -> None:

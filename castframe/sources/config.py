@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.functions.paths import base_name, stem
-from castframe.schema import CONFIG
+from castframe.functions.paths import base_name, embedding_output_path, stem
+from castframe.functions.vectors import as_float_vector
+from castframe.schema import CONFIG, GALLERY
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
@@ -34,3 +35,15 @@ def actor_dimension(config: DataFrame) -> DataFrame:
             F.try_element_at("actor_text_colors", F.col("actor_name")).alias("text_color"),
         )
     )
+
+
+def build_gallery(actors: DataFrame, records: DataFrame, input_root: str, output_root: str) -> DataFrame:
+    """The gallery of all movies, from the embedded faces of the actors' photographs.
+
+    Photographs go through the same detection and embedding as frames. An actor
+    names the record of one face by its mirrored path, and may do so in several
+    movies.
+    """
+    path = embedding_output_path(F.col("image_path"), input_root, output_root, F.col("face_id"))
+    faces = records.select(path.alias("embedding_path"), as_float_vector(F.col("embedding")).alias("embedding"))
+    return actors.select("movie", "actor_ord", "embedding_path").join(faces, "embedding_path").select(*GALLERY.fieldNames())

@@ -2,11 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from castframe.operators import annotate, inference, render, summary
-from castframe.plans.tagging import Settings, TaggingRun
+from castframe.plans.tagging import Settings, TaggingRun, movie_status, settings_of
+from castframe.schema import CONFIG
 from castframe.sinks import labelling
+from castframe.sinks.tables import save_embeddings
 from castframe.sources.images import rgb_pixels
 from workload import stubs
 
@@ -60,6 +63,36 @@ def test_detector_errors_fail_the_job(spark):
         inference.detect(frames(spark), lambda: lambda batch: []).count()
 
 
+def test_detector_errors_can_be_kept(spark):
+    def factory():
+        def detect(batch):
+            if any(p.endswith("/7.jpg") for p in batch["path"]):
+                raise RuntimeError("no")
+            return stubs.detector()(batch)
+
+        return detect
+
+    out = inference.detect(frames(spark), factory, 5, tasks=1, keep_errors=True).cache()
+    lost = out.where("error is not null")
+    assert lost.count() == 5 and lost.where("x1 is not null or error <> 'RuntimeError: no'").count() == 0
+    full = inference.detect(frames(spark), stubs.detector)
+    kept = full.join(lost.select("image_path"), "image_path", "left_anti").select(*full.columns)
+    assert rows(out.where("error is null").drop("error")) == rows(kept)
+
+
+def test_embedding_of_rows_with_images(spark):
+    images = spark.range(10).select(
+        F.concat(F.lit("/frames/m/"), "id", F.lit(".jpg")).alias("image_path"),
+        F.struct(
+            F.lit("").alias("origin"), F.lit(4).alias("height"), F.lit(4).alias("width"), F.lit(1).alias("nChannels"),
+            F.lit(0).alias("mode"), F.unhex(F.repeat(F.lpad(F.hex("id"), 2, "0"), 16)).alias("data"),
+        ).alias("image"),
+    )
+    faces = detections(spark).withColumn("x1", F.lit(0.0)).withColumn("y1", F.lit(0.0))
+    out = inference.embed(inference.attach_images(faces, images), lambda: lambda crops: [[c[0, 0, 0]] for c in crops], "m")
+    assert all(r.embedding == [r.face_id // 4] for r in out.collect()) and out.count() == 40
+
+
 def test_unreadable_image_is_one_error_row_each(spark):
     def read(path):
         if path.endswith("/3.jpg"):
@@ -82,7 +115,11 @@ def test_image_is_opened_once_per_task(spark, tmp_path):
 
     inference.embed(detections(spark), stubs.size_embedder, "m", read, batch_size=3).count()
     opened = open(log).read().split()
-    assert len(opened) == len(set(opened)) == 10
+    assert set(opened) == {f"/frames/m/{i}.jpg" for i in range(10)}
+    assert len(opened) < 10 + 8  # the ends of the eight ranges
+    (tmp_path / "opened").write_text("")
+    inference.embed(detections(spark), stubs.size_embedder, "m", read, batch_size=3, tasks=1).count()
+    assert len(open(log).read().split()) == 10
 
 
 def test_many_faces_of_one_image_are_spread(spark):
@@ -268,6 +305,24 @@ def test_summary_of_nothing(spark):
     assert summary.actor_summary(spark.createDataFrame([], MATCH)).count() == 0
 
 
+def test_ranges_keep_the_files_by_movie_few(spark, tmp_path):
+    rows_ = spark.range(8000).select(
+        F.concat(F.lit("m"), F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 40)).alias("movie"), F.col("id").alias("face_id"),
+        F.concat(F.lit("/frames/"), F.floor(F.col("id") / 4).cast("long"), F.lit(".jpg")).alias("image_path"),
+        *[F.lit(float(v)).alias(c) for c, v in zip(("x1", "y1", "x2", "y2", "confidence"), (0, 0, 2, 2, 1))],
+    )
+    out = inference.embed(rows_, stubs.size_embedder, "m", stubs.read_frame)
+    save_embeddings(out, str(tmp_path / "e"))
+    assert len(list((tmp_path / "e").glob("movie=*/*.parquet"))) <= 40 + 8
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 8000
+
+
+def test_settings_from_configuration(spark):
+    empty = {f: None for f in CONFIG.fieldNames()}
+    row = spark.createDataFrame([Row(**{**empty, "movie": "m", "embedding_model": "a", "top_k": 5, "skip_actor_search": True})], CONFIG).first()
+    assert settings_of(row) == Settings(model="a", top_k=5, skip_search=True)
+
+
 GALLERY = "movie string, actor_ord int, embedding_path string, embedding array<float>"
 
 
@@ -341,3 +396,31 @@ def test_failed_faces_are_retried(spark, tmp_path):
     again.run(frames(spark), gallery(spark), style(spark), *models())
     assert again.embedding_counts == {"saved": 2, "errors": 0, "skipped": 28}
     assert again.table("matches").count() == 60
+
+
+def test_movies_fail_apart_and_images_are_drawn(spark, tmp_path):
+    two = frames(spark).unionByName(
+        spark.range(1000, 1009).select(F.lit("bad").alias("movie"), F.concat(F.lit("/frames/bad/shot_1/"), "id", F.lit(".jpg")).alias("path"), F.lit(10).cast("long").alias("length"))
+    )
+
+    def picky():
+        def detect(batch):
+            if any("/bad/" in p for p in batch["path"]):
+                raise RuntimeError("no")
+            return stubs.detector()(batch)
+
+        return detect
+
+    def write(path, pixels):
+        target = tmp_path / "out" / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(pixels[:1].tobytes())
+
+    run = TaggingRun(spark, str(tmp_path / "run"), Settings(model="w", detection_batch=1))
+    run.run(two, gallery(spark), style(spark), picky, stubs.wave_embedder, stubs.read_frame, write)
+    movies = spark.createDataFrame([("m",), ("bad",), ("none",)], "movie string")
+    status = movie_status(movies, two, run.table("matches"), run.table("detection_errors"))
+    assert rows(status) == [("bad", 9, 0, "failed"), ("m", 30, 60, "success"), ("none", 0, 0, "skipped")]
+    drawn = run.table("annotated_images")
+    assert render.annotation_counters(drawn).first() == (20, 0, 0, 60)
+    assert len(list((tmp_path / "out" / "m" / "shot_1").glob("*.jpg"))) == 20

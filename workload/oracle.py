@@ -186,6 +186,15 @@ ORACLE = {
            FROM fx_gallery""",
         "fx_gallery",
     ),
+    "build_gallery": _sql(
+        """SELECT g.movie, CAST(g.actor_ord AS BIGINT) AS actor_ord,
+                  concat('/embeddings/', substring(replace(f.image_path, '.jpg', ''), 9), '_face_', f.face_id, '.pkl') AS embedding_path,
+                  round(list_sum(f.embedding), 6) AS total
+           FROM fx_gallery g JOIN (SELECT label, min(vec_id) AS face_id FROM embeddings GROUP BY label) e ON e.label = g.actor_ord
+           JOIN fx_faces f USING (face_id)""",
+        "fx_gallery",
+        "fx_faces",
+    ),
     "image_dimensions": _sql(
         """SELECT concat('/pixels/', vec_id, '.png') AS image_path, CAST(8 AS BIGINT) AS width, CAST(8 AS BIGINT) AS height,
                   CAST(1 AS BIGINT) AS channels
@@ -269,6 +278,8 @@ ORACLE = {
     ),
     "actor_matches": _sql(f"SELECT {_MATCH} FROM matches", "matches"),
     "actor_topk": _sql(f"SELECT {_MATCH} FROM matches WHERE rank <= 20", "matches"),
+    # With these parameters a pair of the top 20 misses all tables about once in a million.
+    "actor_topk_lsh": _sql(f"SELECT {_MATCH} FROM matches WHERE rank <= 20", "matches"),
     "detections_with_embeddings": _sql(
         f"""SELECT d.face_id, d.image_path, {_BOX.replace('(x', '(d.x').replace('(y', '(d.y')}, round(list_sum(e.embedding::DOUBLE[]), 6) AS total
             FROM fx_detections d JOIN embeddings e ON e.vec_id = d.face_id""",

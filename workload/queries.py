@@ -118,6 +118,21 @@ def actor_dimension(spark, sf_dir):
     )
 
 
+@query
+def build_gallery(spark, sf_dir):
+    """The gallery again, from the embedded faces that the actors name by path."""
+    faces, gallery = fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir)
+    path = paths.embedding_output_path(F.col("image_path"), fx.INPUT_ROOT, fx.OUTPUT_ROOT, F.col("face_id"))
+    first = fx.table(spark, sf_dir, "embeddings").groupBy("label").agg(F.min("vec_id").alias("face_id"))
+    named = first.join(faces.select("face_id", "image_path"), "face_id").select(
+        F.col("label").alias("actor_ord"), path.alias("embedding_path")
+    )
+    actors = gallery.select("movie", "actor_ord").join(named, "actor_ord")
+    built = config.build_gallery(actors, faces, fx.INPUT_ROOT, fx.OUTPUT_ROOT)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return built.select("movie", F.col("actor_ord").cast("bigint").alias("actor_ord"), "embedding_path", F.round(total, 6).alias("total"))
+
+
 @query
 def image_dimensions(spark, sf_dir):
     sizes = images.image_dimensions(fx.pixel_images(spark, sf_dir))
