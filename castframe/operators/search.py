@@ -31,6 +31,7 @@ MAX_BLOCK_BYTES = 64 << 20  # of gallery data sent to the tasks at once
 MAX_SORTED_GROUP = 1_000_000  # rows of one actor that one task may rank
 MAX_KEPT_ROWS = 500_000  # best rows that one task may hold (actors x k)
 MAX_TASK_K = 10_000  # beyond this k, ranking everything is less work
+MAX_LIST = 2_000  # actors in the score list of one face
 _CELLS = 4_000_000  # scores computed at once in a task
 _BELOW_ALL = -2.0  # under every cosine, above the -inf of pairs left out
 
@@ -55,9 +56,13 @@ class Pass(NamedTuple):
     names: pa.Table
 
 
-def gallery_passes(faces: DataFrame, gallery: DataFrame, within: str | None, max_bytes: int) -> Iterator[Pass]:
+def gallery_passes(
+    faces: DataFrame, gallery: DataFrame, within: str | None, max_bytes: int, max_list: int | None = None
+) -> Iterator[Pass]:
     """Fetch the gallery in blocks under ``max_bytes``, with the faces to score.
 
+    With ``max_list``, no face meets many more than that many actors of a block.
+
     Almost every gallery is one block, so there is one pass over the faces. A
     larger one takes a pass per block. If faces meet only the actors of their
     movie, the blocks hold whole movies and a pass takes the faces of those
@@ -68,8 +73,20 @@ def gallery_passes(faces: DataFrame, gallery: DataFrame, within: str | None, max
     vector_bytes = 8 * F.size("embedding") + 64
     size = (
         gallery.groupBy(*shared)
-        .agg(F.sum(vector_bytes).alias("bytes"), F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high"))
-        .agg(F.sum("bytes").alias("all"), F.max("bytes").alias("most"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(vector_bytes).alias("bytes"),
+            F.min(F.size("embedding")).alias("low"),
+            F.max(F.size("embedding")).alias("high"),
+        )
+        .agg(
+            F.sum("n").alias("n"),
+            F.max("n").alias("longest"),
+            F.sum("bytes").alias("all"),
+            F.max("bytes").alias("most"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
         .first()
     )
     if not size["all"]:
@@ -80,6 +97,9 @@ def gallery_passes(faces: DataFrame, gallery: DataFrame, within: str | None, max
     # Half of the limit on average, so that uneven hashing stays under it.
     pieces = 1 if size["all"] <= max_bytes else math.ceil(2 * size["all"] / max_bytes)
     by_movie = within is not None and size["most"] <= max_bytes // 2
+    if max_list is not None and size["longest"] > max_list:
+        by_movie = False
+        pieces = max(pieces, math.ceil(2 * size["longest"] / max_list))
     columns = [F.col(within) if within else F.lit(None).cast("string").alias("movie"), "actor_ord", "embedding_path", "embedding"]
     for piece in range(pieces):
         part, some = gallery, faces
@@ -184,7 +204,7 @@ def score_all(faces: DataFrame, gallery: DataFrame, within: str | None = None, m
 
     Only the vectors pass through Python; the other columns stay in the JVM.
     """
-    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes), within)
+    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_LIST), within)
     return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
 
 
@@ -213,13 +233,13 @@ class _Best:
             return
         held = len(self.columns[0])
         pooled = [np.concatenate(pair) for pair in zip(self.columns, (j, scores[i, j], ids[rows[i]]))]
-        keep = _first_k(pooled[0], pooled[1], pooled[2], self.k)
+        keep = np.sort(_first_k(pooled[0], pooled[1], pooled[2], self.k))
         self.columns = tuple(values[keep] for values in pooled)
-        # Rows leave and join in the order of ``keep``.
-        fresh = batch.take(pa.array(rows[i]))
-        pool = fresh if self.rows is None else pa.concat_tables([self.rows, fresh])
-        assert pool.num_rows == held + len(i)
-        self.rows = pool.take(pa.array(keep)).combine_chunks()
+        # Only the rows that stay are copied: first old ones, then new ones.
+        fresh = batch.take(pa.array(rows[i[keep[keep >= held] - held]]))
+        if self.rows is not None:
+            fresh = pa.concat_tables([self.rows.take(pa.array(keep[keep < held])), fresh])
+        self.rows = fresh.combine_chunks()
         full = np.bincount(self.columns[0], minlength=len(self.bar)) >= self.k
         lowest = np.full(len(self.bar), np.inf)
         np.minimum.at(lowest, self.columns[0], self.columns[1])
@@ -299,7 +319,7 @@ def match_faces(
     best = None
     if k is not None and k <= MAX_TASK_K:
         best = _best_scores(gallery_passes(faces, gallery, within, max_bytes), k, within)
-    results, names = best or _all_scores(gallery_passes(faces, gallery, within, max_bytes), within)
+    results, names = best or _all_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_LIST), within)
     scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
     if best is not None:
         ranked = _rank_best(scored, groups, order, k)

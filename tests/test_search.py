@@ -86,6 +86,14 @@ def test_gallery_in_blocks(faces, gallery, k, within):
         assert rows(match_faces(faces, gallery, k, within, max_bytes=limit)) == rows(whole)
 
 
+@pytest.mark.parametrize("within", [None, "movie"])
+def test_long_score_lists_are_split(faces, gallery, within, monkeypatch):
+    expected = rows(match_faces(faces, gallery, None, within))
+    monkeypatch.setattr(search, "MAX_LIST", 2)
+    assert len(list(search.gallery_passes(faces, gallery, within, 1 << 20, 2))) > 1
+    assert rows(match_faces(faces, gallery, None, within)) == expected
+
+
 def test_passes_prune_a_table_stored_by_movie(spark, faces, gallery, tmp_path):
     path = str(tmp_path / "faces")
     faces.write.partitionBy("movie").parquet(path)
