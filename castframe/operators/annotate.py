@@ -69,15 +69,16 @@ def annotation_plan(
     )
 
 
-def annotatable_images(matches: DataFrame, listing: DataFrame) -> DataFrame:
+def annotatable_images(matches: DataFrame, listing: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every matched image, and whether it can be annotated.
 
     ``listing`` has path and length. A file that is absent or larger than the
-    limit is skipped.
+    limit is skipped. ``keep`` names columns that an image has once, such as
+    its movie.
     """
-    wanted = matches.where(F.col("frame_image_path").isNotNull()).select("frame_image_path").distinct()
+    wanted = matches.where(F.col("frame_image_path").isNotNull()).select("frame_image_path", *keep).distinct()
     files = listing.select(F.col("path").alias("frame_image_path"), "length")
     status = (
         F.when(F.col("length").isNull(), "missing").when(F.col("length") > MAX_IMAGE_BYTES, "too_large").otherwise("ok")
     )
-    return wanted.join(files, "frame_image_path", "left").select("frame_image_path", "length", status.alias("status"))
+    return wanted.join(files, "frame_image_path", "left").select("frame_image_path", *keep, "length", status.alias("status"))

@@ -117,10 +117,16 @@ def detect(
     return frames.mapInPandas(run, schema, profile=profile)
 
 
+def _done_keys(done: DataFrame, model: str) -> DataFrame:
+    """What identifies an embedded face: a new detection run may give its id to another box."""
+    box = [F.col(f"bbox.{c}").alias(c) for c in CORNERS] if "bbox" in done.columns else [*CORNERS]
+    return done.where(F.col("model") == model).select("movie", "face_id", "image_path", *box)
+
+
 def pending_embeddings(detections: DataFrame, done: DataFrame, model: str) -> DataFrame:
     """Detections that have no embedding of this model yet."""
-    keys = done.where(F.col("model") == model).select("movie", "face_id", "image_path")
-    return detections.join(keys, ["movie", "face_id", "image_path"], "left_anti")
+    keys = _done_keys(done, model)
+    return detections.join(keys, keys.columns, "left_anti")
 
 
 def crop(pixels: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
@@ -273,8 +279,8 @@ def embed(
 
 def embedding_run(detections: DataFrame, done: DataFrame, model: str, **how: Any) -> DataFrame:
     """The status of every detection: skipped because done, saved, or error."""
-    keys = done.where(F.col("model") == model).select("movie", "face_id", "image_path")
-    skipped = detections.join(keys, ["movie", "face_id", "image_path"], "left_semi").select(
+    keys = _done_keys(done, model)
+    skipped = detections.join(keys, keys.columns, "left_semi").select(
         "movie", "face_id", "image_path", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error")
     )
     fresh = embed(pending_embeddings(detections, done, model), model=model, **how)

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from castframe.functions.paths import shot_relative_path
 from castframe.operators.inference import spread
 from castframe.schema import BOX_WIDTH, RENDERED
 
@@ -65,6 +66,22 @@ def topmost_boxes(plan: DataFrame) -> DataFrame:
     )
 
 
+def _boxes_of_usable(boxes: DataFrame, usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The boxes on usable images, a row without box for the bare ones, and the skipped images."""
+    own_path = F.col("save_path") if "save_path" in usable.columns else shot_relative_path(F.col("frame_image_path"))
+    images = usable.withColumn("save_path", own_path)
+    ok = images.where(F.col("status") == "ok").select("frame_image_path", "save_path")
+    # An inner join and an anti join: adaptive execution can split an image
+    # with very many boxes in the first, and the second has each image once.
+    on_images = boxes.drop("save_path").join(ok, "frame_image_path")
+    bare = ok.join(boxes.select("frame_image_path").distinct(), "frame_image_path", "left_anti")
+    skipped = images.where(F.col("status") != "ok").select(
+        "frame_image_path", "save_path", F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("faces_drawn"),
+        F.col("status").alias("error"),
+    )
+    return on_images.unionByName(bare, allowMissingColumns=True), skipped
+
+
 def render(
     plan: DataFrame,
     read_image: Callable[[str], np.ndarray],
@@ -79,30 +96,25 @@ def render(
 
     ``write_image(save_path, pixels)`` stores an image from inside the task;
     with ``keep_pixels`` the pixels come back in the result instead. ``usable``
-    is the output of ``annotatable_images``: images that are not ``ok`` there
-    are reported as skipped and not opened. Without a factory the built-in
-    renderer draws outlines.
+    is the output of ``annotatable_images``, best as a stored table: images
+    that are not ``ok`` there are reported as skipped and not opened, and an
+    image without a drawable box is handed on as it is. It may have a
+    ``save_path`` of its own. Without a factory the built-in renderer draws
+    outlines.
 
     The rows of an image arrive sorted and are drawn piece by piece, so a task
     holds one image and one batch of rows, however many boxes the image has.
     """
-    if usable is not None:
-        ok = usable.where(F.col("status") == "ok").select("frame_image_path")
-        skipped = usable.where(F.col("status") != "ok").select("frame_image_path", F.col("status").alias("error"))
-        unopened = skipped.select(
-            "frame_image_path", F.lit(None).cast("string").alias("save_path"), F.lit("skipped").alias("status"),
-            F.lit(0).cast("long").alias("faces_drawn"), "error",
-            *[F.lit(None).cast("int").alias(c) for c in ("height", "width", "channels")],
-            F.lit(None).cast("binary").alias("pixels"),
-        )
-    rows = topmost_boxes(plan) if renderer_factory is None else plan.withColumn("faces", F.lit(1))
-    if usable is not None:
-        rows = rows.join(ok, "frame_image_path", "left_semi")
     factory = renderer_factory or outline_renderer
-    columns = [c for c in rows.columns if c != "color"]
-    rows = spread(rows.select(*columns, "color.r", "color.g", "color.b"), tasks, F.col("frame_image_path"))
+    boxes = topmost_boxes(plan) if renderer_factory is None else plan.withColumn("faces", F.lit(1))
+    boxes = boxes.select(*[c for c in boxes.columns if c != "color"], "color.r", "color.g", "color.b")
+    if usable is not None:
+        boxes, unopened = _boxes_of_usable(boxes, usable)
+    rows = spread(boxes, tasks, F.col("frame_image_path"))
     rows = rows.sortWithinPartitions("frame_image_path", "actor_ord", "rank")
 
+    whole = {f.name: "int64" for f in rows.schema if f.dataType.typeName() in ("integer", "long")}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         draw = None
         path = save_path = pixels = error = None
@@ -135,7 +147,9 @@ def render(
                         pixels = np.array(read_image(path))
                     except Exception as problem:
                         pixels, error = None, f"{type(problem).__name__}: {problem}"
-                if error is None:
+                # Rows of bare images turn the whole columns of a batch into floats.
+                some = some[some["x1"].notna()].astype(whole)
+                if error is None and len(some):
                     try:
                         drawn += draw(pixels, some)
                     except Exception as problem:
@@ -144,7 +158,7 @@ def render(
             yield finished()
 
     result = rows.mapInPandas(run, RENDERED, profile=profile)
-    return result if usable is None else result.unionByName(unopened)
+    return result if usable is None else result.unionByName(unopened, allowMissingColumns=True)
 
 
 def annotation_counters(rendered: DataFrame) -> DataFrame:

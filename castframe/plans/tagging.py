@@ -13,7 +13,9 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.operators.annotate import annotatable_images, annotation_plan
+from castframe.functions.boxes import CORNERS
+from castframe.functions.paths import shot_relative_path
+from castframe.operators.annotate import above_threshold, annotatable_images, annotation_plan
 from castframe.operators.inference import detect, embed, pending_embeddings
 from castframe.operators.numbering import assign_face_ids
 from castframe.operators.render import render
@@ -69,7 +71,6 @@ class TaggingRun:
         self.settings = settings
         folder = folder.rstrip("/")
         self.paths = {name: f"{folder}/{name}" for name in STAGES}
-        self.redetected = False
         self.embedding_counts: dict[str, int] = {}
 
     def _table(self, name: str) -> DataFrame:
@@ -83,7 +84,6 @@ class TaggingRun:
             # Numbering sorts, and a sort samples its input first: detect once.
             found = materialize(found, "found")
             numbered = assign_face_ids(found.where("error is null").drop("error"))
-            self.redetected = table_exists(self.spark, self.paths["embeddings"])
             save_detections(numbered, self.paths["detections"])
             failed = found.where("error is not null").select(*STAGES["detection_errors"].fieldNames())
             failed.write.mode("overwrite").parquet(self.paths["detection_errors"])
@@ -105,13 +105,19 @@ class TaggingRun:
             total = self._table("detections").count()
             self.embedding_counts = {**counts, "skipped": total - sum(counts.values())}
         stored = self._table("embeddings").where(F.col("model") == self.settings.model)
-        if self.redetected:
-            # Rows of faces that the new detections no longer have.
-            keys = self._table("detections").select(
-                "movie", "face_id", "image_path", F.struct("x1", "y1", "x2", "y2").alias("bbox")
-            )
-            stored = stored.join(keys, ["movie", "face_id", "image_path", "bbox"], "left_semi")
-        return stored
+        return self._without_stale(stored) if exists else stored
+
+    def _without_stale(self, stored: DataFrame) -> DataFrame:
+        """Leave out faces that the detections no longer have, after a new detection run.
+
+        Only the keys are compared first; the vectors are joined only if some are stale.
+        """
+        on = ["movie", "face_id", "image_path", "bbox"]
+        box = F.struct(*CORNERS).alias("bbox")
+        keys = self._table("detections").select("movie", "face_id", "image_path", box)
+        if stored.select(*on).join(keys, on, "left_anti").isEmpty():
+            return stored
+        return stored.join(keys, on, "left_semi")
 
     def matches(self, embeddings: DataFrame, gallery: DataFrame) -> None:
         if not self.settings.skip_search:
@@ -132,10 +138,12 @@ class TaggingRun:
     ) -> None:
         """Draw the plan on the frames. Each movie has a folder of its own."""
         if not self.settings.skip_annotation:
-            plan = self._table("annotation_plan")
-            usable = materialize(annotatable_images(plan, listing), "usable")
-            plan = plan.withColumn("save_path", F.concat_ws("/", "movie", "save_path"))
-            drawn = render(plan, read_image, renderer_factory, write_image, usable=usable)
+            matches = above_threshold(self._table("matches"), self.settings.threshold)
+            usable = annotatable_images(matches, listing, ("movie",)).withColumn(
+                "save_path", F.concat_ws("/", "movie", shot_relative_path(F.col("frame_image_path")))
+            )
+            usable = materialize(usable, "usable")
+            drawn = render(self._table("annotation_plan"), read_image, renderer_factory, write_image, usable=usable)
             drawn.drop("pixels").write.mode("overwrite").parquet(self.paths["annotated_images"])
 
     def run(

@@ -55,13 +55,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     This cuts the lineage: a lost executor never causes the work before it to
     run again, and values that depend on the physical partitioning stay fixed
-    for every later reader.
+    for every later reader. The tables of an application share one folder,
+    which can go when the application has ended.
     """
-    path = f"{workspace(df.sparkSession)}/castframe/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh path for an intermediate table of this application."""
+    return f"{workspace(spark)}/castframe/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 _shipped: set[tuple[str, str]] = set()
 
 

@@ -252,7 +252,8 @@ def test_topmost_boxes_do_not_change_the_picture(spark, actors):
     assert rows(pre) == rows(full) and pre.count() == 3
 
 
-def test_render_errors_skips_and_counters(spark, actors, tmp_path):
+@pytest.mark.parametrize("tasks", [1, None])
+def test_render_errors_skips_and_counters(spark, actors, tmp_path, tasks):
     def read(path):
         if path == "/bad":
             raise OSError("broken")
@@ -265,18 +266,22 @@ def test_render_errors_skips_and_counters(spark, actors, tmp_path):
 
     found = [match(0, i, 0.5, p) for i, p in enumerate(("/ok", "/ok", "/bad", "/big", "/none", "/full"))]
     found.append(match(0, 9, 0.5, "/ok", (9.0, 9.0, 1.0, 1.0)))  # no area: left out
+    found.append(match(0, 10, 0.5, "/bare", (None, 1.0, 2.0, 2.0)))  # handed on without a box
     frame = spark.createDataFrame(found, MATCH)
-    listing = spark.createDataFrame([("/ok", 1), ("/bad", 1), ("/full", 1), ("/big", 52428801)], "path string, length long")
+    listing = spark.createDataFrame(
+        [("/ok", 1), ("/bad", 1), ("/full", 1), ("/bare", 1), ("/big", 52428801)], "path string, length long"
+    )
     usable = annotate.annotatable_images(frame, listing)
-    out = render.render(annotate.annotation_plan(frame, actors), read, write_image=write, usable=usable).cache()
+    out = render.render(annotate.annotation_plan(frame, actors), read, write_image=write, usable=usable, tasks=tasks).cache()
     assert rows(out.select("frame_image_path", "status", "error", "faces_drawn")) == [
         ("/bad", "error", "OSError: broken", 0),
+        ("/bare", "processed", None, 0),
         ("/big", "skipped", "too_large", 0),
         ("/full", "error", "OSError: disk", 0),
         ("/none", "skipped", "missing", 0),
         ("/ok", "processed", None, 2),
     ]
-    assert render.annotation_counters(out).first() == (1, 2, 2, 2)
+    assert render.annotation_counters(out).first() == (2, 2, 2, 2)
     assert (tmp_path / "ok").stat().st_size == 7500
 
 
@@ -379,6 +384,29 @@ def test_new_detections_leave_no_stale_faces(spark, tmp_path):
     grown = TaggingRun(spark, folder, Settings(model="w")).run(frames(spark, 45), gallery(spark), style(spark), *models())
     fresh = TaggingRun(spark, str(tmp_path / "fresh"), Settings(model="w")).run(frames(spark, 45), gallery(spark), style(spark), *models())
     assert rows(grown.table("matches")) == rows(fresh.table("matches"))
+    # Also when a later run finds them.
+    shrunk = TaggingRun(spark, folder, Settings(model="w", skip_search=True, skip_annotation=True, skip_embedding=True))
+    shrunk.run(frames(spark, 12), gallery(spark), style(spark), *models())
+    last = TaggingRun(spark, folder, Settings(model="w", skip_detection=True))
+    last.run(frames(spark, 12), gallery(spark), style(spark), *models())
+    small = TaggingRun(spark, str(tmp_path / "small"), Settings(model="w")).run(frames(spark, 12), gallery(spark), style(spark), *models())
+    assert rows(last.table("matches")) == rows(small.table("matches"))
+
+
+def test_other_boxes_with_the_same_ids_are_embedded_again(spark, tmp_path):
+    def shifted():
+        def detect(batch):
+            return [[(x1 + 5, y1, x2 + 5, y2, c) for x1, y1, x2, y2, c in faces] for faces in stubs.detector()(batch)]
+
+        return detect
+
+    run = lambda detector: TaggingRun(spark, str(tmp_path / "run"), Settings(model="w")).run(
+        frames(spark), gallery(spark), style(spark), detector, *models()[1:]
+    )
+    run(stubs.detector)
+    second = run(shifted)
+    assert second.embedding_counts == {"saved": 30, "errors": 0, "skipped": 0}
+    assert second.table("matches").count() == 60 and second.table("matches").where("face_x1 < 5").count() == 0
 
 
 def test_failed_faces_are_retried(spark, tmp_path):

@@ -68,7 +68,7 @@ SELECT DISTINCT d.frame_image_path, i.length,
        CASE WHEN i.length IS NULL THEN 'missing' WHEN i.length > 52428800 THEN 'too_large' ELSE 'ok' END AS status
 FROM drawn d LEFT JOIN fx_images i ON i.image_path = d.frame_image_path""",
     "rendered": """
-SELECT u.frame_image_path, CASE WHEN u.status = 'ok' THEN any_value(d.save_path) END AS save_path,
+SELECT u.frame_image_path, any_value(d.save_path) AS save_path,
        CASE WHEN u.status = 'ok' THEN 'processed' ELSE 'skipped' END AS status,
        CASE WHEN u.status <> 'ok' THEN u.status END AS error,
        CASE WHEN u.status = 'ok' THEN count(*) ELSE 0 END AS faces_drawn,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from castframe.operators import annotate, inference, lsh, numbering, render, sea
 from castframe.plans import tagging
 from castframe.plans.tagging import Settings, TaggingRun
 from castframe.schema import DETECTIONS_CSV, PREVIEW_ROWS
-from castframe.session import materialize, ship, workspace
+from castframe.session import materialize, scratch, ship
 from castframe.sinks import labelling, tables as sinks
 from castframe.sources import config, frames as frame_source, images, tables
 from workload import fixtures as fx
@@ -40,10 +39,6 @@ def _six(*names: str) -> list:
     return [F.round(n, 6).alias(n) for n in names]
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/castframe/{name}-{uuid.uuid4().hex}"
-
-
 def _matches(spark: SparkSession, sf_dir: str, k: int | None = None, within: str | None = None) -> DataFrame:
     return search.match_faces(fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir), k, within)
 
@@ -68,7 +63,7 @@ def frames_by_extension(spark, sf_dir):
 @query
 def detections_roundtrip(spark, sf_dir):
     columns = [*DETECTIONS_CSV.fieldNames(), "face_id"]
-    path = _folder(spark, "detections-csv")
+    path = scratch(spark, "detections-csv")
     sinks.save_detections(fx.detections(spark, sf_dir).select(*columns), path, "csv")
     back = tables.read_detections(spark, path, with_ids=True)
     return back.select("face_id", "image_path", *_six("x1", "y1", "x2", "y2", "confidence"))
@@ -109,7 +104,7 @@ def gallery_listing(spark, sf_dir):
 
 @query
 def actor_dimension(spark, sf_dir):
-    path = _folder(spark, "config")
+    path = scratch(spark, "config")
     fx.config(spark, sf_dir).write.json(path)
     actors = config.actor_dimension(config.read_config(spark, path))
     return actors.select(
@@ -144,7 +139,7 @@ def image_dimensions(spark, sf_dir):
 
 @query
 def embedding_table_layout(spark, sf_dir):
-    path = _folder(spark, "embeddings")
+    path = scratch(spark, "embeddings")
     sinks.save_embeddings(fx.faces(spark, sf_dir), path)
     stored = spark.read.parquet(path)
     return stored.groupBy("movie").agg(
@@ -162,7 +157,7 @@ def normalized_embeddings(spark, sf_dir):
 
 @query
 def matches_for_one_actor(spark, sf_dir):
-    path = _folder(spark, "matches")
+    path = scratch(spark, "matches")
     sinks.save_matches(_matches(spark, sf_dir), path)
     stored = tables.read_matches(spark, path)
     return _match_rows(stored.where(F.col("actor_name") == "actor_3_face_0"))
@@ -171,7 +166,7 @@ def matches_for_one_actor(spark, sf_dir):
 @query
 def labelling_samples(spark, sf_dir):
     stored = materialize(_matches(spark, sf_dir), "matches")
-    path = _folder(spark, "samples")
+    path = scratch(spark, "samples")
     samples = labelling.labelling_samples(stored, fx.images(spark, sf_dir))
     labelling.save_samples(samples, path)
     back = spark.read.schema(samples.schema).json(path)
@@ -436,7 +431,7 @@ def annotation_counters(spark, sf_dir):
 def tag_run(spark, sf_dir):
     """Frames to the ten best faces per actor, with label, through all stages."""
     gallery = fx.gallery(spark, sf_dir)
-    run = TaggingRun(spark, _folder(spark, "run"), Settings(model=MODEL, top_k=10))
+    run = TaggingRun(spark, scratch(spark, "run"), Settings(model=MODEL, top_k=10))
     run.run(fx.frames(spark, sf_dir), gallery, gallery, stubs.detector, stubs.wave_embedder, stubs.read_frame)
     plan = run.table("annotation_plan")
     whole = ("actor_ord", "rank", "face_id", "x1", "y1", "x2", "y2", "text_y")
