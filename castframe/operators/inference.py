@@ -197,7 +197,7 @@ class _Opened:
             except Exception as problem:
                 self.held = problem
         if isinstance(self.held, Exception):
-            raise self.held
+            raise self.held.with_traceback(None)
         return self.held
 
 

@@ -27,6 +27,7 @@ from castframe.functions.vectors import SCORE_DECIMALS, unit_rows
 from castframe.operators.search import (
     MAX_BLOCK_BYTES,
     MAX_KEPT_ROWS,
+    MAX_TASK_K,
     Block,
     _actor_names,
     _as_matches,
@@ -109,18 +110,17 @@ def match_faces_lsh(
     buckets leave fewer pairs to score. Arguments and result are otherwise
     those of ``match_faces``.
     """
+    if not 1 <= k <= MAX_TASK_K:
+        raise ValueError(f"k must lie between 1 and {MAX_TASK_K}")
     shared = [within] if within else []
     faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
-    found = _best_scores(
-        gallery_passes(faces, gallery, within, max_bytes),
+    results, names = _best_scores(
+        gallery_passes(faces, gallery, within, max_bytes, MAX_KEPT_ROWS // k),
         k,
         within,
         lambda block: _hash_block(block, tables, projections, bucket, seed),
         _candidate_parts,
     )
-    if found is None:
-        raise ValueError(f"k is too large: a task may hold {MAX_KEPT_ROWS} rows; use the exact search")
-    results, names = found
     scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
     order = [F.desc("similarity_score"), F.asc("face_id")]
     ranked = _rank_best(scored, [*shared, "actor_ord"], order, k).where(F.col("rank") <= k)

@@ -57,50 +57,46 @@ class Pass(NamedTuple):
 
 
 def gallery_passes(
-    faces: DataFrame, gallery: DataFrame, within: str | None, max_bytes: int, max_list: int | None = None
+    faces: DataFrame,
+    gallery: DataFrame,
+    within: str | None,
+    max_bytes: int,
+    max_actors: int | None = None,
+    max_list: int | None = None,
 ) -> Iterator[Pass]:
-    """Fetch the gallery in blocks under ``max_bytes``, with the faces to score.
-
-    With ``max_list``, no face meets many more than that many actors of a block.
-
-    Almost every gallery is one block, so there is one pass over the faces. A
-    larger one takes a pass per block. If faces meet only the actors of their
-    movie, the blocks hold whole movies and a pass takes the faces of those
-    movies alone: on a table stored by movie the passes together read every
-    face once.
+    """Fetch the gallery in blocks of bounded size, with the faces to score.
+
+    A block has at most ``max_bytes`` and ``max_actors``; with ``max_list`` no
+    face meets many more than that many of its actors. Almost every gallery is
+    one block, so there is one pass over the faces. A larger one takes a pass
+    per block. If faces meet only the actors of their movie, the blocks hold
+    whole movies and a pass takes the faces of those movies alone: on a table
+    stored by movie the passes together read every face once.
     """
     shared = [within] if within else []
-    vector_bytes = 8 * F.size("embedding") + 64
+    length = F.size("embedding")
     size = (
         gallery.groupBy(*shared)
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(vector_bytes).alias("bytes"),
-            F.min(F.size("embedding")).alias("low"),
-            F.max(F.size("embedding")).alias("high"),
-        )
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("n").alias("longest"),
-            F.sum("bytes").alias("all"),
-            F.max("bytes").alias("most"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
+        .agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high"))
+        .agg(F.sum("n").alias("n"), F.max("n").alias("longest"), F.min("low").alias("low"), F.max("high").alias("high"))
         .first()
     )
-    if not size["all"]:
+    if not size["n"]:
         return
     if size["low"] != size["high"] or size["low"] < 1:
         raise ValueError(f"gallery vectors have between {size['low']} and {size['high']} elements")
     dims = size["high"]
-    # Half of the limit on average, so that uneven hashing stays under it.
-    pieces = 1 if size["all"] <= max_bytes else math.ceil(2 * size["all"] / max_bytes)
-    by_movie = within is not None and size["most"] <= max_bytes // 2
+    limit = max(1, max_bytes // (8 * dims + 64))
+    if max_actors is not None:
+        limit = max(1, min(limit, max_actors))
+    # Half of the limit on average, so that uneven hashing mostly stays under it.
+    pieces = 1 if size["n"] <= limit else math.ceil(2 * size["n"] / limit)
+    by_movie = within is not None and size["longest"] <= limit
     if max_list is not None and size["longest"] > max_list:
         by_movie = False
         pieces = max(pieces, math.ceil(2 * size["longest"] / max_list))
-    columns = [F.col(within) if within else F.lit(None).cast("string").alias("movie"), "actor_ord", "embedding_path", "embedding"]
+
+    movie = F.col(within) if within else F.lit(None).cast("string").alias("movie")
     for piece in range(pieces):
         part, some = gallery, faces
         if pieces > 1 and by_movie:
@@ -108,19 +104,23 @@ def gallery_passes(
             part, some = gallery.where(here), faces.where(here)
         elif pieces > 1:
             part = gallery.where(F.pmod(F.xxhash64("embedding_path", "actor_ord"), F.lit(pieces)) == piece)
-        table = part.select(*columns).toArrow()
-        if not table.num_rows:
-            continue
-        table = table.sort_by([(table.column_names[0], "ascending"), ("actor_ord", "ascending")])
-        movies = table.column(0).to_pylist()
-        ords = table.column(1).to_numpy().astype(np.int32)
-        units = unit_rows(stack(table.column(3), dims))
-        matrices, begin = {}, 0
-        for movie, rows in groupby(movies):
-            end = begin + len(list(rows))
-            matrices[movie] = (ords[begin:end], units[begin:end])
-            begin = end
-        yield Pass(Block(dims, matrices, len(movies)), some, table.drop_columns(["embedding"]))
+        fetched = part.select(movie, "actor_ord", "embedding_path", "embedding").toArrow()
+        fetched = fetched.sort_by([(fetched.column_names[0], "ascending"), ("actor_ord", "ascending")])
+        for at in range(0, fetched.num_rows, limit):
+            table = fetched.slice(at, limit)
+            yield Pass(_block(table, dims), some, table.drop_columns(["embedding"]))
+
+
+def _block(table: pa.Table, dims: int) -> Block:
+    """A block from gallery rows that are sorted by movie."""
+    ords = table.column("actor_ord").to_numpy().astype(np.int32)
+    units = unit_rows(stack(table.column("embedding"), dims))
+    matrices, begin = {}, 0
+    for movie, rows in groupby(table.column(0).to_pylist()):
+        end = begin + sum(1 for _ in rows)
+        matrices[movie] = (ords[begin:end], units[begin:end])
+        begin = end
+    return Block(dims, matrices, table.num_rows)
 
 
 def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
@@ -204,7 +204,7 @@ def score_all(faces: DataFrame, gallery: DataFrame, within: str | None = None, m
 
     Only the vectors pass through Python; the other columns stay in the JVM.
     """
-    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_LIST), within)
+    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes, max_list=MAX_LIST), within)
     return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
 
 
@@ -258,16 +258,13 @@ def _best_scores(
     within: str | None,
     prepare: Callable[[Block], Any] = lambda block: block,
     parts: Callable[..., Iterator[tuple]] = _scored_parts,
-) -> tuple[list[DataFrame], list[pa.Table]] | None:
+) -> tuple[list[DataFrame], list[pa.Table]]:
     """The k best faces per actor within each task: all that can still reach the top k.
 
-    Returns None when a task would have to hold more than ``MAX_KEPT_ROWS``.
     ``parts`` scores a batch against what ``prepare`` made of the block.
     """
     results, names = [], []
     for one in passes:
-        if one.block.actors * k > MAX_KEPT_ROWS:
-            return None
         rest = [c for c in one.faces.columns if c != "embedding"]
         schema = T.StructType([one.faces.schema[c] for c in rest] + SCORES.elementType.fields)
         shared = one.faces.sparkSession.sparkContext.broadcast(prepare(one.block))
@@ -316,12 +313,13 @@ def match_faces(
     groups = [*shared, "actor_ord"]
     order = [F.desc("similarity_score"), F.asc("face_id")]
 
-    best = None
-    if k is not None and k <= MAX_TASK_K:
-        best = _best_scores(gallery_passes(faces, gallery, within, max_bytes), k, within)
-    results, names = best or _all_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_LIST), within)
+    few = k is not None and k <= MAX_TASK_K
+    if few:
+        results, names = _best_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_KEPT_ROWS // k), k, within)
+    else:
+        results, names = _all_scores(gallery_passes(faces, gallery, within, max_bytes, max_list=MAX_LIST), within)
     scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
-    if best is not None:
+    if few:
         ranked = _rank_best(scored, groups, order, k)
     elif _largest_group(faces, within) <= max_sorted_group:
         ranked = _rank(scored, groups, order)

@@ -12,6 +12,18 @@ QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 def test_query(spark, sf_dir, name):
     frame = QUERIES[name](spark, sf_dir)
     assert difference(frame, sf_dir, ORACLE[name]) is None
+    check_plan(frame._jdf.queryExecution().executedPlan().toString())
+
+
+def check_plan(plan):
+    """No cross join, and no window over all rows."""
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # What runs before the final plan is listed again in it as the initial one.
+    lines = plan.split("== Initial Plan ==")[-1].splitlines()
+    for at, line in enumerate(lines):
+        # A single partition is for totals and for the offsets of numbering.
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in lines[at + 1]
 
 
 def test_every_query_has_sql():

@@ -2,32 +2,17 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from castframe.operators.annotate import annotation_plan
 from castframe.operators.search import match_faces
 from workload import fixtures as fx
 
-QUERIES = entry.queries()
-
 
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join_and_no_window_over_all_rows(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    lines = plan.splitlines()
-    for at, line in enumerate(lines):
-        # A single partition is for totals and for the offsets of numbering.
-        if "Exchange SinglePartition" in line:
-            assert "Aggregate" in lines[at + 1]
-
-
 def test_top_k_is_cut_before_each_shuffle(spark, sf_dir):
     plan = plan_of(match_faces(fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir), 5))
     assert plan.count("WindowGroupLimit") == 4 and plan.count("MapInArrow") == 1

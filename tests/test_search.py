@@ -62,7 +62,9 @@ def test_ranks_equal_brute_force(spark, k, hot):
 @pytest.mark.parametrize("hot", [0, 150])
 def test_distributed_ranking_equals_window(spark, hot):
     _, _, faces, gallery = small(spark, hot=hot)
-    assert rows(match_faces(faces, gallery, max_sorted_group=1)) == rows(match_faces(faces, gallery))
+    for within in (None, "movie"):  # three quarters of the faces are of one movie
+        ranked = rows(match_faces(faces, gallery, within=within))
+        assert rows(match_faces(faces, gallery, within=within, max_sorted_group=1)) == ranked
 
 
 def test_top_k_is_a_prefix_of_all(faces, gallery):
@@ -70,10 +72,16 @@ def test_top_k_is_a_prefix_of_all(faces, gallery):
     assert rows(match_faces(faces, gallery, 13)) == rows(everything.where("rank <= 13"))
 
 
-def test_top_k_beyond_the_task_limit(faces, gallery, monkeypatch):
-    expected = rows(match_faces(faces, gallery, 13))
-    monkeypatch.setattr(search, "MAX_KEPT_ROWS", 5)
-    assert rows(match_faces(faces, gallery, 13)) == expected
+@pytest.mark.parametrize("within", [None, "movie"])
+def test_task_limits_give_more_passes_or_rank_everything(faces, gallery, monkeypatch, within):
+    expected = rows(match_faces(faces, gallery, 13, within))
+    with monkeypatch.context() as patch:
+        patch.setattr(search, "MAX_KEPT_ROWS", 60)  # four actors at once
+        passes = list(search.gallery_passes(faces, gallery, within, 1 << 20, 60 // 13))
+        assert len(passes) > 2 and max(p.block.actors for p in passes) <= 4
+        assert rows(match_faces(faces, gallery, 13, within)) == expected
+    monkeypatch.setattr(search, "MAX_TASK_K", 5)
+    assert rows(match_faces(faces, gallery, 13, within)) == expected
 
 
 @pytest.mark.parametrize("k", [None, 5])
@@ -83,6 +91,7 @@ def test_gallery_in_blocks(faces, gallery, k, within):
     for limit in (1500, 5000):  # actors of one movie apart, and together
         passes = list(search.gallery_passes(faces, gallery, within, limit))
         assert len(passes) > 1 and sum(p.block.actors for p in passes) == gallery.count()
+        assert max(p.block.actors for p in passes) <= limit // (8 * 64 + 64)
         assert rows(match_faces(faces, gallery, k, within, max_bytes=limit)) == rows(whole)
 
 
@@ -90,7 +99,7 @@ def test_gallery_in_blocks(faces, gallery, k, within):
 def test_long_score_lists_are_split(faces, gallery, within, monkeypatch):
     expected = rows(match_faces(faces, gallery, None, within))
     monkeypatch.setattr(search, "MAX_LIST", 2)
-    assert len(list(search.gallery_passes(faces, gallery, within, 1 << 20, 2))) > 1
+    assert len(list(search.gallery_passes(faces, gallery, within, 1 << 20, max_list=2))) > 1
     assert rows(match_faces(faces, gallery, None, within)) == expected
 
 
