@@ -47,7 +47,11 @@ def spread(rows: DataFrame, tasks: int | None, *keys: Column) -> DataFrame:
 
 
 def _default_tasks(rows: DataFrame) -> int:
-    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """The configured number of shuffle partitions; a single machine needs a few per core."""
+    spark = rows.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    return min(tasks, 4 * context.defaultParallelism) if context.master.startswith("local") else tasks
 
 
 def detect(
