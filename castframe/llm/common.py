@@ -45,12 +45,11 @@ def appended(df: DataFrame, *fields: T.StructField) -> tuple[DataFrame, T.Struct
 
 
 def text_key(doc_id: Column, text: Column) -> Column:
-    """Identifies a document row: rows alike in both id and text share one key."""
-    body = F.coalesce(text, F.lit(""))
+    """Identifies a document row, in the order of ids, nulls last: rows alike in id and text share one key."""
     return F.struct(
+        doc_id.isNull().alias("none"),
         doc_id.cast("long").alias("doc_id"),
-        F.xxhash64(body).alias("h1"),
-        F.xxhash64(F.lit(1), text.isNull(), body).alias("h2"),
+        F.xxhash64(text.isNull(), F.coalesce(text, F.lit(""))).alias("hash"),
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.llm import decontaminate, langid, mixing, simhash
+from castframe.llm import ann, decontaminate, langid, licenses, linededup, mixing, secretscan, simhash, tokencounts
 from castframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", held, "lang_pred", "score")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -39,6 +44,25 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secretscan.BASE]
+    base = F.filter("found", lambda m: m["kind"].isin(kinds))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, kinds), F.sha2(secretscan.written(base), 256).alias("base_sha256"), secretscan.written(F.col("found")).alias("spans")
+    )
+
+
+@query
+def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.histogram(tokencounts.lengths(table(spark, sf_dir, "documents")))
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,3 +72,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
+
+
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.vectors_of(table(spark, sf_dir, "embeddings"))
+    return ann.nearest(vectors, vectors.where(F.col("id") % 50 == 0))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -147,9 +147,8 @@ def keep_first(docs: DataFrame, words: int = 5, distance: int = 3) -> DataFrame:
     """One row of each group of near copies, the one with the smallest id and then text."""
     names = docs.columns
     keyed = docs.select(text_key(F.col("doc_id"), F.col("text")).alias("_key"), F.struct(*[F.col(c) for c in names]).alias("_row"), F.col("text").alias("_text"))
-    ordered = F.struct(F.col("_key.doc_id").isNull().alias("none"), F.col("_key.doc_id").alias("doc_id"), F.col("_key.h1").alias("h1"), F.col("_key.h2").alias("h2"))
-    seen = near_duplicates(keyed, ordered, "_text", words, distance)
-    kept = seen.where(F.col("key") == F.col("first")).select(F.struct("key.doc_id", "key.h1", "key.h2").alias("_kept")).distinct()
+    seen = near_duplicates(keyed, F.col("_key"), "_text", words, distance)
+    kept = seen.where(F.col("key") == F.col("first")).select(F.col("key").alias("_kept")).distinct()
     # Rows that are alike in id and text share their key; one of them stays.
     joined = keyed.join(kept, F.col("_key").eqNullSafe(F.col("_kept")), "left_semi")
-    return joined.groupBy("_key").agg(F.first("_row").alias("_row")).select("_row.*")
+    return joined.dropDuplicates(["_key"]).select("_row.*")
