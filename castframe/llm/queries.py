@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.llm import ann, decontaminate, langid, licenses, linededup, mixing, secretscan, simhash, tokencounts
+from castframe.llm import ann, decontaminate, langid, licenses, linededup, mixing, runindex, secretscan, simhash, tokencounts
 from castframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runindex.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = ann.vectors_of(table(spark, sf_dir, "embeddings"))
