@@ -73,9 +73,11 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
             return now.select(a.alias("node"), b.alias("root"))
         seen = state
         both = now.select(a.alias("u"), b.alias("v")).union(now.select(b.alias("u"), a.alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # Written, so that both sides of the join are shuffled for it and a hot node can be split.
+        least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), f"{label}-least{turn}")
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        root = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large.distinct(), f"{label}-large{turn}")
+        root = materialize(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-root{turn}")
         small = large.join(root, "a")
         now = materialize(
             small.where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b")).union(root.select("a", F.col("m").alias("b"))).distinct(),
