@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,11 +37,26 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
         yield batch.slice(start)
 
 
-def appended(df: DataFrame, *fields: T.StructField) -> tuple[DataFrame, T.StructType]:
-    """``df`` without columns that the new ones replace, and the schema with them."""
+def packed(df: DataFrame, text_col: str, *fields: T.StructField) -> tuple[DataFrame, T.StructType]:
+    """``_text``, and in ``_row`` all columns that ``fields`` do not replace; the schema of ``_row`` and ``fields``."""
     new = {f.name.lower() for f in fields}
-    kept = df.drop(*[c for c in df.columns if c.lower() in new])
-    return kept, T.StructType([*kept.schema.fields, *fields])
+    rows = df.select(F.col(text_col).alias("_text"), whole_row(df, new).alias("_row"))
+    return rows, T.StructType([rows.schema["_row"], *fields])
+
+
+def whole_row(df: DataFrame, without: Collection[str] = ()) -> Column:
+    """All columns as one struct, so that no name can clash with an operator's own."""
+    kept = [c for c in df.columns if c.lower() not in without]
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in kept])
+
+
+def changed_rows(df: DataFrame, text: Column, same: Column) -> DataFrame:
+    """The rows in ``_row`` with ``text`` as their text; n_chars, where there is one, follows unless ``same``."""
+    row = df.schema["_row"].dataType
+    new = {"text": text}
+    if "n_chars" in row.names:
+        new["n_chars"] = F.when(same, F.col("_row")["n_chars"]).otherwise(F.length(text).cast("long"))
+    return df.select(*[(new[c].cast(row[c].dataType) if c in new else F.col("_row")[c]).alias(c) for c in row.names])
 
 
 def text_key(doc_id: Column, text: Column) -> Column:
@@ -60,7 +75,7 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     combines before its shuffle, and a join, whose hot keys adaptive execution
     splits; no component is ever gathered. Every round is written to the shared
     folder. Nodes without an edge to another node are left out; null ends and
-    loops are ignored. No edges give no rows.
+    loops are ignored; a root is its own root. No edges give no rows.
     """
     a, b = F.col("a"), F.col("b")
     now = materialize(
@@ -70,7 +85,7 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     for turn in range(max_rounds):
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen or not state[0]:
-            return now.select(a.alias("node"), b.alias("root"))
+            return now.select(a.alias("node"), b.alias("root")).union(now.select(b.alias("node"), b.alias("root")).distinct())
         seen = state
         both = now.select(a.alias("u"), b.alias("v")).union(now.select(b.alias("u"), a.alias("v")))
         # Written, so that both sides of the join are shuffled for it and a hot node can be split.

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from castframe.llm.common import appended, bounded_batches
+from castframe.llm.common import bounded_batches, changed_rows, packed, whole_row
 from castframe.session import materialize, ship
 
 _WORDS = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
@@ -176,22 +176,22 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: i
     spark = docs.sparkSession
     ship(spark)
     bounded_batches(spark)
-    now, schema = appended(docs, *_FOUND)
-    n_own = len(now.columns)
+    now, schema = packed(docs, text_col, *_FOUND)
+    schema = T.StructType([now.schema["_text"], *schema])
     automaton = None
     for turn, items in enumerate(_blocks(benchmark, block_words)):
         if automaton is not None:
             now = materialize(now, f"decontaminate{turn}")
         automaton = spark.sparkContext.broadcast(Automaton(items, window))  # block_words words or one item
-        now = now.mapInArrow(_scan(automaton, text_col, n_own, bool(turn)), schema)
-    return now
+        now = now.mapInArrow(_scan(automaton, bool(turn)), schema)
+    return now.select("_row.*", *[f.name for f in _FOUND])
 
 
-def _scan(automaton, text_col: str, n_own: int, again: bool) -> Callable:
+def _scan(automaton, again: bool) -> Callable:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, all_spans, all_items = [], [], []
-            for row, text in enumerate(batch.column(text_col)):
+            for row, text in enumerate(batch.column("_text")):
                 words = words_of(text.as_py())
                 spans, items = automaton.value.stream(words)
                 names = {automaton.value.names[i] for i in items}
@@ -202,7 +202,7 @@ def _scan(automaton, text_col: str, n_own: int, again: bool) -> Callable:
                 all_spans.append([list(x) for x in spans])
                 all_items.append(sorted(names))
             new = [pa.array(n_words, pa.int64()), pa.array(all_spans, pa.list_(pa.list_(pa.int64()))), pa.array(all_items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_own], *new], names=[*batch.schema.names[:n_own], *(f.name for f in _FOUND)])
+            yield pa.RecordBatch.from_arrays([batch.column("_text"), batch.column("_row"), *new], names=["_text", "_row", *(f.name for f in _FOUND)])
 
     return scan
 
@@ -219,9 +219,7 @@ def clean(
     A row of whose words more than ``max_coverage`` are hit goes as a whole. Texts
     without a hit stay as they are. ``n_chars``, where present, follows the text.
     """
-    names = docs.columns
-    inside = docs.select(F.col("text").alias("text"), F.struct(*[F.col(c) for c in names]).alias("_row"))
-    found = find(inside, benchmark, window, block_words)
+    found = find(docs.select("text", whole_row(docs).alias("_row")), benchmark, window, block_words)
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +230,9 @@ def clean(
                 batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
             yield batch.select(["_row", "text"])
 
-    kept = found.where(n_hit() <= F.lit(max_coverage) * F.col("n_words"))
-    row = kept.schema["_row"].dataType
-    schema = T.StructType([T.StructField("_row", row), T.StructField("text", T.StringType())])
-    texts = kept.select("_row", "text", "hit_spans").mapInArrow(cut, schema)
-    changed = {"text": F.col("text"), "n_chars": F.when(F.col("text").eqNullSafe(F.col("_row.text")), F.col("_row.n_chars")).otherwise(F.length("text")) if "n_chars" in names else None}
-    return texts.select(*[changed[c].cast(row[c].dataType).alias(c) if c in changed else F.col("_row")[c].alias(c) for c in names])
+    kept = found.where(n_hit() <= F.lit(max_coverage) * F.col("n_words")).select("_row", "text", "hit_spans")
+    texts = kept.mapInArrow(cut, T.StructType([kept.schema["_row"], kept.schema["text"]]))
+    return changed_rows(texts, F.col("text"), F.col("text").eqNullSafe(F.col("_row.text")))
 
 
 def without(text: str, spans: list[list[int]]) -> str:

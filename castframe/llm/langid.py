@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from castframe.llm.common import appended, bounded_batches, slices
+from castframe.llm.common import bounded_batches, packed, slices, whole_row
 from castframe.session import ship
 
 UND = "und"
@@ -141,7 +141,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     spark = docs.sparkSession
     ship(spark)
     bounded_batches(spark)
-    kept, schema = appended(docs, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
+    rows, schema = packed(docs, text_col, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
     names = [*sorted(prototypes), UND]
     ranked = _unit(np.stack([prototypes[x] for x in names[:-1]])) if prototypes else np.zeros((1, dims), np.float32)
     model = spark.sparkContext.broadcast(ranked)  # max_languages x dims at most
@@ -149,16 +149,16 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(dims, seed)
         for batch in batches:
-            for part in slices(batch, text_col, _SLICE):
-                vectors = encode(part.column(text_col).to_pylist())
+            for part in slices(batch, "_text", _SLICE):
+                vectors = encode(part.column("_text").to_pylist())
                 cosines = _unit(vectors) @ model.value.T
                 best = cosines.argmax(axis=1)
                 blank = ~vectors.any(axis=1) | (len(names) == 1)
                 langs = [UND if none else names[i] for i, none in zip(best.tolist(), blank.tolist())]
                 scores = np.where(blank, 0.0, np.clip(cosines[np.arange(len(best)), best], 0, 1)).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*part.schema.names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(langs, pa.string()), pa.array(scores)], names=schema.names)
 
-    return kept.mapInArrow(label, schema)
+    return rows.mapInArrow(label, schema).select("_row.*", "lang_pred", "score")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:
@@ -169,7 +169,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def reject_unknown(docs: DataFrame, min_score: float = 0.05) -> DataFrame:
     """Leave out texts without letters and those far from every learned language."""
-    names = docs.columns
-    labelled = identify(docs.select("*", F.struct(*[F.col(c) for c in names]).alias("_row")).select("doc_id", "text", "lang", "_row"))
+    labelled = identify(docs.select("doc_id", "text", "lang", whole_row(docs).alias("_row")))
     kept = labelled.where((F.col("lang_pred") != UND) & (F.col("score") >= min_score))
     return kept.select("_row.*")

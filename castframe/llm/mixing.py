@@ -86,22 +86,18 @@ def exponent_for_entropy(sources: DataFrame, target: float) -> float:
 def weights(sources: DataFrame, exponent: float, budget: float | None = None) -> DataFrame:
     """Add ``weight``, ``epochs``, ``whole`` (full passes) and ``rest`` (tokens of the last, partial one)."""
     share = F.col("tokens").cast("double")
-    totals = sources.where("tokens > 0").agg(
-        F.max("tokens").cast("double").alias("most"),
-        F.sum(F.pow(share, F.lit(exponent))).alias("z"),
-    )
-    joined = sources.crossJoin(F.broadcast(totals))  # one row
+    totals = sources.where("tokens > 0").agg(F.max("tokens"), F.sum(F.pow(share, F.lit(exponent)))).first()
+    most, z = F.lit(float(totals[0] or 0)), F.lit(float(totals[1] or 1))
     if budget is None:
-        epochs = F.pow(F.col("most") / F.col("tokens"), F.lit(1 - exponent))
+        epochs = F.pow(most / F.col("tokens"), F.lit(1 - exponent))
     else:
-        epochs = F.lit(float(budget)) * F.pow(share, F.lit(exponent)) / F.col("z") / F.col("tokens")
+        epochs = F.lit(float(budget)) * F.pow(share, F.lit(exponent)) / z / F.col("tokens")
     some = F.col("tokens") > 0
     return (
-        joined.withColumn("weight", F.when(some, F.pow(share, F.lit(exponent)) / F.col("z")).otherwise(0.0))
+        sources.withColumn("weight", F.when(some, F.pow(share, F.lit(exponent)) / z).otherwise(0.0))
         .withColumn("epochs", F.when(some, epochs).otherwise(1.0))
         .withColumn("whole", F.floor("epochs"))
         .withColumn("rest", F.floor((F.col("epochs") - F.col("whole")) * F.col("tokens") + 0.5))
-        .drop("most", "z")
     )
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from castframe.llm import ann, decontaminate, langid, licenses, linededup, mixing, runindex, secretscan, simhash, tokencounts
 from castframe.llm.common import table
+from castframe.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

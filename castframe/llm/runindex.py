@@ -30,7 +30,7 @@ from castframe.llm.common import bounded_batches, text_key
 from castframe.llm.decontaminate import merged
 from castframe.session import materialize, ship
 
-LENGTH, ANCHOR = 100, 36
+LENGTH, ANCHOR = 100, 28
 SLICE = 2 << 20  # bytes hashed at once
 TEXT = 1 << 20  # bytes of one index, or the pieces of one anchor
 MOST_PIECES = 32_768  # of one anchor; beyond, its strings are grouped one by one
@@ -100,63 +100,103 @@ def pieces_of(hasher: Hasher, data: np.ndarray, ends: np.ndarray, length: int, a
     return first, count, hashes[at[first]], hasher.spans(other, 1, first, first + count - 1 + length)
 
 
+def _sliced(batch: pa.RecordBatch, length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Parts of texts as (row, offset, bytes), about SLICE bytes at a time; parts of one text share length - 1 bytes."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for row, text in enumerate(batch.column("text")):
+        body = text.as_buffer()
+        for offset in range(0, max(len(body) - length + 1, 0), SLICE):
+            part = memoryview(body)[offset : offset + SLICE + length - 1]
+            if held and size + len(part) > SLICE + length:
+                yield held
+                held, size = [], 0
+            held.append((row, offset, part))
+            size += len(part)
+    if held:
+        yield held
+
+
+def _laid(held: list) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(part for _, _, part in held), np.uint8), np.cumsum([len(part) for _, _, part in held])
+
+
+def _anchors(length: int, anchor: int):
+    """Texts to (anchor, n), how many pieces of a slice have it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for held in _sliced(batch, length):
+                names, n = np.unique(pieces_of(hasher, *_laid(held), length, anchor)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+
+    return count
+
+
 def _cut(length: int, anchor: int):
     """Texts to rows (anchor, content, doc_id, hash, at, gone); at is start * 256 + strings.
 
-    Of equal pieces in one slice only the earliest goes on; the others are gone already.
+    Of equal pieces in one slice only the earliest goes on to be compared. The others are
+    gone already; they need no company, so any number takes the place of their anchor.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             ids, hashes = batch.column("doc_id").to_numpy(), batch.column("hash").to_numpy()
-            held: list[tuple[int, int, bytes]] = []
-            size = 0
-            for row, text in enumerate(batch.column("text")):
-                body = text.as_buffer()
-                for offset in range(0, max(len(body) - length + 1, 0), SLICE):
-                    part = memoryview(body)[offset : offset + SLICE + length - 1]
-                    if held and size + len(part) > SLICE + length:
-                        yield _rows(hasher, held, ids, hashes, length, anchor)
-                        held, size = [], 0
-                    held.append((row, offset, part))
-                    size += len(part)
-            if held:
-                yield _rows(hasher, held, ids, hashes, length, anchor)
+            for held in _sliced(batch, length):
+                data, ends = _laid(held)
+                first, count, anchors, content = pieces_of(hasher, data, ends, length, anchor)
+                part = np.searchsorted(ends, first, side="right")
+                row = np.array([r for r, _, _ in held])[part]
+                start = first - np.concatenate([[0], ends])[part] + np.array([o for _, o, _ in held])[part]
+                places = ids[row], hashes[row], start * 256 + count
+                order = np.lexsort((*places[::-1], content, anchors))
+                gone, same = np.empty(len(order), bool), np.empty(len(order), bool)
+                gone[order], same[order] = _again((anchors[order], content[order]), [x[order] for x in places], None)
+                spread = (anchors ^ content) * np.uint64(0x9E3779B97F4A7C15) + row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                columns = [np.where(gone, spread, anchors).view(np.int64), content.view(np.int64), *places, gone]
+                yield pa.RecordBatch.from_arrays([pa.array(x[~same]) for x in columns], names=["anchor", "content", "doc_id", "hash", "at", "gone"])
 
     return cut
 
 
-def _rows(hasher: Hasher, held: list, ids: np.ndarray, hashes: np.ndarray, length: int, anchor: int) -> pa.RecordBatch:
-    data = np.frombuffer(b"".join(part for _, _, part in held), np.uint8)
-    ends = np.cumsum([len(part) for _, _, part in held])
-    first, count, anchors, content = pieces_of(hasher, data, ends, length, anchor)
-    part = np.searchsorted(ends, first, side="right")
-    row = np.array([r for r, _, _ in held])[part]
-    start = first - np.concatenate([[0], ends])[part] + np.array([o for _, o, _ in held])[part]
-    ids, hashes = ids[row], hashes[row]
-    order = np.lexsort((start, hashes, ids, content, anchors))
-    ids, hashes, start, count, anchors, content = (x[order] for x in (ids, hashes, start, count, anchors, content))
-    gone = np.concatenate([[False], (anchors[1:] == anchors[:-1]) & (content[1:] == content[:-1])])[: len(order)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(anchors.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids), pa.array(hashes), pa.array(start * 256 + count), pa.array(gone)],
-        names=["anchor", "content", "doc_id", "hash", "at", "gone"],
-    )
+def _again(names: tuple, places: list[np.ndarray], before: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted rows: which are not at the first place of their name, and which repeat that place.
+
+    ``before`` is the name and first place of the row before these."""
+    n = len(names[0])
+    if not n:
+        return np.empty(0, bool), np.empty(0, bool)
+    new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in names], axis=0)])
+    leader = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    at_first = np.all([x == x[leader] for x in places], axis=0)
+    follows = np.zeros(n, bool)
+    if before is not None and before[0] == tuple(x[0] for x in names):
+        follows = leader == 0
+        at_first[follows] = np.all([x[follows] == y for x, y in zip(places, before[1])], axis=0)
+    return ~at_first, at_first & (~new | follows)
 
 
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by content and place: all but the first of equal pieces are gone."""
+    """Rows sorted by content and place: equal pieces are gone but for the first."""
     before: tuple | None = None
     for batch in batches:
-        anchor, content, gone = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "content", "gone"))
-        if not len(anchor):
+        if not batch.num_rows:
             continue
-        again = np.concatenate([[before == (anchor[0], content[0])], (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])])
-        # Rows gone already may stand before the first that is not; they were never the earliest.
-        before = (anchor[-1], content[-1])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("anchor"), *[batch.column(c) for c in ("doc_id", "hash", "at")], pa.array(gone | again)], names=["anchor", "doc_id", "hash", "at", "gone"]
-        )
+        anchor, content, doc, text_hash, at, gone = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "content", "doc_id", "hash", "at", "gone"))
+        # Rows gone already are under names of their own, where none that is not gone is after them.
+        again, same = _again((anchor, content, gone), [doc, text_hash, at], before)
+        name = (anchor[-1], content[-1], gone[-1])
+        if before is None or before[0] != name:
+            leader = len(anchor) - 1
+            while leader and (anchor[leader - 1], content[leader - 1], gone[leader - 1]) == name:
+                leader -= 1
+            before = (name, (doc[leader], text_hash[leader], at[leader]))
+        keep = ~same | gone
+        columns = [anchor, doc, text_hash, at, gone | again]
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], names=["anchor", "doc_id", "hash", "at", "gone"])
 
 
 class RunIndex:
@@ -305,11 +345,11 @@ def _pick(length: int):
                     n = len(cut[part])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            wanted.field("anchor").slice(i, n), wanted.field("many").slice(i, n),
+                            wanted.field("anchor").slice(i, n),
                             pa.array([batch.column("doc_id")[row].as_py()] * n, pa.int64()), pa.array([batch.column("hash")[row].as_py()] * n, pa.int64()),
                             wanted.field("at").slice(i, n), pa.array(cut[part], pa.binary()),
                         ],
-                        names=["anchor", "many", "doc_id", "hash", "at", "piece"],
+                        names=["anchor", "doc_id", "hash", "at", "piece"],
                     )
 
     return pick
@@ -351,22 +391,33 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_col:
     ship(spark)
     bounded_batches(spark)
     texts = _keyed(docs, id_col, text_col).drop("_id")
+    # Only pieces whose anchor occurs twice are looked at; most texts' anchors do not.
+    counts = texts.select("text").mapInArrow(_anchors(length, anchor), "anchor long, n long")
+    twice = materialize(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "repeats-anchors")
     cut = texts.mapInArrow(_cut(length, anchor), "anchor long, content long, doc_id long, hash long, at long, gone boolean")
-    spread = F.when(F.col("gone"), F.col("at") + F.col("doc_id")).otherwise(F.lit(0))  # rows that are gone need no company
-    dealt = cut.repartition("anchor", "content", spread).sortWithinPartitions("anchor", "content", "doc_id", "hash", "at")
+    known = twice.withColumn("known", F.lit(True)).hint("shuffle_hash")
+    some = cut.join(known, "anchor", "left").where(F.col("gone") | F.col("known")).drop("known")
+    dealt = some.repartition("anchor", "content").sortWithinPartitions("anchor", "content", "gone", "doc_id", "hash", "at")
     seen = materialize(dealt.mapInArrow(_collapse, "anchor long, doc_id long, hash long, at long, gone boolean"), "repeats-pieces")
-    whole = seen.where("gone").select("doc_id", "hash", F.shiftright("at", 8).alias("start"), (F.shiftright("at", 8) + F.col("at").bitwiseAND(255) - 1 + length).alias("end"))
+    start = F.shiftright("at", 8)
+    whole = seen.where("gone").select("doc_id", "hash", start.alias("start"), (start + F.col("at").bitwiseAND(255) - 1 + length).alias("end"))
 
     # Pieces that differ around one anchor may still share strings.
     left = seen.where(~F.col("gone"))
     shared = left.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    open_pieces = left.join(shared.hint("shuffle_hash"), "anchor").select("doc_id", "hash", F.struct("anchor", (F.col("n") > MOST_PIECES).alias("many"), "at").alias("piece"))
-    of_doc = open_pieces.groupBy("doc_id", "hash").agg(F.collect_list("piece").alias("pieces"))
+    open_pieces = materialize(
+        left.join(shared.hint("shuffle_hash"), "anchor").select("doc_id", "hash", "anchor", "at", (F.col("n") > MOST_PIECES).alias("many")), "repeats-open"
+    )
+    few = _bytes_of(texts, open_pieces.where(~F.col("many")), length).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "hash", "at")
+    spans = whole.union(few.mapInArrow(_index_anchors(length), "doc_id long, hash long, start long, end long"))
+    many = open_pieces.where("many")
+    return spans if many.isEmpty() else spans.union(_one_by_one(_bytes_of(texts, many, length), length))
+
+
+def _bytes_of(texts: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
+    of_doc = pieces.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("anchor", "at")).alias("pieces"))
     bodies = texts.join(of_doc, ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
-    named = materialize(bodies.mapInArrow(_pick(length), "anchor long, many boolean, doc_id long, hash long, at long, piece binary"), "repeats-open")
-    few = named.where(~F.col("many")).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "hash", "at")
-    spans = few.mapInArrow(_index_anchors(length), "doc_id long, hash long, start long, end long")
-    return whole.union(spans).union(_one_by_one(named.where("many"), length))
+    return bodies.mapInArrow(_pick(length), "anchor long, doc_id long, hash long, at long, piece binary")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castframe.llm.common import bounded_batches, components, text_key
+from castframe.llm.common import bounded_batches, components, text_key, whole_row
 from castframe.session import materialize, ship
 
 LEVELS = (6, 10, 16)  # blocks; a list of the last agrees in 52 bits, so it has 4,096 members at most
@@ -76,12 +76,12 @@ def _masks(blocks: int, distance: int) -> list[int]:
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Edges that span the links of one list: breadth first, over what is not yet reached."""
-    left, edges = np.unique(fps), []
+    left, edges = np.unique(fps).view(np.uint64), []  # bits are counted without a sign
     while len(left):
         front, left = left[:1], left[1:]
         while len(front) and len(left):
             close = np.bitwise_count(left ^ front[0]) <= distance
-            edges += [(int(x), int(front[0])) for x in left[close]]
+            edges += [(x, int(front.view(np.int64)[0])) for x in left[close].view(np.int64).tolist()]
             front, left = np.concatenate([front[1:], left[close]]), left[~close]
     return edges
 
@@ -145,8 +145,7 @@ def near_duplicates(docs: DataFrame, key: Column, text_col: str = "text", words:
 
 def keep_first(docs: DataFrame, words: int = 5, distance: int = 3) -> DataFrame:
     """One row of each group of near copies, the one with the smallest id and then text."""
-    names = docs.columns
-    keyed = docs.select(text_key(F.col("doc_id"), F.col("text")).alias("_key"), F.struct(*[F.col(c) for c in names]).alias("_row"), F.col("text").alias("_text"))
+    keyed = docs.select(text_key(F.col("doc_id"), F.col("text")).alias("_key"), whole_row(docs).alias("_row"), F.col("text").alias("_text"))
     seen = near_duplicates(keyed, F.col("_key"), "_text", words, distance)
     kept = seen.where(F.col("key") == F.col("first")).select(F.col("key").alias("_kept")).distinct()
     # Rows that are alike in id and text share their key; one of them stays.

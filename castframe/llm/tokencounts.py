@@ -65,12 +65,12 @@ def histogram(counted: DataFrame) -> DataFrame:
     above = totals.select("bucket", *[F.coalesce(F.sum(c).over(longer), F.lit(0)).alias(f"{c}_above") for c in ("d", "t")])
     inside = Window.partitionBy("bucket").orderBy(F.col("n_tokens").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = exact.select("*", F.sum("n_docs").over(inside).alias("d"), F.sum("tokens").over(inside).alias("t")).join(above, "bucket")
-    all_docs = exact.agg(F.sum("n_docs").alias("every"), F.sum("tokens").alias("every_token"))
+    every, every_token = (F.lit(x or 0) for x in exact.agg(F.sum("n_docs"), F.sum("tokens")).first())
     more_docs, more_tokens = F.col("d") + F.col("d_above"), F.col("t") + F.col("t_above")
-    return joined.crossJoin(F.broadcast(all_docs)).select(  # one row of totals
+    return joined.select(
         "n_tokens", "n_docs", more_docs.alias("docs_at_least"), more_tokens.alias("tokens_at_least"),
-        (F.col("every_token") - more_tokens + F.col("n_tokens") * more_docs).alias("tokens_if_truncated"),
-        (F.col("every") - more_docs + F.col("n_docs")).alias("docs_at_most"),
+        (every_token - more_tokens + F.col("n_tokens") * more_docs).alias("tokens_if_truncated"),
+        (every - more_docs + F.col("n_docs")).alias("docs_at_most"),
     )
 
 
