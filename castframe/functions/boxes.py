@@ -19,16 +19,16 @@ def unpack_box(box: str, prefix: str = "face_") -> list[Column]:
 
 
 def is_drawable(*corners: Column) -> Column:
-    """No corner is missing."""
+    """Every corner is a number that has a whole pixel."""
     known = F.lit(True)
     for corner in corners:
-        known = known & corner.isNotNull() & ~F.isnan(corner)
+        known = known & corner.isNotNull() & ~F.isnan(corner) & whole_pixels(corner).isNotNull()
     return known
 
 
 def whole_pixels(value: Column) -> Column:
-    """Truncated toward zero."""
-    return value.cast("int")
+    """Truncated toward zero; NULL for what no pixel can have."""
+    return value.try_cast("int")
 
 
 def match_label(name: Column, score: Column) -> Column:
@@ -41,4 +41,4 @@ def label_row(y1: Column) -> Column:
 
 def relative_box(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> Column:
     """``[x, y, w, h]`` as fractions of the image size."""
-    return F.array(x1 / width, y1 / height, (x2 - x1) / width, (y2 - y1) / height)
+    return F.array(*[F.try_divide(a, b) for a, b in ((x1, width), (y1, height), (x2 - x1, width), (y2 - y1, height))])

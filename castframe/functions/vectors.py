@@ -23,6 +23,12 @@ def as_float_vector(vector: Column) -> Column:
     return vector.cast("array<float>")
 
 
+def is_finite_vector(vector: Column) -> Column:
+    """Whether there is a vector, it has elements, and all of them are finite numbers."""
+    known = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vector) > 0) & known, F.lit(False))
+
+
 def l2_norm(vector: Column) -> Column:
     squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return F.sqrt(squares)

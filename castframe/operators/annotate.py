@@ -24,9 +24,10 @@ def with_actor_style(matches: DataFrame, actors: DataFrame, within: str | None =
     No broadcast hint: Catalyst broadcasts the actors if their size permits.
     """
     shared = [within] if within else []
-    style = actors.select(
-        *shared, F.col("embedding_path").alias("actor_embedding_path"), "display_name", "color", "text_color"
-    )
+    # A file that several movies name has the style of the first, unless each keeps to its own.
+    entry = F.struct(*[c for c in ("movie", "actor_ord") if c in actors.columns], "display_name", "color", "text_color")
+    named = actors.groupBy(*shared, F.col("embedding_path").alias("actor_embedding_path")).agg(F.min(entry).alias("style"))
+    style = named.select(*shared, "actor_embedding_path", "style.display_name", "style.color", "style.text_color")
     yellow = F.struct(*[F.lit(v).alias(n) for n, v in zip("rgb", DEFAULT_COLOR)])
     return (
         matches.join(style, [*shared, "actor_embedding_path"], "left")

@@ -10,6 +10,7 @@ Which device a model uses is its own business; ``profile`` takes a Spark
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -47,11 +48,7 @@ def spread(rows: DataFrame, tasks: int | None, *keys: Column) -> DataFrame:
 
 
 def _default_tasks(rows: DataFrame) -> int:
-    """The configured number of shuffle partitions; a single machine needs a few per core."""
-    spark = rows.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    context = spark.sparkContext
-    return min(tasks, 4 * context.defaultParallelism) if context.master.startswith("local") else tasks
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def detect(
@@ -129,8 +126,15 @@ def _done_keys(done: DataFrame, model: str) -> DataFrame:
 
 def pending_embeddings(detections: DataFrame, done: DataFrame, model: str) -> DataFrame:
     """Detections that have no embedding of this model yet."""
-    keys = _done_keys(done, model)
-    return detections.join(keys, keys.columns, "left_anti")
+    return _against(detections, _done_keys(done, model), "left_anti")
+
+
+def _against(detections: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """A join on all of ``keys``, in which missing values are equal."""
+    names = keys.columns
+    keys = keys.select(*[F.col(c).alias(f"_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    return detections.join(keys, reduce(lambda a, b: a & b, same), how)
 
 
 def crop(pixels: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
@@ -255,7 +259,10 @@ def embed(
                     if len(result) != len(crops):
                         raise ValueError(f"the model returned {len(result)} vectors for {len(crops)} crops")
                     for place, vector in zip(places, np.asarray(result, np.float32)):
-                        vectors[place] = vector
+                        if vector.size and np.isfinite(vector).all():
+                            vectors[place] = vector
+                        else:
+                            errors[place] = "the model returned no finite vector"
                 except Exception as problem:
                     for place in places:
                         vectors[place], errors[place] = None, _message(problem)
@@ -284,7 +291,7 @@ def embed(
 def embedding_run(detections: DataFrame, done: DataFrame, model: str, **how: Any) -> DataFrame:
     """The status of every detection: skipped because done, saved, or error."""
     keys = _done_keys(done, model)
-    skipped = detections.join(keys, keys.columns, "left_semi").select(
+    skipped = _against(detections, keys, "left_semi").select(
         "movie", "face_id", "image_path", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error")
     )
     fresh = embed(pending_embeddings(detections, done, model), model=model, **how)

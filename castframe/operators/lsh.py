@@ -1,96 +1,23 @@
-"""Approximate matching for large galleries by locality-sensitive hashing.
+"""Approximate matching for large galleries with Spark's locality-sensitive hashing.
 
-Vectors are projected on random directions, and each projection is cut into
-buckets. Unit vectors that are close in angle fall into equal buckets in some
-hash table. Only faces and actors that share a bucket are scored, then ranked
-exactly: a result may have fewer than k rows per actor, but never a wrong
-score.
-
-It runs in the same passes as the exact search: the hashed gallery is broadcast
-in blocks of bounded size and the faces are not shuffled. The exact search
-stays the default; with a gallery of a few vectors per movie, or with buckets
-so wide that most pairs share one, hashing saves nothing.
+Unit vectors are hashed by ``BucketedRandomProjectionLSH``; only faces and actors
+that share a bucket in some table are scored, exactly. A result may have fewer
+than k rows per actor, but never a wrong score. The join shuffles both sides by
+bucket, so the exact search stays the default: with a gallery of a few vectors
+per movie it moves far less.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-from typing import NamedTuple
-
-import numpy as np
-import pyarrow as pa
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castframe.functions.vectors import SCORE_DECIMALS, unit_rows
-from castframe.operators.search import (
-    MAX_BLOCK_BYTES,
-    MAX_KEPT_ROWS,
-    MAX_TASK_K,
-    Block,
-    _actor_names,
-    _as_matches,
-    _best_scores,
-    _no_scores,
-    _rank_best,
-    _rows_by_movie,
-    gallery_passes,
-)
-
-# Of a chunk's pairs; above it, one matrix product beats scoring pair by pair.
-_DENSE = 0.02
-
-
-class Hashed(NamedTuple):
-    """A gallery block with its actors sorted by bucket in every table."""
-
-    block: Block
-    directions: np.ndarray  # dims x tables x projections
-    bucket: float
-    tables: dict[str | None, list[tuple[np.ndarray, np.ndarray]]]  # sorted buckets, actor positions
-
-
-def _buckets(units: np.ndarray, directions: np.ndarray, bucket: float) -> np.ndarray:
-    """One bucket number per row and table."""
-    cells = np.floor(np.tensordot(units, directions, 1) / bucket).astype(np.int64)
-    mixed = np.zeros(cells.shape[:2], np.int64)
-    for projection in range(cells.shape[2]):
-        mixed = mixed * 1_000_003 + cells[:, :, projection]
-    return mixed
-
-
-def _hash_block(block: Block, tables: int, projections: int, bucket: float, seed: int) -> Hashed:
-    directions = np.random.default_rng(seed).normal(size=(block.dims, tables, projections))
-    directions /= np.linalg.norm(directions, axis=0, keepdims=True)
-    sorted_tables = {}
-    for movie, (_, units) in block.matrices.items():
-        numbers = _buckets(units, directions, bucket)
-        orders = np.argsort(numbers, axis=0, kind="stable")
-        sorted_tables[movie] = [(numbers[orders[:, t], t], orders[:, t]) for t in range(tables)]
-    return Hashed(block, directions, bucket, sorted_tables)
-
+from castframe.functions.vectors import cosine, is_finite_vector, l2_norm
+from castframe.operators.search import _as_matches, _rank_best, keyed_gallery
 
-def _candidate_parts(hashed: Hashed, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
-    """As the exact scoring, but pairs without a common bucket score -inf."""
-    for rows, movie, matrix in _rows_by_movie(hashed.block, vectors, movies):
-        ords, references = hashed.block.matrices[movie]
-        units = unit_rows(matrix)
-        numbers = _buckets(units, hashed.directions, hashed.bucket)
-        met = np.zeros((len(rows), len(ords)), bool)
-        for table, (ordered, actors) in enumerate(hashed.tables[movie]):
-            low = np.searchsorted(ordered, numbers[:, table], "left")
-            counts = np.searchsorted(ordered, numbers[:, table], "right") - low
-            face = np.repeat(np.arange(len(rows)), counts)
-            place = np.arange(len(face)) - np.repeat(np.cumsum(counts) - counts, counts) + low[face]
-            met[face, actors[place]] = True
-        scores = np.full(met.shape, -np.inf)
-        if met.mean() > _DENSE:
-            scores[met] = np.round(units @ references.T, SCORE_DECIMALS)[met]
-        else:
-            i, j = np.nonzero(met)
-            scores[i, j] = np.round(np.einsum("ij,ij->i", units[i], references[j]), SCORE_DECIMALS)
-        yield rows, movie, ords, scores
+_FARTHEST = 2.1  # above the distance of any two unit vectors: the buckets alone decide
 
 
 def match_faces_lsh(
@@ -99,29 +26,43 @@ def match_faces_lsh(
     k: int,
     within: str | None = None,
     tables: int = 16,
-    projections: int = 1,
     bucket: float = 0.5,
     seed: int = 42,
-    max_bytes: int = MAX_BLOCK_BYTES,
 ) -> DataFrame:
     """The k best faces per actor among those that share a hash bucket.
 
-    More ``tables`` raise the recall; more ``projections`` per table or smaller
-    buckets leave fewer pairs to score. Arguments and result are otherwise
-    those of ``match_faces``.
+    More ``tables`` or wider buckets raise the recall; fewer and narrower ones
+    leave fewer pairs to score. Arguments and result are otherwise those of
+    ``match_faces``.
     """
-    if not 1 <= k <= MAX_TASK_K:
-        raise ValueError(f"k must lie between 1 and {MAX_TASK_K}")
+    if k < 1:
+        raise ValueError("k must be positive")
     shared = [within] if within else []
-    faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
-    results, names = _best_scores(
-        gallery_passes(faces, gallery, within, max_bytes, MAX_KEPT_ROWS // k),
-        k,
-        within,
-        lambda block: _hash_block(block, tables, projections, bucket, seed),
-        _candidate_parts,
-    )
-    scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
-    order = [F.desc("similarity_score"), F.asc("face_id")]
-    ranked = _rank_best(scored, [*shared, "actor_ord"], order, k).where(F.col("rank") <= k)
-    return _as_matches(ranked, _actor_names(gallery, names, shared), shared)
+    rest = ["face_id", "image_path", "bbox", "confidence"]
+    usable = is_finite_vector(F.col("embedding")) & (l2_norm(F.col("embedding")) > 0)
+    actors = keyed_gallery(gallery, within)
+
+    def hashed(rows: DataFrame, *columns: str) -> DataFrame:
+        unit = F.transform("embedding", lambda x: x.cast("double") / F.col("_norm"))
+        kept = rows.where(usable).withColumn("_norm", l2_norm(F.col("embedding")))
+        return kept.select(*shared, *columns, "embedding", array_to_vector(unit).alias("_unit"))
+
+    lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_buckets", numHashTables=tables, bucketLength=bucket, seed=seed)
+    known = hashed(actors, "actor_key")
+    if known.isEmpty():
+        known = known.limit(0)
+        model = None
+    else:
+        model = lsh.fit(known)
+    if model is None:
+        scored = faces.select(*shared, *rest, F.lit(0).cast("long").alias("actor_key"), F.lit(0.0).alias("similarity_score")).where(F.lit(False))
+    else:
+        pairs = model.approxSimilarityJoin(hashed(faces, *rest), known, _FARTHEST)
+        if within:
+            pairs = pairs.where(F.col(f"datasetA.{within}") == F.col(f"datasetB.{within}"))
+        scored = pairs.select(
+            *[F.col(f"datasetA.{c}").alias(c) for c in [*shared, *rest]], F.col("datasetB.actor_key").alias("actor_key"),
+            cosine(F.col("datasetA.embedding"), F.col("datasetB.embedding")).alias("similarity_score"),
+        )
+    ranked = _rank_best(scored, [*shared, "actor_key"], [F.desc("similarity_score"), F.asc("face_id")], k)
+    return _as_matches(ranked.where(F.col("rank") <= k), actors, shared)

@@ -11,17 +11,11 @@ from castframe.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
-# Offsets hold one row per (sorted partition, group) that really occurs. Groups
-# are contiguous after the sort, so that is at most partitions + groups rows.
-MAX_BROADCAST_OFFSETS = 500_000
-
-
 def number_rows(
     df: DataFrame,
     order: Sequence[Column],
     name: str,
     groups: Sequence[str] = (),
-    max_groups: int | None = 1,
     start: int = 1,
 ) -> DataFrame:
     """Number the rows of each group densely from ``start`` in the given order.
@@ -31,10 +25,10 @@ def number_rows(
     each row's place, so that the counts and the numbers are taken from the
     same placement. The counts per partition and group then become offsets.
 
-    ``order`` should be unique within a group. ``max_groups`` is a bound on the
-    number of groups, if known; the offsets are broadcast only under it.
+    ``order`` should be unique within a group. The offsets have a row for each
+    sorted partition and group that meet, so partitions + groups at most; Catalyst
+    broadcasts them if that is small.
     """
-    spark = df.sparkSession
     placed = materialize(
         df.orderBy(*[F.col(g) for g in groups], *order).withColumn("_at", F.monotonically_increasing_id()),
         f"numbered-{name}",
@@ -47,10 +41,6 @@ def number_rows(
         *[F.col(g).alias(f"_o_{g}") for g in groups],
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + start).alias("_shift"),
     )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if max_groups is not None and partitions + max_groups <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
-
     same = F.col("_part") == F.col("_o_part")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))

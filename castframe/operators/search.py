@@ -9,10 +9,10 @@ be scored.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from itertools import groupby
-from typing import Any, NamedTuple
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,67 +28,71 @@ from castframe.schema import MATCHES
 from castframe.session import materialize
 
 MAX_BLOCK_BYTES = 64 << 20  # of gallery data sent to the tasks at once
-MAX_SORTED_GROUP = 1_000_000  # rows of one actor that one task may rank
-MAX_KEPT_ROWS = 500_000  # best rows that one task may hold (actors x k)
-MAX_TASK_K = 10_000  # beyond this k, ranking everything is less work
+MAX_RANK_ROWS = 1_000_000  # rows of one actor that the salts of a top k let meet in one task
+MAX_KEPT_ROWS = 500_000  # best rows that a task holds before it passes them on
 MAX_LIST = 2_000  # actors in the score list of one face
 _CELLS = 4_000_000  # scores computed at once in a task
-_BELOW_ALL = -2.0  # under every cosine, above the -inf of pairs left out
+_BELOW_ALL = -2.0  # under every cosine
 
 SCORES = T.ArrayType(
-    T.StructType([T.StructField("actor_ord", T.IntegerType()), T.StructField("similarity_score", T.DoubleType())])
+    T.StructType([T.StructField("actor_key", T.LongType()), T.StructField("similarity_score", T.DoubleType())])
 )
 
 
 class Block(NamedTuple):
-    """Gallery vectors of bounded size: one unit-row matrix per movie."""
+    """Gallery vectors of bounded size: actor keys and one unit-row matrix per movie."""
 
-    dims: int
-    matrices: dict[str | None, tuple[np.ndarray, np.ndarray]]  # movie -> ordinals, unit rows
-    actors: int
+    matrices: dict[str | None, tuple[np.ndarray, np.ndarray]]
 
 
 class Pass(NamedTuple):
-    """One block, the faces that can meet it, and the names of its actors."""
+    """One block and the faces that can meet it."""
 
     block: Block
     faces: DataFrame
-    names: pa.Table
+
+
+def keyed_gallery(gallery: DataFrame, within: str | None = None) -> DataFrame:
+    """One row per actor, with ``actor_key``: an actor is a gallery file, of its movie if ``within``.
+
+    A file that several rows name is one actor, with the least movie and ordinal.
+    """
+    shared = [within] if within else []
+    row = F.struct(*[c for c in ("movie", "actor_ord") if c in gallery.columns], "embedding")
+    named = gallery.groupBy(*shared, "embedding_path").agg(F.min(row).alias("row"))
+    return named.select(*shared, "embedding_path", "row.actor_ord", "row.embedding", F.xxhash64(*shared, "embedding_path").alias("actor_key"))
 
 
 def gallery_passes(
-    faces: DataFrame,
-    gallery: DataFrame,
-    within: str | None,
-    max_bytes: int,
-    max_actors: int | None = None,
-    max_list: int | None = None,
+    faces: DataFrame, actors: DataFrame, within: str | None, max_bytes: int, max_list: int | None = None
 ) -> Iterator[Pass]:
-    """Fetch the gallery in blocks of bounded size, with the faces to score.
-
-    A block has at most ``max_bytes`` and ``max_actors``; with ``max_list`` no
-    face meets many more than that many of its actors. Almost every gallery is
-    one block, so there is one pass over the faces. A larger one takes a pass
-    per block. If faces meet only the actors of their movie, the blocks hold
-    whole movies and a pass takes the faces of those movies alone: on a table
-    stored by movie the passes together read every face once.
+    """Fetch the keyed gallery in blocks of bounded size, with the faces to score.
+
+    A block has at most ``max_bytes``; with ``max_list`` no face meets many more
+    than that many of its actors. Almost every gallery is one block, so there is
+    one pass over the faces. A larger one takes a pass per block. If faces meet
+    only the actors of their movie, the blocks hold whole movies and a pass takes
+    the faces of those movies alone: on a table stored by movie the passes
+    together read every face once.
     """
     shared = [within] if within else []
     length = F.size("embedding")
     size = (
-        gallery.groupBy(*shared)
-        .agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high"))
-        .agg(F.sum("n").alias("n"), F.max("n").alias("longest"), F.min("low").alias("low"), F.max("high").alias("high"))
+        actors.groupBy(*shared)
+        .agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high"), F.count_distinct("actor_key").alias("keys"))
+        .agg(
+            F.sum("n").alias("n"), F.max("n").alias("longest"), F.max("high").alias("high"), F.min("low").alias("low"),
+            F.bool_or(F.col("low") != F.col("high")).alias("mixed"), F.bool_or(F.col("keys") < F.col("n")).alias("clash"),
+        )
         .first()
     )
     if not size["n"]:
         return
-    if size["low"] != size["high"] or size["low"] < 1:
-        raise ValueError(f"gallery vectors have between {size['low']} and {size['high']} elements")
-    dims = size["high"]
-    limit = max(1, max_bytes // (8 * dims + 64))
-    if max_actors is not None:
-        limit = max(1, min(limit, max_actors))
+    if size["mixed"] or size["low"] < 1:
+        raise ValueError("gallery vectors that meet the same faces differ in length or are empty")
+    if size["clash"]:
+        raise ValueError("two gallery files have the same hash")
+    limit = max(1, max_bytes // (8 * size["high"] + 64))
     # Half of the limit on average, so that uneven hashing mostly stays under it.
     pieces = 1 if size["n"] <= limit else math.ceil(2 * size["n"] / limit)
     by_movie = within is not None and size["longest"] <= limit
@@ -98,29 +102,29 @@ def gallery_passes(
 
     movie = F.col(within) if within else F.lit(None).cast("string").alias("movie")
     for piece in range(pieces):
-        part, some = gallery, faces
+        part, some = actors, faces
         if pieces > 1 and by_movie:
             here = F.pmod(F.xxhash64(within), F.lit(pieces)) == piece
-            part, some = gallery.where(here), faces.where(here)
+            part, some = actors.where(here), faces.where(here)
         elif pieces > 1:
-            part = gallery.where(F.pmod(F.xxhash64("embedding_path", "actor_ord"), F.lit(pieces)) == piece)
-        fetched = part.select(movie, "actor_ord", "embedding_path", "embedding").toArrow()
-        fetched = fetched.sort_by([(fetched.column_names[0], "ascending"), ("actor_ord", "ascending")])
+            part = actors.where(F.pmod("actor_key", F.lit(pieces)) == piece)
+        fetched = part.select(movie, "actor_key", "embedding").toArrow()
+        fetched = fetched.sort_by([(fetched.column_names[0], "ascending"), ("actor_key", "ascending")])
         for at in range(0, fetched.num_rows, limit):
-            table = fetched.slice(at, limit)
-            yield Pass(_block(table, dims), some, table.drop_columns(["embedding"]))
+            yield Pass(_block(fetched.slice(at, limit)), some)
 
 
-def _block(table: pa.Table, dims: int) -> Block:
+def _block(table: pa.Table) -> Block:
     """A block from gallery rows that are sorted by movie."""
-    ords = table.column("actor_ord").to_numpy().astype(np.int32)
-    units = unit_rows(stack(table.column("embedding"), dims))
+    keys = table.column("actor_key").to_numpy()
+    vectors = table.column("embedding").combine_chunks()
     matrices, begin = {}, 0
     for movie, rows in groupby(table.column(0).to_pylist()):
         end = begin + sum(1 for _ in rows)
-        matrices[movie] = (ords[begin:end], units[begin:end])
+        own = vectors.slice(begin, end - begin)
+        matrices[movie] = (keys[begin:end], unit_rows(stack(own, len(own[0]))))
         begin = end
-    return Block(dims, matrices, table.num_rows)
+    return Block(matrices)
 
 
 def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
@@ -131,22 +135,30 @@ def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> I
 
 
 def _rows_by_movie(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
-    """Yield (row numbers, movie, their vectors), few enough to score at once."""
-    matrix = stack(vectors, block.dims)
+    """Yield (row numbers, movie, their vectors), few enough to score at once.
+
+    Rows without a vector, and vectors that are not finite, meet no actor.
+    """
+    lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     if movies is None:
-        rows_of = {None: np.arange(len(matrix))}
+        rows_of = {None: np.flatnonzero(lengths)}
     else:
         coded = movies.dictionary_encode()
         codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
         names = coded.dictionary.to_pylist()
-        rows_of = {name: np.flatnonzero(codes == code) for code, name in enumerate(names)}
+        rows_of = {name: np.flatnonzero((codes == code) & (lengths > 0)) for code, name in enumerate(names)}
     for movie, rows in rows_of.items():
-        if movie not in block.matrices:
+        if movie not in block.matrices or not len(rows):
             continue
-        step = max(1, _CELLS // len(block.matrices[movie][0]))
+        keys, units = block.matrices[movie]
+        own = vectors if len(rows) == len(vectors) else vectors.take(pa.array(rows))
+        matrix = stack(own, units.shape[1])
+        finite = np.isfinite(matrix).all(axis=1)
+        if not finite.all():
+            rows, matrix = rows[finite], matrix[finite]
+        step = max(1, _CELLS // len(keys))
         for at in range(0, len(rows), step):
-            some = rows[at : at + step]
-            yield some, movie, matrix[some]
+            yield rows[at : at + step], movie, matrix[at : at + step]
 
 
 def _score_lists(block, within: bool):
@@ -159,13 +171,13 @@ def _score_lists(block, within: bool):
         for rows, _, ords, _ in parts:
             sizes[rows] = len(ords)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
-        actor = np.empty(offsets[-1], dtype=np.int32)
+        actor = np.empty(offsets[-1], dtype=np.int64)
         score = np.empty(offsets[-1], dtype=np.float64)
         for rows, _, ords, scores in parts:
             cells = offsets[rows][:, None] + np.arange(len(ords))[None, :]
             actor[cells] = ords[None, :]
             score[cells] = scores
-        values = pa.StructArray.from_arrays([pa.array(actor), pa.array(score)], names=["actor_ord", "similarity_score"])
+        values = pa.StructArray.from_arrays([pa.array(actor), pa.array(score)], names=["actor_key", "similarity_score"])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
     if within:
@@ -183,29 +195,32 @@ def _score_lists(block, within: bool):
     return of_all
 
 
-def _all_scores(passes: Iterator[Pass], within: str | None) -> tuple[list[DataFrame], list[pa.Table]]:
-    results, names = [], []
+def _all_scores(faces: DataFrame, passes: Iterator[Pass], within: str | None) -> DataFrame:
+    rest = [c for c in faces.columns if c != "embedding"]
+    results = []
     for one in passes:
-        rest = [c for c in one.faces.columns if c != "embedding"]
-        function = _score_lists(one.faces.sparkSession.sparkContext.broadcast(one.block), bool(within))
+        function = _score_lists(faces.sparkSession.sparkContext.broadcast(one.block), bool(within))
         lists = function(F.col("embedding"), F.col(within)) if within else function(F.col("embedding"))
         results.append(one.faces.select(*rest, F.inline(lists)))
-        names.append(one.names)
-    return results, names
+    return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
 
 
 def _no_scores(faces: DataFrame) -> DataFrame:
     rest = [c for c in faces.columns if c != "embedding"]
-    return faces.select(*rest, F.lit(0).alias("actor_ord"), F.lit(0.0).alias("similarity_score")).where(F.lit(False))
+    return faces.select(*rest, F.lit(0).cast("long").alias("actor_key"), F.lit(0.0).alias("similarity_score")).where(F.lit(False))
 
 
 def score_all(faces: DataFrame, gallery: DataFrame, within: str | None = None, max_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
-    """Every face with its score against every actor (of its movie, if ``within``).
+    """Every face with its score against every actor (of its movie, if ``within``), by ordinal.
 
     Only the vectors pass through Python; the other columns stay in the JVM.
+    Faces without a vector, or with one that is not finite, have no score.
     """
-    results, _ = _all_scores(gallery_passes(faces, gallery, within, max_bytes, max_list=MAX_LIST), within)
-    return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
+    shared = [within] if within else []
+    actors = keyed_gallery(gallery, within)
+    scored = _all_scores(faces, gallery_passes(faces, actors, within, max_bytes, max_list=MAX_LIST), within)
+    ordinals = actors.select(*shared, "actor_key", "actor_ord")
+    return scored.join(ordinals, [*shared, "actor_key"]).select(*[c for c in faces.columns if c != "embedding"], "actor_ord", "similarity_score")
 
 
 def _first_k(ords: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -227,6 +242,9 @@ class _Best:
         self.columns = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)  # actor, score, id
         self.rows: pa.Table | None = None
 
+    def __len__(self) -> int:
+        return len(self.columns[0])
+
     def add(self, batch: pa.Table, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         i, j = np.nonzero(scores >= self.bar[None, :])
         if not len(i):
@@ -243,50 +261,49 @@ class _Best:
         full = np.bincount(self.columns[0], minlength=len(self.bar)) >= self.k
         lowest = np.full(len(self.bar), np.inf)
         np.minimum.at(lowest, self.columns[0], self.columns[1])
-        self.bar = np.where(full, lowest, _BELOW_ALL)
+        self.bar = np.maximum(self.bar, np.where(full, lowest, _BELOW_ALL))
 
-    def table(self) -> pa.Table:
+    def passed_on(self) -> pa.Table:
+        """The rows held so far. Their bars stay: k rows at least are known to reach them."""
         actor, score, _ = self.columns
-        return self.rows.append_column("actor_ord", pa.array(self.actors[actor], pa.int32())).append_column(
+        table = self.rows.append_column("actor_key", pa.array(self.actors[actor], pa.int64())).append_column(
             "similarity_score", pa.array(score, pa.float64())
         )
+        self.columns = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        self.rows = None
+        return table
 
 
-def _best_scores(
-    passes: Iterator[Pass],
-    k: int,
-    within: str | None,
-    prepare: Callable[[Block], Any] = lambda block: block,
-    parts: Callable[..., Iterator[tuple]] = _scored_parts,
-) -> tuple[list[DataFrame], list[pa.Table]]:
-    """The k best faces per actor within each task: all that can still reach the top k.
-
-    ``parts`` scores a batch against what ``prepare`` made of the block.
-    """
-    results, names = [], []
+def _best_scores(faces: DataFrame, passes: Iterator[Pass], k: int, within: str | None) -> DataFrame:
+    """The k best faces per actor within each task, or a few more: all that can still reach the top k."""
+    rest = [c for c in faces.columns if c != "embedding"]
+    schema = T.StructType([faces.schema[c] for c in rest] + SCORES.elementType.fields)
+    limit = MAX_KEPT_ROWS
+    results = []
     for one in passes:
-        rest = [c for c in one.faces.columns if c != "embedding"]
-        schema = T.StructType([one.faces.schema[c] for c in rest] + SCORES.elementType.fields)
-        shared = one.faces.sparkSession.sparkContext.broadcast(prepare(one.block))
+        shared = faces.sparkSession.sparkContext.broadcast(one.block)
 
-        def best(batches: Iterator[pa.RecordBatch], shared=shared, rest=rest) -> Iterator[pa.RecordBatch]:
+        def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             kept: dict[str | None, _Best] = {}
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 ids = table.column("face_id").to_numpy()
                 movies = batch.column(within) if within else None
                 plain = table.select(rest)
-                for rows, movie, ords, scores in parts(shared.value, batch.column("embedding"), movies):
+                for rows, movie, keys, scores in _scored_parts(shared.value, batch.column("embedding"), movies):
                     if movie not in kept:
-                        kept[movie] = _Best(ords, k)
+                        kept[movie] = _Best(keys, k)
                     kept[movie].add(plain, rows, ids, scores)
+                if sum(map(len, kept.values())) > limit:
+                    for found in kept.values():
+                        if found.rows is not None:
+                            yield from found.passed_on().to_batches()
             for found in kept.values():
                 if found.rows is not None:
-                    yield from found.table().to_batches()
+                    yield from found.passed_on().to_batches()
 
         results.append(one.faces.select(*rest, "embedding").mapInArrow(best, schema))
-        names.append(one.names)
-    return results, names
+    return reduce(DataFrame.unionByName, results or [_no_scores(faces)])
 
 
 def match_faces(
@@ -295,41 +312,36 @@ def match_faces(
     k: int | None = None,
     within: str | None = None,
     max_bytes: int = MAX_BLOCK_BYTES,
-    max_sorted_group: int = MAX_SORTED_GROUP,
 ) -> DataFrame:
     """Rank the faces against every actor by cosine similarity, best first.
 
     ``faces`` has face_id, embedding, image_path, bbox and confidence;
-    ``gallery`` has actor_ord, embedding_path and embedding. ``k`` limits the
-    matches per actor, None keeps them all. ``within`` names a column that both
-    sides share, such as ``movie``: faces then meet only the actors of their
-    own movie. Equal scores rank by face id. The result has the match columns,
-    plus ``actor_ord`` and the ``within`` column.
+    ``gallery`` has actor_ord, embedding_path and embedding. An actor is a gallery
+    file: ordinals may repeat between movies. ``k`` limits the matches per actor,
+    None keeps them all; ranks are the same either way. ``within`` names a column
+    that both sides share, such as ``movie``: faces then meet only the actors of
+    their own movie. Equal scores rank by face id. Faces without a vector, or with
+    one that is not finite, match nobody. The result has the match columns, plus
+    ``actor_ord`` and the ``within`` column.
+
+    All pairs are scored, written and sorted at once, when this is called: callers
+    that need no rank take ``score_all``.
     """
     if k is not None and k < 1:
         raise ValueError("k must be positive")
     shared = [within] if within else []
     faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
-    groups = [*shared, "actor_ord"]
+    actors = keyed_gallery(gallery, within)
+    groups = [*shared, "actor_key"]
     order = [F.desc("similarity_score"), F.asc("face_id")]
-
-    few = k is not None and k <= MAX_TASK_K
-    if few:
-        results, names = _best_scores(gallery_passes(faces, gallery, within, max_bytes, MAX_KEPT_ROWS // k), k, within)
-    else:
-        results, names = _all_scores(gallery_passes(faces, gallery, within, max_bytes, max_list=MAX_LIST), within)
-    scored = reduce(DataFrame.unionByName, results or [_no_scores(faces)])
-    if few:
-        ranked = _rank_best(scored, groups, order, k)
-    elif _largest_group(faces, within) <= max_sorted_group:
-        ranked = _rank(scored, groups, order)
+    if k is not None:
+        scored = _best_scores(faces, gallery_passes(faces, actors, within, max_bytes), k, within)
+        ranked = _rank_best(scored, groups, order, k).where(F.col("rank") <= k)
     else:
         # The sort samples its input first; scoring must not run twice for it.
-        actors = sum(table.num_rows for table in names)
-        ranked = number_rows(materialize(scored, "scored"), order, "rank", groups, max_groups=actors)
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
-    return _as_matches(ranked, _actor_names(gallery, names, shared), shared)
+        scored = _all_scores(faces, gallery_passes(faces, actors, within, max_bytes, max_list=MAX_LIST), within)
+        ranked = number_rows(materialize(scored, "scored"), order, "rank", groups)
+    return _as_matches(ranked, actors, shared)
 
 
 def _rank(scored: DataFrame, groups: list[str], order: list) -> DataFrame:
@@ -339,36 +351,22 @@ def _rank(scored: DataFrame, groups: list[str], order: list) -> DataFrame:
 def _rank_best(scored: DataFrame, groups: list[str], order: list, k: int) -> DataFrame:
     """Reduce the tasks' best rows in two steps, so that no step gets them all.
 
-    Every task contributes up to k rows per actor. Salts keep the number of
-    rows that meet in one task under ``MAX_SORTED_GROUP`` in the second step.
+    Every task contributes up to k rows per actor, or a few more. Salts keep the
+    number of rows that meet in one task under ``MAX_RANK_ROWS`` in the second
+    step, or at k where that is more.
     """
     partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(1, min(partitions, MAX_SORTED_GROUP // k))
+    salts = max(1, min(partitions, MAX_RANK_ROWS // k))
     salted = scored.withColumn("_salt", F.pmod(F.xxhash64("face_id"), F.lit(salts)))
     first = _rank(salted, [*groups, "_salt"], order).where(F.col("rank") <= k)
     return _rank(first.drop("rank", "_salt"), groups, order)
 
 
-def _largest_group(faces: DataFrame, within: str | None) -> int:
-    """How many rows the largest group to be ranked can have."""
-    if within is None:
-        return faces.count()
-    return faces.groupBy(within).count().agg(F.max("count")).first()[0] or 0
-
-
-def _actor_names(gallery: DataFrame, names: list[pa.Table], shared: list[str]) -> DataFrame:
-    """The actors without their vectors: as already fetched, if that was one bounded block."""
-    if len(names) != 1:
-        # No broadcast hint: Catalyst broadcasts this side if its size permits.
-        return gallery
-    local = gallery.sparkSession.createDataFrame(names[0])
-    return F.broadcast(local if shared else local.drop("movie"))
-
-
 def _as_matches(ranked: DataFrame, actors: DataFrame, shared: list[str]) -> DataFrame:
+    """Ranked rows with the names of their actors. Catalyst broadcasts these if their size permits."""
     path = F.col("embedding_path")
-    named = actors.select(*shared, "actor_ord", stem(path).alias("actor_name"), path.alias("actor_embedding_path"))
-    return ranked.join(named, [*shared, "actor_ord"]).select(
+    named = actors.select(*shared, "actor_key", "actor_ord", stem(path).alias("actor_name"), path.alias("actor_embedding_path"))
+    return ranked.join(named, [*shared, "actor_key"]).select(
         *shared,
         "actor_ord",
         F.col("rank").cast("bigint").alias("rank"),

@@ -24,6 +24,7 @@ from castframe.schema import DETECTION_BATCH, EMBEDDING_BATCH, SIMILARITY_THRESH
 from castframe.session import materialize
 from castframe.sinks.tables import save_detections, save_embeddings, save_matches
 from castframe.sources.frames import image_frames
+from castframe.sources.tables import embedding_load_report, readable_embeddings
 
 
 @dataclass(frozen=True)
@@ -79,6 +80,8 @@ class TaggingRun:
         return self.spark.read.schema(STAGES[name]).parquet(self.paths[name])
 
     def detections(self, frames: DataFrame, detector_factory: Callable[[], Any]) -> DataFrame:
+        if not frames.where("movie is null").isEmpty():
+            raise ValueError("every frame needs a movie")
         if not (self.settings.skip_detection and table_exists(self.spark, self.paths["detections"])):
             found = detect(image_frames(frames), detector_factory, self.settings.detection_batch, keep_errors=True)
             # Numbering sorts, and a sort samples its input first: detect once.
@@ -104,9 +107,13 @@ class TaggingRun:
             counts = counted.get
             total = self._table("detections").count()
             self.embedding_counts = {**counts, "skipped": total - sum(counts.values())}
-        stored = self._table("embeddings").where(F.col("model") == self.settings.model)
+        stored = readable_embeddings(self._table("embeddings").where(F.col("model") == self.settings.model))
         return self._without_stale(stored) if exists else stored
 
+    def load_report(self) -> DataFrame:
+        """How many stored embeddings the search can read, and how many it leaves out."""
+        return embedding_load_report(self._table("embeddings").where(F.col("model") == self.settings.model))
+
     def _without_stale(self, stored: DataFrame) -> DataFrame:
         """Leave out faces that the detections no longer have, after a new detection run.
 
@@ -120,8 +127,21 @@ class TaggingRun:
         return stored.join(keys, on, "left_semi")
 
     def matches(self, embeddings: DataFrame, gallery: DataFrame) -> None:
+        """Movies whose vectors differ in length go to ``search_errors``; the others go on."""
         if not self.settings.skip_search:
-            found = match_faces(embeddings, gallery, self.settings.top_k, within="movie")
+            length = F.size("embedding")
+            lengths = [
+                side.groupBy("movie").agg(F.min(length).alias(f"low_{name}"), F.max(length).alias(f"high_{name}"))
+                for side, name in ((gallery, "gallery"), (embeddings, "faces"))
+            ]
+            shown = [F.concat_ws(" to ", f"low_{name}", f"high_{name}") for name in ("gallery", "faces")]
+            failed = lengths[0].join(lengths[1], "movie").where(
+                "low_gallery <> high_gallery or low_faces <> high_faces or low_gallery <> low_faces"
+            ).select("movie", F.format_string("gallery vectors have %s elements, faces %s", *shown).alias("error"))
+            failed.write.mode("overwrite").parquet(self.paths["search_errors"])
+            names = self._table("search_errors").select("movie")
+            usable = gallery.join(names, "movie", "left_anti")
+            found = match_faces(embeddings, usable, self.settings.top_k, within="movie")
             save_matches(found, self.paths["matches"], by=("movie", "actor_name"))
 
     def annotations(self, actors: DataFrame) -> None:
@@ -168,14 +188,20 @@ class TaggingRun:
     def table(self, name: str) -> DataFrame:
         return self._table(name)
 
+    def status(self, movies: DataFrame, frames: DataFrame) -> DataFrame:
+        """How the run went for each configured movie, from its stage tables."""
+        errors = self._table("detection_errors").select("movie", "error").unionByName(self._table("search_errors"))
+        return movie_status(movies, frames, self._table("matches"), errors)
+
 
 def movie_status(
     movies: DataFrame, frames: DataFrame, matches: DataFrame, errors: DataFrame | None = None
 ) -> DataFrame:
     """One row per configured movie: its frames, its matches, and how it went.
 
-    A movie without frames is skipped, and one with frames that the detector
-    could not take has failed; the others go on.
+    A movie without frames is skipped. One with ``errors``, such as frames that
+    the detector or vectors that the search could not take, has failed; the
+    others go on.
     """
     listed = image_frames(frames).groupBy("movie").agg(F.count("*").alias("frames"))
     matched = matches.groupBy("movie").agg(F.count("*").alias("matches"))

@@ -115,6 +115,9 @@ DETECTION_ERRORS = T.StructType(
     [T.StructField("movie", T.StringType()), T.StructField("image_path", T.StringType()), T.StructField("error", T.StringType())]
 )
 
+# Movies that the search could not take.
+SEARCH_ERRORS = T.StructType([T.StructField("movie", T.StringType()), T.StructField("error", T.StringType())])
+
 RENDERED = T.StructType(
     [
         T.StructField("frame_image_path", T.StringType()),
@@ -132,6 +135,7 @@ STAGES = {
     "detections": T.StructType([*DETECTIONS.fields, T.StructField("face_id", T.LongType())]),
     "detection_errors": DETECTION_ERRORS,
     "embeddings": FACE_EMBEDDINGS,
+    "search_errors": SEARCH_ERRORS,
     "matches": T.StructType(
         [T.StructField("movie", T.StringType()), T.StructField("actor_ord", T.IntegerType()), *MATCHES.fields]
     ),

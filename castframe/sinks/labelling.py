@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castframe.functions.boxes import CORNERS, match_label, relative_box
-from castframe.session import materialize
-
-MAX_FACES = 10_000  # labelled boxes in one sample
 
 
 def with_dimensions(matches: DataFrame, dimensions: DataFrame) -> DataFrame:
-    """Matches with the size of their image; images of unknown size drop out."""
-    sizes = dimensions.select(F.col("image_path").alias("frame_image_path"), "width", "height")
+    """Matches with the size of their image; images of unknown or no size drop out."""
+    sizes = dimensions.where("width > 0 and height > 0").select(F.col("image_path").alias("frame_image_path"), "width", "height")
     return matches.join(sizes, "frame_image_path")
 
 
@@ -36,45 +33,20 @@ def _boxes(sized: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def labelling_samples(matches: DataFrame, dimensions: DataFrame, max_faces: int = MAX_FACES) -> DataFrame:
-    """One sample per image, with its boxes in result order.
+def labelling_samples(matches: DataFrame, dimensions: DataFrame) -> DataFrame:
+    """The labelled boxes of all samples, one row each: ``filepath`` is the sample.
 
-    An image with more than ``max_faces`` boxes becomes several samples of the
-    same file, ``part`` 0 to ``parts - 1``, so that no group grows without
-    bound. The part also salts the join: the size of a large image is repeated
-    for each of its parts, and join and grouping share one shuffle by image and
-    part. ``matches`` should be a stored table, since it is read twice: first
-    for the list of large images, which is written so that Catalyst knows its
-    true size and broadcasts it only if that is small.
+    The rows stay flat, so an image may have any number of boxes. Their result
+    order is ``actor_ord``, ``rank``, ``face_id``.
     """
-    large = materialize(
-        matches.groupBy("frame_image_path").count().where(F.col("count") > max_faces)
-        .select("frame_image_path", F.ceil(F.col("count") / max_faces).alias("parts")),
-        "large-images",
-    )
-    parts = F.coalesce("parts", F.lit(1).cast("long")).alias("parts")
-    split = matches.join(large, "frame_image_path", "left").select(*matches.columns, parts)
-    split = split.withColumn("part", F.pmod(F.xxhash64("actor_ord", "face_id"), F.col("parts")))
-    sizes = dimensions.select(F.col("image_path").alias("frame_image_path"), "width", "height")
-    sizes = sizes.join(large, "frame_image_path", "left").select(
-        "frame_image_path", "width", "height", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1)).alias("part")
-    )
-    boxes = _boxes(split.join(sizes, ["frame_image_path", "part"]), "part", "parts")
-    entry = F.struct("actor_ord", "rank", "face_id", "label", "bounding_box", "confidence")
-    grouped = boxes.groupBy("filepath", "part").agg(
-        F.max("parts").alias("parts"), F.array_sort(F.collect_list(entry)).alias("ordered")
-    )
-    return grouped.select(
-        "filepath",
-        "part",
-        "parts",
-        F.transform(
-            "ordered",
-            lambda e: F.struct(e.label.alias("label"), e.bounding_box.alias("bounding_box"), e.confidence.alias("confidence")),
-        ).alias("faces"),
-    )
+    return relative_boxes(matches, dimensions)
+
+
+def sample_images(samples: DataFrame) -> DataFrame:
+    """One row per sample, with its number of boxes."""
+    return samples.groupBy("filepath").agg(F.count("*").alias("boxes"))
 
 
 def save_samples(samples: DataFrame, path: str) -> None:
-    """JSON lines; an existing dataset of that name is replaced."""
+    """JSON lines, a box each; an existing dataset of that name is replaced."""
     samples.write.mode("overwrite").json(path)

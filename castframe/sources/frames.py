@@ -16,12 +16,14 @@ from castframe.schema import FRAMES, IMAGE_SUFFIXES
 from castframe.session import materialize
 
 
-def list_frames(spark: SparkSession, folder: str, movie: str | None = None) -> DataFrame:
+def list_frames(spark: SparkSession, folder: str, movie: str) -> DataFrame:
     """All images under ``folder``, by Spark's file source. No content is read.
 
     Spark keeps the listing in the driver and skips names that start with
     ``_`` or ``.``. For very large trees use ``walk_frames``.
     """
+    if movie is None:
+        raise ValueError("every frame needs a movie")
     glob = "*.{" + ",".join(IMAGE_SUFFIXES) + "}"
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
@@ -56,11 +58,19 @@ def _entries(folder: str) -> Iterator[tuple[str, int, bool]]:
                     if not entry.is_symlink():
                         yield entry.path, 0, True
                 else:
-                    yield entry.path, entry.stat(follow_symlinks=False).st_size, False
+                    yield entry.path, _size(entry), False
     except (FileNotFoundError, NotADirectoryError):
         return
 
 
+def _size(entry: os.DirEntry) -> int:
+    """The length of the file, of its target if it is a link; 0 for a link to nothing."""
+    try:
+        return entry.stat().st_size
+    except FileNotFoundError:
+        return 0
+
+
 def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["movie", "path", "length", "is_folder"]
     for batch in batches:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from castframe.functions.boxes import CORNERS, pack_box
-from castframe.functions.vectors import as_float_vector
+from castframe.functions.vectors import as_float_vector, is_finite_vector
 from castframe.schema import DETECTIONS_CSV, GALLERY, MATCHES
 
 
@@ -31,20 +31,15 @@ def read_matches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MATCHES).parquet(path)
 
 
-def _is_readable() -> F.Column:
-    return F.coalesce(F.size("embedding") > 0, F.lit(False))
-
-
 def readable_embeddings(records: DataFrame) -> DataFrame:
-    """Records that hold a vector."""
-    return records.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0))
+    """Records that hold a vector of finite numbers."""
+    return records.where(is_finite_vector(F.col("embedding")))
 
 
 def embedding_load_report(records: DataFrame) -> DataFrame:
     """How many records were loaded and how many dropped."""
-    return records.agg(
-        F.count_if(_is_readable()).alias("loaded"), F.count_if(~_is_readable()).alias("dropped")
-    )
+    good = is_finite_vector(F.col("embedding"))
+    return records.agg(F.count_if(good).alias("loaded"), F.count_if(~good).alias("dropped"))
 
 
 def load_embedding(embeddings: DataFrame, face_id: int) -> DataFrame:

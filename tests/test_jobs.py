@@ -292,16 +292,16 @@ def test_nothing_left_to_draw(spark, actors):
     assert render.annotation_counters(out).first() == (0, 0, 0, 0)
 
 
-@pytest.mark.parametrize("limit, parts", [(10_000, 1), (10, 5)])
-def test_large_samples_are_split_and_whole(spark, limit, parts):
-    found = [match(0, i + 1, 0.5, "/hot", face=i) for i in range(50)] + [match(0, 99, 0.5, "/one", face=99)]
-    dims = spark.createDataFrame([("/hot", 100, 50), ("/one", 100, 50)], "image_path string, width int, height int")
-    samples = labelling.labelling_samples(spark.createDataFrame(found, MATCH), dims, limit)
-    per_file = {r.filepath: (r.n, r.parts, r.rows) for r in samples.groupBy("filepath").agg(
-        F.sum(F.size("faces")).alias("n"), F.max("parts").alias("parts"), F.count("*").alias("rows")).collect()}
-    assert per_file["/one"] == (1, 1, 1)
-    assert per_file["/hot"][:2] == (50, parts) and per_file["/hot"][2] <= parts
-    assert samples.where("filepath = '/one'").first().faces[0].bounding_box == [0.01, 0.6, 0.08, 0.2]
+@pytest.mark.parametrize("n", [50, 10_000, 10_001])
+def test_samples_have_one_shape_at_every_size(spark, n):
+    boxes = spark.range(n).select(F.lit(0).alias("actor_ord"), (F.col("id") + 1).alias("rank"), F.col("id").alias("face_id"))
+    found = spark.createDataFrame([match(0, 99, 0.5, "/one", face=n)], MATCH)
+    hot = found.drop("actor_ord", "rank", "face_id").withColumn("frame_image_path", F.lit("/hot")).join(F.broadcast(boxes), F.lit(True))
+    sizes = [("/hot", 100, 50), ("/one", 100, 50), ("/flat", 100, 0)]
+    dims = spark.createDataFrame(sizes, "image_path string, width int, height int")
+    samples = labelling.labelling_samples(found.unionByName(hot), dims)
+    assert {r.filepath: r.boxes for r in labelling.sample_images(samples).collect()} == {"/hot": n, "/one": 1}
+    assert samples.where("filepath = '/one'").first().bounding_box == [0.01, 0.6, 0.08, 0.2]
 
 
 def test_summary_of_nothing(spark):

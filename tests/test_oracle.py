@@ -4,8 +4,8 @@ import pytest
 from compare import difference
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -28,6 +28,7 @@ def check_plan(plan):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):

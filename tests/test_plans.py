@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from castframe.operators.annotate import annotation_plan
-from castframe.operators.search import match_faces
+from castframe.operators.search import match_faces, score_all
 from workload import fixtures as fx
 
 
@@ -29,7 +29,7 @@ def test_later_stages_do_not_read_vectors(spark, sf_dir, tmp_path):
 
 
 def test_scoring_reads_vectors_once_and_keeps_the_rest_in_the_jvm(spark, sf_dir):
-    plan = plan_of(match_faces(fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir)))
+    plan = plan_of(score_all(fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir)))
     assert plan.count("ArrowEvalPython") == 1 and "ArrowEvalPython [of_all(embedding#" in plan
     assert plan.count("FileScan") == 1
 

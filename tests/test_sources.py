@@ -58,7 +58,7 @@ def test_listing_by_the_executors(spark, tree):
 def test_missing_folders_are_empty_with_a_warning(spark, tmp_path):
     absent = str(tmp_path / "absent")
     with pytest.warns(UserWarning):
-        assert frames.list_frames(spark, absent).count() == 0
+        assert frames.list_frames(spark, absent, "m").count() == 0
     with pytest.warns(UserWarning):
         assert tables.list_gallery(spark, absent).count() == 0
     with pytest.warns(UserWarning):

@@ -6,6 +6,8 @@ is an embedded face. ``workload.oracle`` states the same views in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from castframe.session import materialize
 INPUT_ROOT = "/frames"
 OUTPUT_ROOT = "/embeddings"
 
-_stored: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
 # The columns in use; with a schema given, Spark need not open a file to plan.
@@ -78,10 +80,7 @@ def number_detections(raw: DataFrame) -> DataFrame:
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detections table with ids, stored once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        _stored[key] = materialize(number_detections(raw_detections(spark, sf_dir)), "detections")
-    return _stored[key]
+    return stored(spark, sf_dir, "detections", lambda: number_detections(raw_detections(spark, sf_dir)))
 
 
 def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +99,19 @@ def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries read, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = materialize(make(), name)
+    return _stored[key]
+
+
 def gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "gallery", lambda: _gallery(spark, sf_dir))
+
+
+def _gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first vector of each label, as the reference vector of one actor."""
     first = table(spark, sf_dir, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
     label = F.col("label")

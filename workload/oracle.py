@@ -169,7 +169,7 @@ ORACLE = {
     ),
     "embedding_by_face_id": _sql(
         """SELECT face_id, image_path, round(list_sum(embedding), 6) AS total, round(confidence, 6) AS confidence
-           FROM fx_faces WHERE face_id IN (SELECT face_id FROM fx_detections)""",
+           FROM fx_faces WHERE face_id IN (SELECT face_id FROM fx_detections WHERE face_id % 3 = 1)""",
         "fx_faces",
         "fx_detections",
     ),
@@ -353,11 +353,33 @@ ORACLE = {
     "matches_all_movies": _sql(f"SELECT movie, {_MATCH} FROM movie_matches", "movie_matches"),
     "movie_status": _sql(
         """SELECT b.movie, coalesce(f.frames, 0) AS frames, coalesce(m.matches, 0) AS matches,
-                  CASE WHEN f.frames IS NULL THEN 'skipped' ELSE 'success' END AS status
+                  CASE WHEN f.frames IS NULL THEN 'skipped' WHEN b.movie = 'movie_1' THEN 'failed' ELSE 'success' END AS status
            FROM (SELECT DISTINCT concat('movie_', CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT)) AS movie FROM part) b
            LEFT JOIN (SELECT movie, count(*) AS frames FROM fx_listed GROUP BY movie) f ON f.movie = b.movie
-           LEFT JOIN (SELECT movie, count(*) AS matches FROM movie_matches GROUP BY movie) m ON m.movie = b.movie""",
+           LEFT JOIN (SELECT movie, count(*) AS matches FROM wave_matches WHERE rank <= 10 AND movie <> 'movie_1' GROUP BY movie) m
+             ON m.movie = b.movie""",
         "fx_listed",
-        "movie_matches",
+        "wave_matches",
+    ),
+    "sample_images": _sql("SELECT image_path AS filepath, count(*) AS boxes FROM samples GROUP BY image_path", "samples"),
+    "matches_with_odd_vectors": _sql(
+        f"""SELECT {_MATCH} FROM (
+              SELECT * REPLACE (row_number() OVER (PARTITION BY actor_ord ORDER BY score DESC, face_id) AS rank)
+              FROM matches WHERE face_id % 7 NOT IN (1, 2, 3, 4))
+            WHERE rank <= 20""",
+        "matches",
+    ),
+    "matches_with_repeated_ordinals": _sql(
+        f"SELECT coalesce(display_name, actor_name) AS display_name, {_MATCH} FROM matches WHERE rank <= 20", "matches"
+    ),
+    "annotation_of_odd_boxes": _sql(
+        """SELECT frame_image_path, face_id, label, CAST(actor_ord AS BIGINT) AS actor_ord, rank, x1, x2
+           FROM drawn WHERE face_id % 5 NOT IN (1, 2, 3)""",
+        "drawn",
+    ),
+    "pending_embeddings_without_movie": _sql(
+        """SELECT CASE WHEN face_id % 2 = 0 THEN movie END AS movie, face_id, image_path
+           FROM fx_detections WHERE face_id NOT IN (SELECT vec_id FROM embeddings)""",
+        "fx_detections",
     ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castframe.functions import boxes, paths, vectors
@@ -40,9 +40,15 @@ def _six(*names: str) -> list:
 
 
 def _matches(spark: SparkSession, sf_dir: str, k: int | None = None, within: str | None = None) -> DataFrame:
+    """The search anew: for the queries that are about it."""
     return search.match_faces(fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir), k, within)
 
 
+def _stored_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches as a table: for the queries that start from it."""
+    return fx.stored(spark, sf_dir, "matches", lambda: _matches(spark, sf_dir))
+
+
 MATCH_COLUMNS = ("similarity_score", "face_x1", "face_y1", "face_x2", "face_y2", "face_confidence")
 
 
@@ -82,7 +88,7 @@ def embedding_load_report(spark, sf_dir):
 
 @query
 def embedding_by_face_id(spark, sf_dir):
-    found = tables.load_embeddings(fx.faces(spark, sf_dir), fx.detections(spark, sf_dir))
+    found = tables.load_embeddings(fx.faces(spark, sf_dir), fx.detections(spark, sf_dir).where("face_id % 3 = 1"))
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return found.select("face_id", "image_path", F.round(total, 6).alias("total"), *_six("confidence"))
 
@@ -158,26 +164,29 @@ def normalized_embeddings(spark, sf_dir):
 @query
 def matches_for_one_actor(spark, sf_dir):
     path = scratch(spark, "matches")
-    sinks.save_matches(_matches(spark, sf_dir), path)
+    sinks.save_matches(_stored_matches(spark, sf_dir), path)
     stored = tables.read_matches(spark, path)
     return _match_rows(stored.where(F.col("actor_name") == "actor_3_face_0"))
 
 
 @query
 def labelling_samples(spark, sf_dir):
-    stored = materialize(_matches(spark, sf_dir), "matches")
     path = scratch(spark, "samples")
-    samples = labelling.labelling_samples(stored, fx.images(spark, sf_dir))
+    samples = labelling.labelling_samples(_stored_matches(spark, sf_dir), fx.images(spark, sf_dir))
     labelling.save_samples(samples, path)
     back = spark.read.schema(samples.schema).json(path)
-    faces = back.select("filepath", F.posexplode("faces").alias("place", "face"))
-    return faces.select(
-        "filepath", F.col("place").cast("bigint").alias("place"), F.col("face.label").alias("label"),
-        *[F.round(F.col("face.bounding_box")[i], 6).alias(n) for i, n in enumerate("xywh")],
-        F.round("face.confidence", 6).alias("confidence"),
+    place = F.row_number().over(Window.partitionBy("filepath").orderBy("actor_ord", "rank", "face_id")) - 1
+    return back.select(
+        "filepath", place.cast("bigint").alias("place"), "label",
+        *[F.round(F.col("bounding_box")[i], 6).alias(n) for i, n in enumerate("xywh")], *_six("confidence"),
     )
 
 
+@query
+def sample_images(spark, sf_dir):
+    return labelling.sample_images(labelling.labelling_samples(_stored_matches(spark, sf_dir), fx.images(spark, sf_dir)))
+
+
 # Columns
 
 
@@ -210,7 +219,7 @@ def faces_for_image(spark, sf_dir):
 
 @query
 def annotation_labels(spark, sf_dir):
-    styled = annotate.with_actor_style(_matches(spark, sf_dir), fx.gallery(spark, sf_dir))
+    styled = annotate.with_actor_style(_stored_matches(spark, sf_dir), fx.gallery(spark, sf_dir))
     return styled.select(
         "face_id", "actor_name", "display_name",
         boxes.match_label(F.col("display_name"), F.col("similarity_score")).alias("label"),
@@ -219,7 +228,7 @@ def annotation_labels(spark, sf_dir):
 
 @query
 def annotation_colors(spark, sf_dir):
-    styled = annotate.with_actor_style(_matches(spark, sf_dir), fx.gallery(spark, sf_dir))
+    styled = annotate.with_actor_style(_stored_matches(spark, sf_dir), fx.gallery(spark, sf_dir))
     return styled.select(
         "face_id", "actor_name", *[F.col(f"color.{c}").cast("bigint").alias(c) for c in "rgb"], "text_color"
     )
@@ -227,7 +236,7 @@ def annotation_colors(spark, sf_dir):
 
 @query
 def relative_boxes(spark, sf_dir):
-    rows = labelling.relative_boxes(_matches(spark, sf_dir), fx.images(spark, sf_dir))
+    rows = labelling.relative_boxes(_stored_matches(spark, sf_dir), fx.images(spark, sf_dir))
     return rows.select(
         "filepath", "face_id", "label", *_six("confidence"),
         *[F.round(F.col("bounding_box")[i], 6).alias(n) for i, n in enumerate("xywh")],
@@ -260,12 +269,12 @@ def frames_without_faces(spark, sf_dir):
 
 @query
 def matches_above_threshold(spark, sf_dir):
-    return _match_rows(annotate.above_threshold(_matches(spark, sf_dir), THRESHOLD))
+    return _match_rows(annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD))
 
 
 @query
 def matches_no_threshold(spark, sf_dir):
-    return _match_rows(annotate.above_threshold(_matches(spark, sf_dir), 0.0))
+    return _match_rows(annotate.above_threshold(_stored_matches(spark, sf_dir), 0.0))
 
 
 @query
@@ -277,7 +286,7 @@ def pending_embeddings(spark, sf_dir):
 @query
 def annotatable_images(spark, sf_dir):
     listing = frame_source.image_frames(fx.frames(spark, sf_dir))
-    return annotate.annotatable_images(_matches(spark, sf_dir), listing)
+    return annotate.annotatable_images(_stored_matches(spark, sf_dir), listing)
 
 
 # Joins
@@ -317,28 +326,28 @@ def embedding_coverage(spark, sf_dir):
 
 @query
 def actor_summary(spark, sf_dir):
-    return summary.actor_summary(_matches(spark, sf_dir))
+    return summary.actor_summary(_stored_matches(spark, sf_dir))
 
 
 @query
 def faces_per_actor(spark, sf_dir):
-    kept = annotate.above_threshold(_matches(spark, sf_dir), THRESHOLD)
+    kept = annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD)
     return summary.faces_per_actor(kept, fx.gallery(spark, sf_dir))
 
 
 @query
 def unique_images(spark, sf_dir):
-    return summary.unique_images(annotate.above_threshold(_matches(spark, sf_dir), THRESHOLD))
+    return summary.unique_images(annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD))
 
 
 @query
 def faces_per_image(spark, sf_dir):
-    return summary.faces_per_image(_matches(spark, sf_dir))
+    return summary.faces_per_image(_stored_matches(spark, sf_dir))
 
 
 @query
 def annotation_plan(spark, sf_dir):
-    plan = annotate.annotation_plan(_matches(spark, sf_dir), fx.gallery(spark, sf_dir), THRESHOLD)
+    plan = annotate.annotation_plan(_stored_matches(spark, sf_dir), fx.gallery(spark, sf_dir), THRESHOLD)
     whole = ("actor_ord", "rank", "x1", "y1", "x2", "y2", "text_x", "text_y", "back_x2", "back_y2")
     return plan.select(
         "frame_image_path", "save_path", "face_id", "label", "text_color",
@@ -348,10 +357,11 @@ def annotation_plan(spark, sf_dir):
 
 @query
 def embedding_counters(spark, sf_dir):
-    run = inference.embedding_run(
+    """Counted from the stored outcome, so that no model runs for it."""
+    run = fx.stored(spark, sf_dir, "embedding-run", lambda: inference.embedding_run(
         fx.detections(spark, sf_dir), fx.done(spark, sf_dir, MODEL), MODEL,
         embedder_factory=stubs.size_embedder, read_image=stubs.read_some_frames,
-    )
+    ))
     return inference.embedding_counters(run)
 
 
@@ -404,16 +414,20 @@ def embed_with_stub(spark, sf_dir):
 
 def _rendered(spark, sf_dir):
     """Drawing starts from stored matches: they are read for the plan and for the images."""
-    matches = materialize(annotate.above_threshold(_matches(spark, sf_dir), THRESHOLD), "matches")
+    matches = materialize(annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD), "matches")
     plan = annotate.annotation_plan(matches, fx.gallery(spark, sf_dir), THRESHOLD)
     listing = fx.images(spark, sf_dir).select(F.col("image_path").alias("path"), "length")
     usable = materialize(annotate.annotatable_images(matches, listing), "usable")
-    return render.render(plan, stubs.blank_frame, usable=usable)
+    return render.render(plan, stubs.blank_frame, usable=usable).drop("pixels")
+
+
+def _stored_rendered(spark, sf_dir):
+    return fx.stored(spark, sf_dir, "rendered", lambda: _rendered(spark, sf_dir))
 
 
 @query
 def render_status(spark, sf_dir):
-    return _rendered(spark, sf_dir).select(
+    return _stored_rendered(spark, sf_dir).select(
         "frame_image_path", "save_path", "status", "error", "faces_drawn",
         *[F.col(c).cast("bigint").alias(c) for c in ("width", "height", "channels")],
     )
@@ -421,7 +435,7 @@ def render_status(spark, sf_dir):
 
 @query
 def annotation_counters(spark, sf_dir):
-    return render.annotation_counters(_rendered(spark, sf_dir))
+    return render.annotation_counters(_stored_rendered(spark, sf_dir))
 
 
 # Whole runs
@@ -445,8 +459,59 @@ def matches_all_movies(spark, sf_dir):
 
 @query
 def movie_status(spark, sf_dir):
-    """Each part brand is a configured movie; only three have frames."""
+    """Each part brand is a configured movie. Three have frames; the gallery of one does not fit its faces."""
     brands = fx.table(spark, sf_dir, "part").select(
         F.concat(F.lit("movie_"), F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int").cast("string")).alias("movie")
     )
-    return tagging.movie_status(brands, fx.frames(spark, sf_dir), _matches(spark, sf_dir, within="movie"))
+    gallery = fx.gallery(spark, sf_dir)
+    short = F.when(F.col("movie") == "movie_1", F.slice("embedding", 1, 32)).otherwise(F.col("embedding"))
+    frames = fx.frames(spark, sf_dir)
+    run = TaggingRun(spark, scratch(spark, "run"), Settings(model=MODEL, top_k=10))
+    run.run(frames, gallery.withColumn("embedding", short), gallery, stubs.detector, stubs.wave_embedder, stubs.read_frame)
+    return run.status(brands, frames)
+
+
+# Odd data
+
+
+@query
+def matches_with_odd_vectors(spark, sf_dir):
+    """Some vectors are NULL, empty, or not finite: those faces match nobody."""
+    face = F.col("face_id")
+    broken = F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(float("nan"))).otherwise(x))
+    endless = F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(float("-inf"))).otherwise(x))
+    odd = (
+        F.when(face % 7 == 1, F.lit(None)).when(face % 7 == 2, F.array()).when(face % 7 == 3, broken).when(face % 7 == 4, endless)
+        .otherwise(F.col("embedding")).cast("array<float>")
+    )
+    faces = fx.faces(spark, sf_dir).withColumn("embedding", odd)
+    return _match_rows(search.match_faces(faces, fx.gallery(spark, sf_dir), TOP_K))
+
+
+@query
+def matches_with_repeated_ordinals(spark, sf_dir):
+    """Every movie counts its actors from 0, and one file stands in two movies."""
+    gallery = fx.gallery(spark, sf_dir)
+    own = gallery.withColumn("actor_ord", F.floor(F.col("actor_ord") / 3).cast("int"))
+    again = own.where("movie = 'movie_0'").withColumn("movie", F.lit("movie_9"))
+    found = search.match_faces(fx.faces(spark, sf_dir), own.unionByName(again), TOP_K)
+    styled = annotate.with_actor_style(found, own.unionByName(again))
+    return _match_rows(styled, "display_name")
+
+
+@query
+def annotation_of_odd_boxes(spark, sf_dir):
+    """Boxes that no image can have are left out; those of other faces stay."""
+    face = F.col("face_id")
+    odd = F.when(face % 5 == 1, F.lit(1e12)).when(face % 5 == 2, F.lit(float("inf"))).when(face % 5 == 3, F.lit(None)).otherwise(F.col("face_x2"))
+    plan = annotate.annotation_plan(_stored_matches(spark, sf_dir).withColumn("face_x2", odd), fx.gallery(spark, sf_dir), THRESHOLD)
+    return plan.select("frame_image_path", "face_id", "label", *[F.col(c).cast("bigint").alias(c) for c in ("actor_ord", "rank", "x1", "x2")])
+
+
+@query
+def pending_embeddings_without_movie(spark, sf_dir):
+    """A missing movie equals a missing movie: what is embedded is not taken up again."""
+    movie = F.when(F.col("face_id") % 2 == 0, F.col("movie"))
+    detections = fx.detections(spark, sf_dir).withColumn("movie", movie)
+    done = fx.done(spark, sf_dir, MODEL).withColumn("movie", movie)
+    return inference.pending_embeddings(detections, done, MODEL).select("movie", "face_id", "image_path")
