@@ -87,7 +87,7 @@ def test_secrets(spark, empty):
     texts = [
         "é password: secret:abcdefghijklmnopq", "password=token=abcdefghijklmnop", "AKIAAKIA" + "A" * 12 + " AKIA1 AKIA" + "B" * 14, "a" * 15 + " " + "b" * 16,
         "token='" + "0" * 32 + "' 😀 API_KEY = \"" + "f" * 20, "passwordpassword=abcdefghijkl", "", None, "secret = ", ("api-key apikey=" + "z9" * 8 + "\n") * 500,
-        "PassWD:::abcdefghijkl", "ghp_" + "a1" * 18,
+        "PassWD:::abcdefghijkl", "ghp_" + "aZ" * 18,
     ]
     rows = [*odd(plain(10)), *[(100 + i, t, "en", "s") for i, t in enumerate(texts)], (100, texts[0], "en", "s"), (None, texts[1], "en", "s")]
     kinds = {"assign", "access", "hex"}
@@ -105,7 +105,7 @@ def test_licenses_against_all_blocks(spark, empty):
     draw = random.Random(4)
     templates = [("x", "red green blue yellow black"), ("y", "one two three four"), ("z", "blue blue white")]
     vocabulary = "red green blue yellow black one two three four white and or".split()
-    rows = [(i, " ".join(draw.choice(vocabulary) if draw.random() < 0.2 else "filler" for _ in range(draw.randint(0, 300))), "en", "s") for i in range(60)]
+    rows = [(100 + i, " ".join(draw.choice(vocabulary) if draw.random() < 0.2 else "filler" for _ in range(draw.randint(0, 300))), "en", "s") for i in range(60)]
     rows += [*odd(plain(6)), (900, "MIT License mit-license", "en", "s"), (900, "MIT License mit-license", "en", "s")]
     got = licenses.scan(documents(spark, rows), templates=templates, threshold=0.75).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
