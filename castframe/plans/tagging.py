@@ -42,15 +42,18 @@ class Settings:
     skip_annotation: bool = False
 
 
+# The settings in the configuration table, and their names here.
+SETTING_COLUMNS = {
+    "embedding_model": "model", "top_k": "top_k", "similarity_threshold": "threshold",
+    "face_detection_batch_size": "detection_batch", "embedding_batch_size": "embedding_batch",
+    "skip_face_detection": "skip_detection", "skip_embedding_generation": "skip_embedding",
+    "skip_actor_search": "skip_search", "skip_image_generation": "skip_annotation",
+}
+
+
 def settings_of(movie: Row) -> Settings:
     """The settings in one row of the configuration table; absent values take the defaults."""
-    names = {
-        "embedding_model": "model", "top_k": "top_k", "similarity_threshold": "threshold",
-        "face_detection_batch_size": "detection_batch", "embedding_batch_size": "embedding_batch",
-        "skip_face_detection": "skip_detection", "skip_embedding_generation": "skip_embedding",
-        "skip_actor_search": "skip_search", "skip_image_generation": "skip_annotation",
-    }
-    return Settings(**{own: movie[name] for name, own in names.items() if movie[name] is not None})
+    return Settings(**{own: movie[name] for name, own in SETTING_COLUMNS.items() if movie[name] is not None})
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -361,6 +361,15 @@ ORACLE = {
         "fx_listed",
         "wave_matches",
     ),
+    "configured_movies": _sql(
+        """SELECT f.movie, coalesce(m.matches, 0) AS matches, CASE WHEN f.movie = 'movie_1' THEN 'failed' ELSE 'success' END AS status,
+                  coalesce(m.drawn, 0) AS drawn
+           FROM (SELECT DISTINCT movie FROM fx_frames) f
+           LEFT JOIN (SELECT movie, count(*) AS matches, count(*) FILTER (WHERE movie <> 'movie_2' OR score >= 0.1) AS drawn
+                      FROM wave_matches WHERE movie <> 'movie_1' AND rank <= CAST(movie[7:] AS INT) + 3 GROUP BY movie) m ON m.movie = f.movie""",
+        "fx_frames",
+        "wave_matches",
+    ),
     "sample_images": _sql("SELECT image_path AS filepath, count(*) AS boxes FROM samples GROUP BY image_path", "samples"),
     "matches_with_odd_vectors": _sql(
         f"""SELECT {_MATCH} FROM (

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from castframe.functions import boxes, paths, vectors
 from castframe.operators import annotate, inference, lsh, numbering, render, search, summary
 from castframe.plans import tagging
+from castframe.plans.configured import ConfiguredRuns
 from castframe.plans.tagging import Settings, TaggingRun
-from castframe.schema import DETECTIONS_CSV, PREVIEW_ROWS
+from castframe.schema import CONFIG, DETECTIONS_CSV, PREVIEW_ROWS
 from castframe.session import materialize, scratch, ship
 from castframe.sinks import labelling, tables as sinks
 from castframe.sources import config, frames as frame_source, images, tables
@@ -471,6 +472,29 @@ def movie_status(spark, sf_dir):
     return run.status(brands, frames)
 
 
+@query
+def configured_movies(spark, sf_dir):
+    """Each movie under its own settings; the model of one is unknown, so that movie fails."""
+    number = F.regexp_extract("movie", "([0-9]+)$", 1).cast("int")
+    movies = fx.frames(spark, sf_dir).select("movie").distinct().withColumns({
+        "frames_dir": F.concat(F.lit("/frames/"), "movie"),
+        "embedding_model": F.when(number == 1, "unknown").otherwise(MODEL),
+        "top_k": (number + 3).cast("int"),
+        "similarity_threshold": F.when(number == 2, 0.1).otherwise(0.0),
+    })
+    absent = [c for c in CONFIG.fields if c.name not in movies.columns]
+    configured = materialize(movies.select("*", *[F.lit(None).cast(c.dataType).alias(c.name) for c in absent]), "config")
+
+    def listed(roots):
+        return fx.frames(spark, sf_dir).join(roots.select("movie"), "movie", "left_semi")
+
+    gallery = fx.gallery(spark, sf_dir)
+    runs = ConfiguredRuns(spark, configured, scratch(spark, "configured"), listed)
+    runs.run(gallery, gallery, stubs.detector, {MODEL: stubs.wave_embedder}, stubs.read_frame)
+    drawn = runs.table("annotation_plan").groupBy("movie").agg(F.count("*").alias("drawn"))
+    return runs.status().join(drawn, "movie", "left").select("movie", "matches", "status", F.coalesce("drawn", F.lit(0)).alias("drawn"))
+
+
 # Odd data
 
 
