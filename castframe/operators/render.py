@@ -71,15 +71,13 @@ def _boxes_of_usable(boxes: DataFrame, usable: DataFrame) -> tuple[DataFrame, Da
     own_path = F.col("save_path") if "save_path" in usable.columns else shot_relative_path(F.col("frame_image_path"))
     images = usable.withColumn("save_path", own_path)
     ok = images.where(F.col("status") == "ok").select("frame_image_path", "save_path")
-    # An inner join and an anti join: adaptive execution can split an image
-    # with very many boxes in the first, and the second has each image once.
-    on_images = boxes.drop("save_path").join(ok, "frame_image_path")
-    bare = ok.join(boxes.select("frame_image_path").distinct(), "frame_image_path", "left_anti")
+    # One pass over the plan: an image without boxes comes through with none.
+    on_images = ok.join(boxes.drop("save_path"), "frame_image_path", "left").select(*boxes.columns)
     skipped = images.where(F.col("status") != "ok").select(
         "frame_image_path", "save_path", F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("faces_drawn"),
         F.col("status").alias("error"),
     )
-    return on_images.unionByName(bare, allowMissingColumns=True), skipped
+    return on_images, skipped
 
 
 def render(

@@ -171,3 +171,20 @@ def test_config_to_actors(spark, tmp_path):
 def test_workspace_is_the_shared_folder(spark):
     before = workspace(spark)
     assert before == workspace(spark)
+
+
+def test_sizes_come_from_headers_alone(spark, tmp_path):
+    import struct
+
+    png = b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", 300, 200) + b"\x08\x02"
+    segment = b"\xff\xe1" + struct.pack(">H", 5002) + b"x" * 5000
+    jpeg = b"\xff\xd8\xff\xe0" + struct.pack(">H", 4) + b"ab" + segment + b"\xff\xc2" + struct.pack(">HBHH", 11, 8, 120, 340) + b"rest"
+    files = {"a.png": png, "b.jpg": jpeg, "c.jpg": jpeg[:100], "d.png": png[:20], "e.jpg": b"", "f.jpg": b"\xff\xd8no", "g.png": png.replace(struct.pack(">I", 300), struct.pack(">I", 0))}
+    for name, body in files.items():
+        (tmp_path / name).write_bytes(body)
+    (tmp_path / "link.png").symlink_to(tmp_path / "a.png")
+    listing = frames.walk_frames(spark.createDataFrame([("m", str(tmp_path))], "movie string, folder string"))
+    assert {r.path.rsplit("/", 1)[1]: r.length for r in listing.collect()}["link.png"] == len(png)
+    missing = spark.createDataFrame([("m", str(tmp_path / "none.png"), 1)], listing.schema)
+    found = images.file_dimensions(listing.unionByName(missing)).collect()
+    assert {r.image_path.rsplit("/", 1)[1]: (r.width, r.height) for r in found} == {"a.png": (300, 200), "link.png": (300, 200), "b.jpg": (340, 120)}
