@@ -81,12 +81,9 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     now = materialize(
         edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), f"{label}-edges"
     )
-    seen = None
     for turn in range(max_rounds):
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if state == seen or not state[0]:
+        if _are_stars(now):
             return now.select(a.alias("node"), b.alias("root")).union(now.select(b.alias("node"), b.alias("root")).distinct())
-        seen = state
         both = now.select(a.alias("u"), b.alias("v")).union(now.select(b.alias("u"), a.alias("v")))
         # Written, so that both sides of the join are shuffled for it and a hot node can be split.
         least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), f"{label}-least{turn}")
@@ -99,3 +96,12 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
             f"{label}-round{turn}",
         )
     raise RuntimeError("the components did not settle")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end: then the smaller ends are the roots."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("root")).union(
+        edges.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("root"))
+    )
+    counted = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+    return counted.where("out > 1 or out > 0 and root > 0").isEmpty()

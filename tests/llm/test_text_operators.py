@@ -335,6 +335,23 @@ def test_run_index_has_true_matches(seed):
 # -- lines --
 
 
+def shingles(line):
+    out, at = set(), 0
+    while at < len(line):
+        if line[at].isspace():
+            at += 1
+            continue
+        out.add(line[at : at + 8])
+        if "\u4e00" <= line[at] <= "\u9fff":
+            at += 1
+        else:
+            end = at
+            while end < len(line) and end < at + 8 and not line[end].isspace():
+                end += 1
+            at = end
+    return out
+
+
 def slow_lines(rows, threshold=0.8):
     places, lines = {}, {}
     for i, t, *_ in rows:
@@ -342,7 +359,7 @@ def slow_lines(rows, threshold=0.8):
             line = re.sub(r"^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", "", line)
             if line:
                 lines.setdefault(line, set()).add((i is None, i or 0, n))
-    sets = {s: {s[i : i + 5] for i in range(len(s) - 4)} or {s} for s in lines}
+    sets = {s: shingles(s) for s in lines}
     names = sorted(lines)
     linked = [
         (a, b) for i, a in enumerate(names) for b in names[i + 1 :]
