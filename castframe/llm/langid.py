@@ -167,7 +167,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, fitted, text_col, **{k: v for k, v in settings.items() if k in ("dims", "seed")})
 
 
-def reject_unknown(docs: DataFrame, min_score: float = 0.05) -> DataFrame:
+def reject_unknown(docs: DataFrame, min_score: float = 0.03) -> DataFrame:
     """Leave out texts without letters and those far from every learned language."""
     labelled = identify(docs.select("doc_id", "text", "lang", whole_row(docs).alias("_row")))
     kept = labelled.where((F.col("lang_pred") != UND) & (F.col("score") >= min_score))
