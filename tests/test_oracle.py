@@ -1,5 +1,11 @@
 """Every query against its SQL."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import difference
 
@@ -35,3 +41,15 @@ def test_flagship(spark):
     rows = entry.entry(spark)
     assert rows.count() > 0
     assert {"movie", "label", "rank", "save_path"} <= set(rows.columns)
+
+
+def test_entry_without_the_training_data_package(tmp_path):
+    """The operators for training data and their pipeline can be taken out as a whole."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "castframe", tmp_path / "castframe", ignore=shutil.ignore_patterns("llm"))
+    (tmp_path / "castframe" / "llm" / "__pycache__").mkdir(parents=True)
+    shutil.copytree(root / "workload", tmp_path / "workload")
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(*e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert set(said.stdout.split()) == set(QUERIES)
