@@ -71,11 +71,11 @@ def text_key(doc_id: Column, text: Column) -> Column:
 def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest node.
 
-    Alternating large-star and small-star steps. Each is an aggregate, which
-    combines before its shuffle, and a join, whose hot keys adaptive execution
-    splits; no component is ever gathered. Every round is written to the shared
-    folder. Nodes without an edge to another node are left out; null ends and
-    loops are ignored; a root is its own root. No edges give no rows.
+    Alternating large-star and small-star steps, two aggregates and two joins in
+    one job a round; no component is gathered, though a task streams the edges of a
+    node. Every round is written to the shared folder. Nodes without an edge to
+    another node are left out; null ends and loops are ignored; a root is its own
+    root. No edges give no rows.
     """
     a, b = F.col("a"), F.col("b")
     now = materialize(
@@ -85,16 +85,13 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
         if _are_stars(now):
             return now.select(a.alias("node"), b.alias("root")).union(now.select(b.alias("node"), b.alias("root")).distinct())
         both = now.select(a.alias("u"), b.alias("v")).union(now.select(b.alias("u"), a.alias("v")))
-        # Written, so that both sides of the join are shuffled for it and a hot node can be split.
-        least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), f"{label}-least{turn}")
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.distinct(), f"{label}-large{turn}")
-        root = materialize(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-root{turn}")
-        small = large.join(root, "a")
-        now = materialize(
-            small.where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b")).union(root.select("a", F.col("m").alias("b"))).distinct(),
-            f"{label}-round{turn}",
-        )
+        root = large.groupBy("a").agg(F.min("b").alias("m"))
+        m = F.col("m")
+        two = F.array(F.struct(b.alias("a"), m.alias("b")), F.struct(a.alias("a"), m.alias("b")))
+        small = large.join(root, "a").select(F.explode(two).alias("e")).select("e.a", "e.b").where(a != b)
+        now = materialize(small.distinct(), f"{label}-round{turn}")
     raise RuntimeError("the components did not settle")
 
 
