@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castframe.functions import boxes, paths, vectors
-from castframe.operators import annotate, inference, lsh, numbering, render, search, summary
+from castframe.operators import annotate, inference, lsh, render, search, summary
 from castframe.plans import tagging
 from castframe.plans.configured import ConfiguredRuns
 from castframe.plans.tagging import Settings, TaggingRun
