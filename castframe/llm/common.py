@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from castframe.session import materialize
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +26,11 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows with about ``limit`` bytes of text, one row at least."""
+    """Consecutive rows with about ``limit`` bytes of text, one row at least and ``SLICE_ROWS`` at most."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for at, size in enumerate(sizes):
-        if at > start and held + size > limit:
+        if at > start and (held + size > limit or at - start == SLICE_ROWS):
             yield batch.slice(start, at - start)
             start, held = at, 0
         held += size

@@ -27,7 +27,8 @@ from castframe.session import ship
 
 UND = "und"
 _SLICE = 128 << 10
-_MAX_CACHED = 16_384
+_MAX_CACHED = 16_384  # vectors of trigrams, a byte for each sign
+_BLOCK = 2048  # trigrams whose vectors are in use at once
 
 
 class Encoder:
@@ -39,7 +40,8 @@ class Encoder:
         self.points = [0]
         self.letters = np.ones((1, dims), np.int8)  # what stands beside a word has the unit vector
         self.keys = np.empty(0, np.int64)
-        self.grams = np.empty((0, dims), np.float32)
+        self.rows = np.empty(0, np.int64)  # of the keys, in grams
+        self.grams = np.empty((_MAX_CACHED, dims), np.int8)
 
     def _learn(self, points: np.ndarray) -> None:
         rows = [self.letters]
@@ -53,17 +55,19 @@ class Encoder:
         self.letters = np.concatenate(rows)
 
     def _vectors(self, keys: np.ndarray) -> np.ndarray:
-        """One row for each of the sorted distinct keys."""
-        if len(self.keys) > _MAX_CACHED:
-            self.keys, self.grams = self.keys[:0], self.grams[:0]
+        """One row for each of the sorted distinct keys, ``_BLOCK`` at most."""
         new = np.setdiff1d(keys, self.keys, assume_unique=True)
+        if len(self.keys) + len(new) > _MAX_CACHED:
+            self.keys, self.rows, new = self.keys[:0], self.rows[:0], keys
         if len(new):
-            mask = (1 << 21) - 1
-            bound = np.roll(self.letters[new >> 42], 2, axis=1) * np.roll(self.letters[(new >> 21) & mask], 1, axis=1) * self.letters[new & mask]
-            joined = np.concatenate([self.keys, new])
+            mask, held = (1 << 21) - 1, len(self.keys)
+            bound = np.roll(self.letters[new >> 42], 2, axis=1)
+            bound *= np.roll(self.letters[(new >> 21) & mask], 1, axis=1)
+            self.grams[held : held + len(new)] = bound * self.letters[new & mask]
+            joined, rows = np.concatenate([self.keys, new]), np.concatenate([self.rows, held + np.arange(len(new))])
             order = np.argsort(joined)
-            self.keys, self.grams = joined[order], np.concatenate([self.grams, bound.astype(np.float32)])[order]
-        return self.grams[np.searchsorted(self.keys, keys)]
+            self.keys, self.rows = joined[order], rows[order]
+        return self.grams[self.rows[np.searchsorted(self.keys, keys)]].astype(np.float32)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """One bundled vector per text; zeros without letters."""
@@ -82,7 +86,9 @@ class Encoder:
         keys, which = np.unique((wide[mid - 1] << 42) | (wide[mid] << 21) | wide[mid + 1], return_inverse=True)
         owner = np.searchsorted(np.cumsum(sizes), mid - 1, side="right")
         counts = np.bincount(owner * len(keys) + which, minlength=len(texts) * len(keys))
-        np.matmul(counts.reshape(len(texts), len(keys)).astype(np.float32), self._vectors(keys), out=out)
+        counts = counts.reshape(len(texts), len(keys)).astype(np.float32)
+        for at in range(0, len(keys), _BLOCK):
+            out += counts[:, at : at + _BLOCK] @ self._vectors(keys[at : at + _BLOCK])
         return out
 
 
