@@ -137,9 +137,59 @@ FROM placed p JOIN blocks b ON p.source IS NOT DISTINCT FROM b.source AND p.epoc
 WHERE p.epoch < passes OR n_tokens = 0 OR coalesce(earlier, 0) + coalesce(inside, 0) < rest"""
 
 
+def _merkle() -> str:
+    def leaf(n_chars: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    def levels(name: str, leaves: str, tree: str, digest: str) -> str:
+        return f"""
+{name}_lists(tree, lvl, h) AS (
+  SELECT {tree}, 0, list({digest} ORDER BY idx) FROM {leaves} GROUP BY ALL
+  UNION ALL
+  SELECT tree, lvl + 1, list_transform(range(0, (len(h) + 1) // 2), lambda i: sha256(h[2 * i + 1] || coalesce(h[2 * i + 2], '')))
+  FROM {name}_lists WHERE len(h) > 1),
+{name}_nodes AS (SELECT tree, lvl, generate_subscripts(h, 1) - 1 AS idx, unnest(h) AS digest FROM {name}_lists),
+{name}_tops AS (SELECT tree, lvl AS depth, h[1] AS digest FROM {name}_lists WHERE len(h) = 1)"""
+
+    def climb(name: str, first: str) -> str:
+        # The own node is folded from the claimed leaf, the siblings are the original ones.
+        sibling = "coalesce(s.digest, '')"
+        return f"""
+{name}_way(id, tree, lvl, idx, own, proof) AS (
+  {first}
+  UNION ALL
+  SELECT w.id, w.tree, w.lvl + 1, w.idx // 2,
+         sha256(CASE WHEN w.idx % 2 = 0 THEN w.own || {sibling} ELSE {sibling} || w.own END), w.proof || {sibling}
+  FROM {name}_way w JOIN {name}_tops t ON t.tree IS NOT DISTINCT FROM w.tree AND w.lvl < t.depth
+  LEFT JOIN {name}_nodes s ON s.tree IS NOT DISTINCT FROM w.tree AND s.lvl = w.lvl AND s.idx = CASE WHEN w.idx % 2 = 0 THEN w.idx + 1 ELSE w.idx - 1 END),
+{name}_end AS (
+  SELECT w.* FROM {name}_way w JOIN {name}_tops t ON t.tree IS NOT DISTINCT FROM w.tree AND w.lvl = t.depth)"""
+
+    octets = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    shift = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END"
+    eight = f"list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda x, _: {shift})"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: {eight}), CAST(4294967295 AS BIGINT))"
+    changed = f"CASE WHEN ({crc}) % 7 = 0 THEN n_chars + 1 ELSE n_chars END"
+    up = "SELECT e.id, 0, 0, s.idx, e.own, e.proof FROM low_end e JOIN subroots s ON s.lang IS NOT DISTINCT FROM e.tree"
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf, {leaf(changed)} AS claimed FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM hashed),
+{levels("low", "leaves", "lang", "leaf")},
+subroots AS (SELECT tree AS lang, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx FROM low_tops),
+{levels("high", "subroots", "0", "digest")},
+{climb("low", "SELECT id, lang, 0, idx, claimed, '' FROM leaves")},
+{climb("high", up)}
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(e.proof) AS proof_sha256, e.own AS folded_root, e.own = r.digest AS verified
+FROM high_end e JOIN leaves l USING (id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang, high_tops r"""
+
+
 ORACLE = {
     "op4_secret_scan": _secrets(),
     "op6_decontamination": _contamination(),
     "op7_mixing": _mixture(),
     "op10_license_scan": _licenses(),
+    "op12_merkle_manifest": _merkle(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.llm import ann, decontaminate, langid, licenses, linededup, mixing, runindex, secretscan, simhash, tokencounts
+from castframe.llm import ann, decontaminate, langid, licenses, linededup, manifest, mixing, runindex, secretscan, simhash, tokencounts
 from castframe.llm.common import table
 from castframe.llm.oracle import ORACLE  # noqa: F401
 
@@ -89,3 +89,17 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in manifest.FIELDS}
+    tampered = fields | {"n_chars": F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    proofs = manifest.manifest(docs, {"claimed": manifest.leaf_digest(tampered)})
+    proofs = proofs.withColumn("folded", manifest.folded(F.col("claimed"), F.col("siblings")))
+    return proofs.select(
+        "doc_id", *[manifest.shown(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        manifest.proof_digest(F.col("siblings")).alias("proof_sha256"), manifest.shown(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
