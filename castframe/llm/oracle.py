@@ -186,10 +186,29 @@ SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(e.proof)
 FROM high_end e JOIN leaves l USING (id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang, high_tops r"""
 
 
+def _ranked(k: int = 10) -> str:
+    return f"""
+WITH words AS ({_words("documents", "doc_id")}),
+asked AS (SELECT item_id, word, count(*) AS times FROM ({_words("benchmark", "item_id")}) GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+counts AS (SELECT doc_id, word, count(*) AS tf FROM words WHERE word IN (SELECT word FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT word, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counts, total GROUP BY word, docs),
+norms AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // terms AS m FROM sizes, total),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (word) JOIN counts USING (word) JOIN norms USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= {k}"""
+
+
 ORACLE = {
     "op4_secret_scan": _secrets(),
     "op6_decontamination": _contamination(),
     "op7_mixing": _mixture(),
     "op10_license_scan": _licenses(),
+    "op11_lexical_search": _ranked(),
     "op12_merkle_manifest": _merkle(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.llm import ann, decontaminate, langid, licenses, linededup, manifest, mixing, runindex, secretscan, simhash, tokencounts
+from castframe.llm import ann, decontaminate, langid, lexical, licenses, linededup, manifest, mixing, runindex, secretscan, simhash, tokencounts
 from castframe.llm.common import table
 from castframe.llm.oracle import ORACLE  # noqa: F401
 
@@ -91,6 +91,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
