@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.llm import ann, decontaminate, langid, lexical, licenses, linededup, manifest, mixing, runindex, secretscan, simhash, tokencounts
+from castframe.llm import ann, decontaminate, langid, lexical, licenses, linededup, manifest, mixing, quality, runindex, secretscan, simhash, tokencounts
 from castframe.llm.common import table
 from castframe.llm.oracle import ORACLE  # noqa: F401
 
@@ -108,3 +108,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         manifest.proof_digest(F.col("siblings")).alias("proof_sha256"), manifest.shown(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~langid.held_out(F.col("doc_id")))
+    held = langid.held_out(F.col("doc_id")).alias("held_out")
+    return quality.score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
