@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castframe.functions.boxes import is_drawable, label_row, match_label, whole_pixels
@@ -10,11 +10,14 @@ from castframe.functions.paths import shot_relative_path
 from castframe.schema import DEFAULT_COLOR, DEFAULT_TEXT_COLOR, LABEL_HEIGHT, LABEL_WIDTH, MAX_IMAGE_BYTES
 
 
-def above_threshold(matches: DataFrame, threshold: float) -> DataFrame:
+def above_threshold(matches: DataFrame, threshold: float | Column) -> DataFrame:
     """Matches scoring at least ``threshold``; 0.0 keeps all, negative ones too.
 
-    Ranks come from the search and stay as they are.
+    A column gives each match the threshold of its movie. Ranks come from the
+    search and stay as they are.
     """
+    if isinstance(threshold, Column):
+        return matches.where((threshold <= 0.0) | (F.col("similarity_score") >= threshold))
     return matches.where(F.col("similarity_score") >= threshold) if threshold > 0.0 else matches
 
 
@@ -38,7 +41,7 @@ def with_actor_style(matches: DataFrame, actors: DataFrame, within: str | None =
 
 
 def annotation_plan(
-    matches: DataFrame, actors: DataFrame, threshold: float = 0.0, within: str | None = None
+    matches: DataFrame, actors: DataFrame, threshold: float | Column = 0.0, within: str | None = None
 ) -> DataFrame:
     """One row per box to draw. Within an image the order is actor, then rank.
 

@@ -9,7 +9,7 @@ Which device a model uses is its own business; ``profile`` takes a Spark
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from typing import Any
 
@@ -54,7 +54,7 @@ def _default_tasks(rows: DataFrame) -> int:
 def detect(
     frames: DataFrame,
     detector_factory: Callable[[], Callable[[pd.DataFrame], list]],
-    batch_size: int = DETECTION_BATCH,
+    batch_size: int | str = DETECTION_BATCH,
     model_key: str | None = None,
     profile: Any = None,
     tasks: int | None = None,
@@ -66,7 +66,8 @@ def detect(
     list of ``(x1, y1, x2, y2, confidence)``. ``det_no`` counts the faces of a
     frame from 0. An exception in the detector fails the job; with
     ``keep_errors`` each frame of its batch becomes a row with an ``error``
-    and no box instead, so that other movies go on.
+    and no box instead, so that other movies go on. ``batch_size`` is a number or
+    names a column that holds it for each frame.
 
     A listing is small next to the work it stands for, so its rows are spread
     over ``tasks`` first. Frames that carry their ``content`` stay where they
@@ -80,9 +81,10 @@ def detect(
         detector = None
         for batch in batches:
             detector = detector or _model(detector_factory, model_key)
-            found, failed, messages = [], [], []
-            for at in range(0, len(batch), batch_size):
-                some = batch.iloc[at : at + batch_size]
+            found: list = [()] * len(batch)
+            failed, messages = [], []
+            for places in _portions(batch, batch_size):
+                some = batch.iloc[places]
                 try:
                     result = detector(some)
                     if len(result) != len(some):
@@ -91,9 +93,10 @@ def detect(
                     if not keep_errors:
                         raise
                     result = [()] * len(some)
-                    failed.extend(range(at, at + len(some)))
+                    failed.extend(places)
                     messages.extend([_message(problem)] * len(some))
-                found.extend(result)
+                for place, faces in zip(places, result):
+                    found[place] = faces
             if failed:
                 lost = batch.iloc[failed]
                 nothing = dict.fromkeys(("det_no", *CORNERS, "confidence"))
@@ -118,14 +121,25 @@ def detect(
     return frames.mapInPandas(run, schema, profile=profile)
 
 
-def _done_keys(done: DataFrame, model: str) -> DataFrame:
+def _portions(batch: pd.DataFrame, size: int | str, *together: str) -> Iterator[list[int]]:
+    """Positions of rows to be taken at once: as many as ``size`` says, all alike in it and in ``together``."""
+    by = [*together, *([size] if isinstance(size, str) else [])]
+    groups = batch.groupby(by, sort=False, dropna=False).indices.values() if by else [np.arange(len(batch))]
+    for rows in groups:
+        step = int(batch[size].iat[rows[0]]) if isinstance(size, str) else size
+        for at in range(0, len(rows), step):
+            yield rows[at : at + step].tolist()
+
+
+def _done_keys(done: DataFrame, model: str | None) -> DataFrame:
     """What identifies an embedded face: a new detection run may give its id to another box."""
     box = [F.col(f"bbox.{c}").alias(c) for c in CORNERS] if "bbox" in done.columns else [*CORNERS]
-    return done.where(F.col("model") == model).select("movie", "face_id", "image_path", *box)
+    keys = ["movie", "face_id", "image_path", *box]
+    return done.select(*keys, "model") if model is None else done.where(F.col("model") == model).select(*keys)
 
 
-def pending_embeddings(detections: DataFrame, done: DataFrame, model: str) -> DataFrame:
-    """Detections that have no embedding of this model yet."""
+def pending_embeddings(detections: DataFrame, done: DataFrame, model: str | None = None) -> DataFrame:
+    """Detections that have no embedding yet of this model, or of the one in their ``model`` column."""
     return _against(detections, _done_keys(done, model), "left_anti")
 
 
@@ -209,12 +223,30 @@ class _Opened:
         return self.held
 
 
+def _vectors(embedder: Callable[[list[np.ndarray]], Any], crops: list[np.ndarray]) -> list[tuple[np.ndarray | None, str | None]]:
+    """A vector or an error for each crop. Crops that the model refuses are found by halving their batch."""
+    try:
+        result = embedder(crops)
+    except Exception as problem:
+        if len(crops) == 1:
+            return [(None, _message(problem))]
+        half = len(crops) // 2
+        return _vectors(embedder, crops[:half]) + _vectors(embedder, crops[half:])
+    try:
+        if len(result) != len(crops):
+            raise ValueError(f"the model returned {len(result)} vectors for {len(crops)} crops")
+        rows = list(np.asarray(result, np.float32))
+    except Exception as problem:
+        return [(None, _message(problem))] * len(crops)
+    return [(v, None) if v.size and np.isfinite(v).all() else (None, "the model returned no finite vector") for v in rows]
+
+
 def embed(
     detections: DataFrame,
-    embedder_factory: Callable[[], Callable[[list[np.ndarray]], Any]],
-    model: str,
+    embedder_factory: Callable[[], Callable[[list[np.ndarray]], Any]] | Mapping[str, Callable[[], Any]],
+    model: str | None = None,
     read_image: Callable[[str], np.ndarray] | None = None,
-    batch_size: int = EMBEDDING_BATCH,
+    batch_size: int | str = EMBEDDING_BATCH,
     model_key: str | None = None,
     profile: Any = None,
     tasks: int | None = None,
@@ -230,22 +262,29 @@ def embed(
     must carry an ``image`` column.
 
     The embedder gets a list of crops and returns one vector for each. A crop
-    that cannot be read becomes an ``error`` row. If the model fails, all rows
-    of its batch become ``error`` rows, and a later run takes them up again.
+    that cannot be read becomes an ``error`` row. If the model fails, its batch is
+    halved down to the crops that it refuses; these become ``error`` rows, which
+    a later run takes up again, and the others keep their vectors.
+
+    Without ``model`` the detections have a ``model`` column, and the factories
+    are given by model: rows of different models take one job. ``batch_size`` is
+    a number or names a column that holds it for each row.
     """
-    columns = ["movie", "face_id", "image_path", *CORNERS, "confidence"]
+    factories = {model: embedder_factory} if model is not None else dict(embedder_factory)
+    extra = [batch_size] if isinstance(batch_size, str) else []
+    columns = ["movie", "face_id", "image_path", *CORNERS, "confidence", "model"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        embedder = None
+        embedders: dict[str, Any] = {}
         opened = _Opened(read_image)
         for batch in batches:
             vectors: list = [None] * len(batch)
             errors: list = [None] * len(batch)
             pictures = batch["image_path"] if read_image else batch["image"]
             boxes = batch[[*CORNERS]].to_numpy(np.float64)
-            for at in range(0, len(batch), batch_size):
+            for portion in _portions(batch, batch_size, "model"):
                 crops, places = [], []
-                for place in range(at, min(at + batch_size, len(batch))):
+                for place in portion:
                     try:
                         crops.append(crop(opened.pixels(pictures.iat[place]), boxes[place]))
                         places.append(place)
@@ -253,36 +292,34 @@ def embed(
                         errors[place] = _message(problem)
                 if not crops:
                     continue
+                name = batch["model"].iat[portion[0]]
                 try:
-                    embedder = embedder or _model(embedder_factory, model_key)
-                    result = embedder(crops)
-                    if len(result) != len(crops):
-                        raise ValueError(f"the model returned {len(result)} vectors for {len(crops)} crops")
-                    for place, vector in zip(places, np.asarray(result, np.float32)):
-                        if vector.size and np.isfinite(vector).all():
-                            vectors[place] = vector
-                        else:
-                            errors[place] = "the model returned no finite vector"
+                    if name not in embedders:
+                        embedders[name] = _model(factories[name], model_key and f"{model_key}/{name}")
                 except Exception as problem:
-                    for place in places:
-                        vectors[place], errors[place] = None, _message(problem)
+                    found = [(None, _message(problem))] * len(crops)
+                else:
+                    found = _vectors(embedders[name], crops)
+                for place, (vector, error) in zip(places, found):
+                    vectors[place], errors[place] = vector, error
             yield batch[columns].assign(
                 embedding=vectors, status=["saved" if e is None else "error" for e in errors], error=errors
             )
 
     schema = (
         "movie string, face_id long, image_path string, x1 double, y1 double, x2 double, y2 double, "
-        "confidence double, embedding array<float>, status string, error string"
+        "confidence double, model string, embedding array<float>, status string, error string"
     )
+    rows = detections if model is None else detections.withColumn("model", F.lit(model))
     if read_image is None:
-        rows = detections.select(*columns, "image")
+        rows = rows.select(*columns, *extra, "image")
     else:
         order = ("movie", "image_path", "face_id")
-        rows = detections.select(*columns)
+        rows = rows.select(*columns, *extra)
         rows = rows.repartitionByRange(tasks or _default_tasks(rows), *order).sortWithinPartitions(*order)
     embedded = rows.mapInPandas(run, schema, profile=profile)
     return embedded.select(
-        "movie", "face_id", "embedding", F.lit(model).alias("model"),
+        "movie", "face_id", "embedding", "model",
         pack_box(*[F.col(c) for c in CORNERS]).alias("bbox"),
         "confidence", "image_path", "status", "error",
     ).select(*FACE_EMBEDDINGS.fieldNames())

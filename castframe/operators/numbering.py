@@ -60,3 +60,26 @@ def assign_face_ids(detections: DataFrame, order: Sequence[Column] | None = None
         keys = [c for c in ("image_path", "det_no", "x1", "y1", "x2", "y2", "confidence") if c in detections.columns]
         order = [F.col(c) for c in keys]
     return number_rows(detections, order, "face_id", start=0)
+
+
+def extend_ids(
+    rows: DataFrame, known: DataFrame | None, keys: Sequence[str], order: Sequence[Column], name: str, start: int
+) -> DataFrame:
+    """Ids that last: rows that ``known`` has by ``keys`` take its id, the others are numbered from ``start``.
+
+    Missing values are equal. Of rows alike in their keys, the first in ``order`` takes
+    the least id known for them, the second the next, and so on.
+    """
+    if known is None:
+        return number_rows(rows, order, name, start=start)
+    columns = rows.columns
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_nth")
+    old_nth = F.row_number().over(Window.partitionBy(*keys).orderBy(name)).alias("_old_nth")
+    old = known.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col(name).alias("_id"), old_nth)
+    same = F.col("_nth") == F.col("_old_nth")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # Numbering sorts, and a sort samples its input first: join once.
+    joined = materialize(rows.select(*columns, nth).join(old, same, "left").select(*columns, "_id"), f"known-{name}")
+    fresh = number_rows(joined.where("_id is null").drop("_id"), order, name, start=start)
+    return joined.where("_id is not null").select(*columns, F.col("_id").alias(name)).unionByName(fresh)

@@ -40,9 +40,10 @@ SCORES = T.ArrayType(
 
 
 class Block(NamedTuple):
-    """Gallery vectors of bounded size: actor keys and one unit-row matrix per movie."""
+    """Gallery vectors of bounded size: actor keys and one unit-row matrix per movie, and how many matches a movie keeps."""
 
     matrices: dict[str | None, tuple[np.ndarray, np.ndarray]]
+    limits: dict[str | None, int | None]
 
 
 class Pass(NamedTuple):
@@ -52,15 +53,19 @@ class Pass(NamedTuple):
     faces: DataFrame
 
 
-def keyed_gallery(gallery: DataFrame, within: str | None = None) -> DataFrame:
+def keyed_gallery(gallery: DataFrame, within: str | None = None, k: int | str | None = None) -> DataFrame:
     """One row per actor, with ``actor_key``: an actor is a gallery file, of its movie if ``within``.
 
     A file that several rows name is one actor, with the least movie and ordinal.
+    ``_limit`` is ``k``, or what the column of that name says.
     """
     shared = [within] if within else []
     row = F.struct(*[c for c in ("movie", "actor_ord") if c in gallery.columns], "embedding")
-    named = gallery.groupBy(*shared, "embedding_path").agg(F.min(row).alias("row"))
-    return named.select(*shared, "embedding_path", "row.actor_ord", "row.embedding", F.xxhash64(*shared, "embedding_path").alias("actor_key"))
+    limit = F.max(F.col(k) if isinstance(k, str) else F.lit(k)).cast("int").alias("_limit")
+    named = gallery.groupBy(*shared, "embedding_path").agg(F.min(row).alias("row"), limit)
+    return named.select(
+        *shared, "embedding_path", "row.actor_ord", "row.embedding", "_limit", F.xxhash64(*shared, "embedding_path").alias("actor_key")
+    )
 
 
 def gallery_passes(
@@ -108,7 +113,7 @@ def gallery_passes(
             part, some = actors.where(here), faces.where(here)
         elif pieces > 1:
             part = actors.where(F.pmod("actor_key", F.lit(pieces)) == piece)
-        fetched = part.select(movie, "actor_key", "embedding").toArrow()
+        fetched = part.select(movie, "actor_key", "embedding", "_limit").toArrow()
         fetched = fetched.sort_by([(fetched.column_names[0], "ascending"), ("actor_key", "ascending")])
         for at in range(0, fetched.num_rows, limit):
             yield Pass(_block(fetched.slice(at, limit)), some)
@@ -118,13 +123,15 @@ def _block(table: pa.Table) -> Block:
     """A block from gallery rows that are sorted by movie."""
     keys = table.column("actor_key").to_numpy()
     vectors = table.column("embedding").combine_chunks()
-    matrices, begin = {}, 0
+    known = table.column("_limit").to_pylist()
+    matrices, limits, begin = {}, {}, 0
     for movie, rows in groupby(table.column(0).to_pylist()):
         end = begin + sum(1 for _ in rows)
         own = vectors.slice(begin, end - begin)
         matrices[movie] = (keys[begin:end], unit_rows(stack(own, len(own[0]))))
+        limits[movie] = known[begin]
         begin = end
-    return Block(matrices)
+    return Block(matrices, limits)
 
 
 def _scored_parts(block: Block, vectors: pa.Array, movies: pa.Array | None) -> Iterator[tuple]:
@@ -274,7 +281,7 @@ class _Best:
         return table
 
 
-def _best_scores(faces: DataFrame, passes: Iterator[Pass], k: int, within: str | None) -> DataFrame:
+def _best_scores(faces: DataFrame, passes: Iterator[Pass], within: str | None) -> DataFrame:
     """The k best faces per actor within each task, or a few more: all that can still reach the top k."""
     rest = [c for c in faces.columns if c != "embedding"]
     schema = T.StructType([faces.schema[c] for c in rest] + SCORES.elementType.fields)
@@ -292,7 +299,7 @@ def _best_scores(faces: DataFrame, passes: Iterator[Pass], k: int, within: str |
                 plain = table.select(rest)
                 for rows, movie, keys, scores in _scored_parts(shared.value, batch.column("embedding"), movies):
                     if movie not in kept:
-                        kept[movie] = _Best(keys, k)
+                        kept[movie] = _Best(keys, shared.value.limits[movie])
                     kept[movie].add(plain, rows, ids, scores)
                 if sum(map(len, kept.values())) > limit:
                     for found in kept.values():
@@ -309,7 +316,7 @@ def _best_scores(faces: DataFrame, passes: Iterator[Pass], k: int, within: str |
 def match_faces(
     faces: DataFrame,
     gallery: DataFrame,
-    k: int | None = None,
+    k: int | str | None = None,
     within: str | None = None,
     max_bytes: int = MAX_BLOCK_BYTES,
 ) -> DataFrame:
@@ -318,7 +325,9 @@ def match_faces(
     ``faces`` has face_id, embedding, image_path, bbox and confidence;
     ``gallery`` has actor_ord, embedding_path and embedding. An actor is a gallery
     file: ordinals may repeat between movies. ``k`` limits the matches per actor,
-    None keeps them all; ranks are the same either way. ``within`` names a column
+    None keeps them all; ranks are the same either way. With ``within`` it may also
+    name a column of the gallery that holds it for each movie: movies with a limit
+    take one search and those without another, however many limits there are. ``within`` names a column
     that both sides share, such as ``movie``: faces then meet only the actors of
     their own movie. Equal scores rank by face id. Faces without a vector, or with
     one that is not finite, match nobody. The result has the match columns, plus
@@ -327,15 +336,17 @@ def match_faces(
     All pairs are scored, written and sorted at once, when this is called: callers
     that need no rank take ``score_all``.
     """
+    if isinstance(k, str):
+        return _match_by_movie(faces, gallery, k, within, max_bytes)
     if k is not None and k < 1:
         raise ValueError("k must be positive")
     shared = [within] if within else []
-    faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
-    actors = keyed_gallery(gallery, within)
+    actors = keyed_gallery(gallery, within, k)
     groups = [*shared, "actor_key"]
     order = [F.desc("similarity_score"), F.asc("face_id")]
+    faces = faces.select(*shared, "face_id", "image_path", "bbox", "confidence", "embedding")
     if k is not None:
-        scored = _best_scores(faces, gallery_passes(faces, actors, within, max_bytes), k, within)
+        scored = _best_scores(faces, gallery_passes(faces, actors, within, max_bytes), within)
         ranked = _rank_best(scored, groups, order, k).where(F.col("rank") <= k)
     else:
         # The sort samples its input first; scoring must not run twice for it.
@@ -344,6 +355,29 @@ def match_faces(
     return _as_matches(ranked, actors, shared)
 
 
+def _match_by_movie(faces: DataFrame, gallery: DataFrame, k: str, within: str | None, max_bytes: int) -> DataFrame:
+    """``match_faces`` with the limit of each movie in column ``k`` of the gallery; null keeps all."""
+    if within is None:
+        raise ValueError("limits by movie need within")
+    limits = materialize(gallery.groupBy(within).agg(F.max(k).cast("int").alias("_limit")), "limits")
+    found = limits.agg(F.count("_limit").alias("limited"), F.count("*").alias("movies"), F.max("_limit").alias("most"), F.min("_limit").alias("least")).first()
+    if found["limited"] and found["least"] < 1:
+        raise ValueError("k must be positive")
+    parts = []
+    if found["limited"]:
+        faces_in = faces.select(within, "face_id", "image_path", "bbox", "confidence", "embedding")
+        limited = gallery.drop(k).join(limits.where("_limit is not null").withColumnRenamed("_limit", k), within)
+        actors = keyed_gallery(limited, within, k)
+        scored = _best_scores(faces_in, gallery_passes(faces_in, actors, within, max_bytes), within)
+        ranked = _rank_best(scored, [within, "actor_key"], [F.desc("similarity_score"), F.asc("face_id")], found["most"])
+        own = ranked.join(limits, within).where(F.col("rank") <= F.col("_limit")).drop("_limit")
+        parts.append(_as_matches(own, actors, [within]))
+    if found["movies"] > found["limited"]:
+        unlimited = gallery.join(limits.where("_limit is null").select(within), within, "left_semi")
+        parts.append(match_faces(faces, unlimited, None, within, max_bytes))
+    return reduce(DataFrame.unionByName, parts or [match_faces(faces, gallery, 1, within, max_bytes)])
+
+
 def _rank(scored: DataFrame, groups: list[str], order: list) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
 

@@ -3,40 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castframe.plans.tagging import SETTING_COLUMNS, Settings, TaggingRun, movie_status, settings_of
-from castframe.schema import SEARCH_ERRORS, STAGES
+from castframe.plans.tagging import TaggingRun, settings_table
 from castframe.sources.frames import walk_frames
 
 
-class ConfiguredRuns:
-    """One run for all movies that share their settings; each has a folder under ``folder``.
+class ConfiguredRun:
+    """One run over all configured movies. Their settings are columns, so each stage is one job over all of them.
 
-    A run that fails does so for its movies alone: they are reported as failed,
-    and the other runs go on. ``list_roots`` turns (movie, folder) into a listing.
+    What a stage cannot take, such as a model without a factory or vectors of unequal
+    length, fails its movie alone; the others go on. ``list_roots`` turns (movie, folder) into a listing.
     """
 
     def __init__(
         self, spark: SparkSession, config: DataFrame, folder: str, list_roots: Callable[[DataFrame], DataFrame] = walk_frames
     ):
-        self.spark = spark
         self.config = config
         self.frames = list_roots(config.select("movie", F.col("frames_dir").alias("folder")))
-        distinct = config.select(*SETTING_COLUMNS).distinct().collect()  # one row per way of running, at most one per movie
-        self.runs = [
-            (row, TaggingRun(spark, f"{folder.rstrip('/')}/{settings_name(settings)}", settings))
-            for row, settings in ((row, settings_of(row)) for row in distinct)
-        ]
-        self.failures: dict[int, str] = {}
-
-    def _movies(self, row: Any) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in SETTING_COLUMNS])
-        return self.config.where(same).select("movie")
+        self.stages = TaggingRun(spark, folder, settings_table(config))
 
     def run(
         self,
@@ -45,32 +33,16 @@ class ConfiguredRuns:
         detector_factory: Callable[[], Any],
         embedder_factories: Mapping[str, Callable[[], Any]],
         read_image: Callable[[str], Any],
-    ) -> "ConfiguredRuns":
-        for at, (row, run) in enumerate(self.runs):
-            own = [side.join(self._movies(row), "movie", "left_semi") for side in (self.frames, gallery, actors)]
-            try:
-                run.run(*own, detector_factory, embedder_factories[run.settings.model], read_image)
-            except Exception as problem:
-                self.failures[at] = f"{type(problem).__name__}: {problem}"[:1000]
+        write_image: Callable[[str, Any], None] | None = None,
+    ) -> "ConfiguredRun":
+        self.stages.run(self.frames, gallery, actors, detector_factory, embedder_factories, read_image, write_image)
         return self
 
     def table(self, name: str) -> DataFrame:
-        """A stage table over all runs that got there."""
-        parts = [run.table(name) for at, (_, run) in enumerate(self.runs) if at not in self.failures]
-        return reduce(DataFrame.unionByName, parts, self.spark.createDataFrame([], STAGES[name]))
+        return self.stages.table(name)
 
     def errors(self) -> DataFrame:
-        """(movie, error) of every stage."""
-        found = self.table("detection_errors").select("movie", "error").unionByName(self.table("search_errors"))
-        whole = [self._movies(self.runs[at][0]).withColumn("error", F.lit(text)) for at, text in self.failures.items()]
-        return reduce(DataFrame.unionByName, whole, found).select(*SEARCH_ERRORS.fieldNames())
+        return self.stages.errors()
 
     def status(self) -> DataFrame:
-        return movie_status(self.config, self.frames, self.table("matches"), self.errors())
-
-
-def settings_name(settings: Settings) -> str:
-    """A folder name that depends on the settings alone, so that a later run finds its tables."""
-    kept = "".join(c if c.isalnum() else "-" for c in settings.model)
-    flags = "".join("y" if x else "n" for x in (settings.skip_detection, settings.skip_embedding, settings.skip_search, settings.skip_annotation))
-    return f"{kept}_k{settings.top_k}_t{settings.threshold}_b{settings.detection_batch}x{settings.embedding_batch}_{flags}"
+        return self.stages.status(self.config, self.frames)

@@ -110,12 +110,24 @@ ANNOTATION_PLAN = T.StructType(
     ]
 )
 
+# Frames that a detector has seen. A frame without faces has a row too.
+FRAME_LEDGER = T.StructType(
+    [
+        *FRAMES.fields,
+        T.StructField("detector", T.StringType()),
+        T.StructField("faces", T.LongType()),
+    ]
+)
+
+# The frames that a run is about, and the batches that have seen them.
+CURRENT_FRAMES = T.StructType([*FRAMES.fields[:2], T.StructField("batch", T.LongType())])
+
 # Frames that the detector failed on.
 DETECTION_ERRORS = T.StructType(
     [T.StructField("movie", T.StringType()), T.StructField("image_path", T.StringType()), T.StructField("error", T.StringType())]
 )
 
-# Movies that the search could not take.
+# Movies that a stage could not take.
 SEARCH_ERRORS = T.StructType([T.StructField("movie", T.StringType()), T.StructField("error", T.StringType())])
 
 RENDERED = T.StructType(
@@ -133,8 +145,10 @@ RENDERED = T.StructType(
 # The tables between the stages of a run.
 STAGES = {
     "detections": T.StructType([*DETECTIONS.fields, T.StructField("face_id", T.LongType())]),
+    "current_frames": CURRENT_FRAMES,
     "detection_errors": DETECTION_ERRORS,
     "embeddings": FACE_EMBEDDINGS,
+    "embedding_errors": SEARCH_ERRORS,
     "search_errors": SEARCH_ERRORS,
     "matches": T.StructType(
         [T.StructField("movie", T.StringType()), T.StructField("actor_ord", T.IntegerType()), *MATCHES.fields]

@@ -24,7 +24,7 @@ _stored: dict[tuple[str, str, str], DataFrame] = {}
 # The columns in use; with a schema given, Spark need not open a file to plan.
 SCHEMAS = {
     "embeddings": "vec_id bigint, embedding array<float>, label int",
-    "orders": "o_orderkey bigint",
+    "orders": "o_orderkey bigint, o_orderdate timestamp",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
     "l_extendedprice double, l_discount double",
     "part": "p_brand string",
@@ -47,11 +47,23 @@ def frame_path(key, suffix=None) -> F.Column:
     )
 
 
+FIRST_DELIVERY = "1998-05-01"  # frames of earlier orders came first
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frames(table(spark, sf_dir, "orders"))
+
+
+def first_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What had been delivered when the first of two runs took place; the second takes all frames."""
+    return _frames(table(spark, sf_dir, "orders").where(F.col("o_orderdate") < FIRST_DELIVERY))
+
+
+def _frames(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     suffix = F.when(key % 50 == 49, ".JPG").when(key % 50 == 48, ".txt").otherwise(".jpg")
     length = F.when(key % 40 == 7, 52428801).when(key % 40 == 8, 52428800).otherwise(1000 + key).cast("bigint")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.concat(F.lit("movie_"), _text(key % 3)).alias("movie"), frame_path(key, suffix).alias("path"), length.alias("length")
     )
 

@@ -18,7 +18,8 @@ SELECT concat('movie_', o_orderkey % 3) AS movie, o_orderkey AS frame,
        concat('/frames/movie_', o_orderkey % 3, '/shot_', CAST(floor(o_orderkey / 100) AS BIGINT), '/', o_orderkey % 4, '/', o_orderkey,
               CASE WHEN o_orderkey % 50 = 49 THEN '.JPG' WHEN o_orderkey % 50 = 48 THEN '.txt' ELSE '.jpg' END) AS path,
        CASE WHEN o_orderkey % 40 = 7 THEN CAST(52428801 AS BIGINT) WHEN o_orderkey % 40 = 8 THEN CAST(52428800 AS BIGINT)
-            ELSE CAST(1000 + o_orderkey AS BIGINT) END AS length
+            ELSE CAST(1000 + o_orderkey AS BIGINT) END AS length,
+       CASE WHEN o_orderdate < TIMESTAMP '1998-05-01' THEN 0 ELSE 1 END AS delivery
 FROM orders""",
     "fx_listed": """
 SELECT * FROM fx_frames WHERE path LIKE '%.jpg' OR path LIKE '%.png' OR path LIKE '%.jpeg'""",
@@ -80,7 +81,7 @@ FROM drawn d JOIN usable u USING (frame_image_path) GROUP BY u.frame_image_path,
 SELECT movie, frame, path AS image_path, CAST(n AS BIGINT) AS det_no,
        CAST(frame % 1200 + n AS DOUBLE) AS x1, CAST(frame % 650 + n AS DOUBLE) AS y1,
        CAST(frame % 1200 + n + 20 AS DOUBLE) AS x2, CAST(frame % 650 + n + 30 AS DOUBLE) AS y2,
-       1 - n * 0.25E0 AS confidence
+       1 - n * 0.25E0 AS confidence, delivery
 FROM fx_listed, generate_series(0, 2) s(n) WHERE n < frame % 3""",
     "embedded": """
 SELECT movie, face_id, image_path, 'stub' AS model,
@@ -370,6 +371,31 @@ ORACLE = {
         "fx_frames",
         "wave_matches",
     ),
+    "lasting_face_ids": _sql(
+        f"""SELECT CAST(row_number() OVER (ORDER BY delivery, image_path, det_no) - 1 AS BIGINT) AS face_id, movie, image_path, det_no, {_BOX},
+                   round(confidence, 6) AS confidence
+            FROM found""",
+        "found",
+    ),
+    "frames_by_run": _sql(
+        """SELECT CAST(delivery AS BIGINT) AS batch, movie, count(*) AS frames, count(*) FILTER (frame % 3 = 0) AS without_faces,
+                  CAST(sum(frame % 3) AS BIGINT) AS faces
+           FROM fx_listed GROUP BY delivery, movie""",
+        "fx_listed",
+    ),
+    "second_run_counts": _sql(
+        """SELECT movie, count(*) AS faces, count(*) AS ids, any_value(saved) AS saved, any_value(skipped) AS skipped, any_value(errors) AS errors
+           FROM found, (SELECT count(*) FILTER (delivery = 1 AND frame % 97 <> 5) AS saved, count(*) FILTER (delivery = 0 AND frame % 97 <> 5) AS skipped,
+                               count(*) FILTER (frame % 97 = 5) AS errors FROM found)
+           WHERE frame % 97 <> 5 GROUP BY movie""",
+        "found",
+    ),
+    "published_images": _sql(
+        """SELECT frame_image_path, save_path, status, error, faces_drawn, width, height, channels,
+                  CASE WHEN status = 'processed' THEN CAST(720 AS BIGINT) END AS file_bytes
+           FROM rendered""",
+        "rendered",
+    ),
     "sample_images": _sql("SELECT image_path AS filepath, count(*) AS boxes FROM samples GROUP BY image_path", "samples"),
     "matches_with_odd_vectors": _sql(
         f"""SELECT {_MATCH} FROM (

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from castframe.functions import boxes, paths, vectors
 from castframe.operators import annotate, inference, lsh, render, search, summary
 from castframe.plans import tagging
-from castframe.plans.configured import ConfiguredRuns
+from castframe.plans.configured import ConfiguredRun
 from castframe.plans.tagging import Settings, TaggingRun
 from castframe.schema import CONFIG, DETECTIONS_CSV, PREVIEW_ROWS
 from castframe.session import materialize, scratch, ship
+from castframe.sinks import images as image_sink
 from castframe.sinks import labelling, tables as sinks
 from castframe.sources import config, frames as frame_source, images, tables
 from workload import fixtures as fx
@@ -413,30 +414,40 @@ def embed_with_stub(spark, sf_dir):
     )
 
 
-def _rendered(spark, sf_dir):
+def _rendered(spark, sf_dir, keep_pixels=False):
     """Drawing starts from stored matches: they are read for the plan and for the images."""
     matches = materialize(annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD), "matches")
     plan = annotate.annotation_plan(matches, fx.gallery(spark, sf_dir), THRESHOLD)
     listing = fx.images(spark, sf_dir).select(F.col("image_path").alias("path"), "length")
     usable = materialize(annotate.annotatable_images(matches, listing), "usable")
-    return render.render(plan, stubs.blank_frame, usable=usable).drop("pixels")
+    return render.render(plan, stubs.blank_frame, usable=usable, keep_pixels=keep_pixels)
 
 
-def _stored_rendered(spark, sf_dir):
-    return fx.stored(spark, sf_dir, "rendered", lambda: _rendered(spark, sf_dir))
+def _render_columns():
+    whole = [F.col(c).cast("bigint").alias(c) for c in ("width", "height", "channels")]
+    return ["frame_image_path", "save_path", "status", "error", "faces_drawn", *whole]
 
 
 @query
 def render_status(spark, sf_dir):
-    return _stored_rendered(spark, sf_dir).select(
-        "frame_image_path", "save_path", "status", "error", "faces_drawn",
-        *[F.col(c).cast("bigint").alias(c) for c in ("width", "height", "channels")],
-    )
+    return _rendered(spark, sf_dir).drop("pixels").select(*_render_columns())
 
 
 @query
 def annotation_counters(spark, sf_dir):
-    return render.annotation_counters(_stored_rendered(spark, sf_dir))
+    """Counted from the stored outcome, so that nothing is drawn for it."""
+    return render.annotation_counters(fx.stored(spark, sf_dir, "rendered", lambda: _rendered(spark, sf_dir).drop("pixels")))
+
+
+@query
+def published_images(spark, sf_dir):
+    """The images that a committed job has published, with the size of each file."""
+    path = scratch(spark, "images")
+    image_sink.write_images(_rendered(spark, sf_dir, keep_pixels=True), path, stubs.write_size)
+    published = image_sink.published_images(spark, path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jpg").load(path)
+    stored = files.select(F.regexp_replace("path", "^file:/+", "/").alias("file"), "length")
+    return published.join(stored, "file", "left").select(*_render_columns(), F.col("length").alias("file_bytes"))
 
 
 # Whole runs
@@ -489,10 +500,47 @@ def configured_movies(spark, sf_dir):
         return fx.frames(spark, sf_dir).join(roots.select("movie"), "movie", "left_semi")
 
     gallery = fx.gallery(spark, sf_dir)
-    runs = ConfiguredRuns(spark, configured, scratch(spark, "configured"), listed)
-    runs.run(gallery, gallery, stubs.detector, {MODEL: stubs.wave_embedder}, stubs.read_frame)
-    drawn = runs.table("annotation_plan").groupBy("movie").agg(F.count("*").alias("drawn"))
-    return runs.status().join(drawn, "movie", "left").select("movie", "matches", "status", F.coalesce("drawn", F.lit(0)).alias("drawn"))
+    run = ConfiguredRun(spark, configured, scratch(spark, "configured"), listed)
+    run.run(gallery, gallery, stubs.detector, {MODEL: stubs.wave_embedder}, stubs.read_frame)
+    drawn = run.table("annotation_plan").groupBy("movie").agg(F.count("*").alias("drawn"))
+    return run.status().join(drawn, "movie", "left").select("movie", "matches", "status", F.coalesce("drawn", F.lit(0)).alias("drawn"))
+
+
+def _two_runs(spark, sf_dir, **settings):
+    """A run over the first delivery of frames, and one over all frames."""
+    folder = scratch(spark, "two-runs")
+    first, second = (TaggingRun(spark, folder, Settings(model=MODEL, top_k=10, **settings)) for _ in range(2))
+    first.detections(fx.first_frames(spark, sf_dir), stubs.detector)
+    return first, second
+
+
+@query
+def lasting_face_ids(spark, sf_dir):
+    """Ids after a second run with more frames: those of the first run are the same, new ones follow."""
+    _, second = _two_runs(spark, sf_dir)
+    faces = second.detections(fx.frames(spark, sf_dir), stubs.detector)
+    return faces.select("face_id", "movie", "image_path", "det_no", *_six("x1", "y1", "x2", "y2", "confidence"))
+
+
+@query
+def frames_by_run(spark, sf_dir):
+    """What the ledger says after two runs: which run showed which frames to the detector, those without faces too."""
+    _, second = _two_runs(spark, sf_dir)
+    second.detections(fx.frames(spark, sf_dir), stubs.detector)
+    return second.ledger.seen().groupBy("batch", "movie").agg(
+        F.count("*").alias("frames"), F.count_if(F.col("faces") == 0).alias("without_faces"), F.sum("faces").alias("faces")
+    )
+
+
+@query
+def second_run_counts(spark, sf_dir):
+    """The second run embeds the faces of new frames alone, and those that failed before."""
+    first, second = _two_runs(spark, sf_dir)
+    first.embeddings(stubs.size_embedder, stubs.read_some_frames)
+    second.detections(fx.frames(spark, sf_dir), stubs.detector)
+    stored = second.embeddings(stubs.size_embedder, stubs.read_some_frames)
+    counts = {n: F.lit(second.embedding_counts[n]).cast("bigint").alias(n) for n in ("saved", "skipped", "errors")}
+    return stored.groupBy("movie").agg(F.count("*").alias("faces"), F.count_distinct("face_id").alias("ids")).select("movie", "faces", "ids", *counts.values())
 
 
 # Odd data

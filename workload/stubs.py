@@ -41,6 +41,12 @@ def blank_frame(path: str) -> np.ndarray:
     return np.zeros((720, 1280, 3), np.uint8)
 
 
+def write_size(path: str, pixels: np.ndarray) -> None:
+    """A file with one byte for each row of the image."""
+    with open(path, "wb") as file:
+        file.write(bytes(pixels.shape[0]))
+
+
 def _keys(crops: list) -> np.ndarray:
     colors = np.array([crop[0, 0] for crop in crops], np.int64)
     return colors[:, 0] + (colors[:, 1] << 8) + (colors[:, 2] << 16)
