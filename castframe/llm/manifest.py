@@ -5,13 +5,14 @@ of their ids, form a binary tree whose top is the language's subroot; the subroo
 the order of the languages, form another whose top is the root. Digests are hashed as
 lowercase hexadecimal text and stored as 32 bytes.
 
-The levels are built ``STEP`` at a time from aligned runs of leaves, so no level needs a
-job of its own and no group has more than ``2 ** STEP`` rows. Each node then holds a
-pointer to its parent and the segment of siblings on that way. Self-joins double the
-distance: a node's segment is followed by that of the node it points to, until every
-leaf points to its subroot and then to the root. After a doubling only the nodes at every
-second remaining level are still pointed to, so the far side shrinks by its distance;
-it is broadcast once its proven size is small, and before that no key is hot.
+The levels are built ``STEP`` at a time from aligned runs of nodes, so no level needs a
+job of its own and no group has more than ``2 ** STEP`` rows. A node at the bottom of a
+run holds the segment of its siblings on the way to the run's top, its ancestor at that
+distance. Self-joins double the distance: a node's segment is followed by that of the
+node it leads to, until every leaf leads to its subroot and then to the root. After a
+doubling only the nodes of every second remaining level are still led to, so the far side
+shrinks by its distance; it is broadcast once its proven size is small, and before that
+no key is hot. A leaf's own columns travel with it, so nothing is joined back.
 
 Defined cases: a null field is hashed as ``-``, an empty text as ``0:``. Rows alike in
 language and id are ordered by their leaves, null ids come first; repeated rows are leaves
@@ -23,6 +24,7 @@ rows. Very long texts are hashed where they are read; only digests are shuffled.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,81 +67,80 @@ def _depth(leaves: Column) -> Column:
     return F.when(leaves > 1, F.length(F.bin(leaves - 1))).otherwise(0)
 
 
-def _runs(nodes: DataFrame, base: int) -> DataFrame:
-    """From nodes (tree, depth, idx, digest) of level ``base``: each run with the arrays h0, h1, ... of its levels."""
-    row = F.sort_array(F.collect_list(F.struct("idx", "digest")))
-    runs = nodes.groupBy("tree", "depth", F.shiftright("idx", STEP).alias("run")).agg(row.alias("rows"))
-    runs = runs.withColumn("h0", F.transform("rows", lambda x: x["digest"])).drop("rows")
-    for k in range(STEP):
-        runs = runs.withColumn(f"h{k + 1}", F.when(F.col("depth") > base + k, _above(F.col(f"h{k}"))))
-    return materialize(runs, "merkle-runs")
-
-
 def _above(level: Column) -> Column:
     places = F.sequence(F.lit(0), F.shiftright(F.size(level) - 1, 1))
     return F.transform(places, lambda i: _parent(F.get(level, 2 * i), F.coalesce(F.get(level, 2 * i + 1), _nothing())))
 
 
+def _runs(nodes: DataFrame, base: int, label: str) -> DataFrame:
+    """From nodes (tree, depth, idx, digest, own) of level ``base``: each run with the arrays h0, h1, ... of its levels, written."""
+    row = F.sort_array(F.collect_list(F.struct("idx", "digest", "own")))
+    runs = nodes.groupBy("tree", "depth", F.shiftright("idx", STEP).alias("run")).agg(row.alias("rows"))
+    runs = runs.withColumns({"h0": F.transform("rows", lambda x: x["digest"]), "owns": F.transform("rows", lambda x: x["own"])}).drop("rows")
+    for k in range(STEP):
+        runs = runs.withColumn(f"h{k + 1}", F.when(F.col("depth") > base + k, _above(F.col(f"h{k}"))))
+    return materialize(runs, f"{label}-runs{base}")
+
+
 def _segments(runs: DataFrame, base: int) -> DataFrame:
-    """(tree, level, idx, segment) of the nodes below the top, with the sibling of each."""
+    """(tree, level, idx, segment, own) of the nodes of level ``base``, with their siblings up to the top of the run."""
 
-    def level(k: int) -> Column:
-        h = F.col(f"h{k}")
+    def sibling(k: int, i: Column) -> Column:
+        h, at = F.col(f"h{k}"), F.shiftright(i, k)
+        left = F.when(at % 2 == 1, F.get(h, at - 1)).otherwise(_nothing())
+        right = F.when(at % 2 == 0, F.coalesce(F.get(h, at + 1), _nothing())).otherwise(_nothing())
+        return F.struct(left.alias("left"), right.alias("right"))
 
-        def node(x: Column, i: Column) -> Column:
-            left = F.when(i % 2 == 1, F.get(h, i - 1)).otherwise(_nothing())
-            right = F.when(i % 2 == 0, F.coalesce(F.get(h, i + 1), _nothing())).otherwise(_nothing())
-            place = F.shiftleft("run", STEP - k) + i
-            return F.struct(F.lit(base + k).alias("level"), place.alias("idx"), F.array(F.struct(left.alias("left"), right.alias("right"))).alias("segment"))
+    def node(own: Column, i: Column) -> Column:
+        way = F.slice(F.array(*[sibling(k, i) for k in range(STEP)]), F.lit(1), F.least(F.lit(STEP), F.col("depth") - base))
+        return F.struct(F.lit(base).alias("level"), (F.shiftleft("run", STEP) + i).alias("idx"), way.alias("segment"), own.alias("own"))
 
-        return F.when(F.col("depth") > base + k, F.transform(h, node)).otherwise(F.array().cast(_nodes_type()))
+    return runs.select("tree", F.inline(F.transform("owns", node)))
 
-    return runs.select("tree", F.inline(F.concat(*[level(k) for k in range(STEP)])))
 
+def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """``df`` to be broadcast if its proven size permits."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
-def _nodes_type() -> T.ArrayType:
-    return T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("idx", T.LongType()), T.StructField("segment", SEGMENT)]))
+
+def _same_tree() -> Column:
+    return F.col("tree").eqNullSafe(F.col("_tree"))
 
 
 def _jumped(nodes: DataFrame, deepest: int, leaves: int, trees: int, label: str) -> DataFrame:
     """The leaves' rows of ``nodes``, with the segments of their whole way to the top."""
-    distance = 1
+    distance = STEP
     while distance < deepest:
         near = nodes.where(F.col("level") % (2 * distance) == 0)
         far = nodes.where(F.col("level") % (2 * distance) == distance).select(
             F.col("tree").alias("_tree"), F.col("level").alias("_level"), F.col("idx").alias("_idx"), F.col("segment").alias("_segment")
         )
-        most = 2 * leaves // 2**distance + trees * deepest  # rows: a level has half as many nodes as the one below it, or one
-        if most * (100 + 100 * distance) <= BROADCAST_BYTES:
-            far = F.broadcast(far)
-        to = F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("level") + distance == F.col("_level"))
-        joined = near.join(far, to & (F.shiftright("idx", distance) == F.col("_idx")), "left")
+        most = 2 * leaves // 2**distance + trees * deepest  # a level has half as many nodes as the one below it, or one
+        to = _same_tree() & (F.col("level") + distance == F.col("_level")) & (F.shiftright("idx", distance) == F.col("_idx"))
+        joined = near.join(_small(far, most, 100 + 100 * distance), to, "left")
         segment = F.concat("segment", F.coalesce("_segment", F.array().cast(SEGMENT)))
-        nodes = materialize(joined.select("tree", "level", "idx", segment.alias("segment")), f"{label}-jump{distance}")
+        nodes = materialize(joined.select("tree", "level", "idx", segment.alias("segment"), "own"), f"{label}-jump{distance}")
         distance *= 2
     return nodes.where("level = 0").drop("level")
 
 
-def _proved(placed: DataFrame, label: str) -> DataFrame:
-    """(tree, idx, segment, top) of the leaves (tree, idx, digest), whose places in their trees are dense from 0."""
+def _proved(placed: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """(tree, idx, segment, own, top) of the leaves (tree, idx, digest, own), whose places in their trees are dense from 0; how many trees."""
     sizes = materialize(placed.groupBy("tree").agg(F.count("*").alias("n")).withColumn("depth", _depth(F.col("n"))), f"{label}-sizes")
     most = sizes.agg(F.max("depth").alias("deepest"), F.sum("n").alias("leaves"), F.count("*").alias("trees")).first()
-    deepest = most["deepest"] or 0
-    of_tree = sizes.select(F.col("tree").alias("_tree"), "depth")
-    level = placed.join(of_tree, F.col("tree").eqNullSafe(F.col("_tree"))).select("tree", "depth", "idx", "digest")
-    empty = F.array().cast(SEGMENT)
-    lone = level.where("depth = 0")
-    nodes = lone.select("tree", F.lit(0).alias("level"), "idx", empty.alias("segment"))
-    tops = lone.select("tree", F.col("digest").alias("top"))
-    for base in range(0, deepest, STEP):
-        runs = _runs(level.where(F.col("depth") > base), base)
-        nodes = nodes.union(_segments(runs, base))
-        here = F.element_at(F.array(*[F.get(f"h{k}", F.lit(0)) for k in range(1, STEP + 1)]), F.col("depth") - base)
-        tops = tops.union(runs.where(F.col("depth") <= base + STEP).select("tree", here.alias("top")))
-        level = runs.where(F.col("depth") > base + STEP).select("tree", "depth", F.col("run").alias("idx"), F.get(f"h{STEP}", F.lit(0)).alias("digest"))
-    proved = _jumped(nodes, deepest, most["leaves"] or 0, most["trees"], label)
-    tops = tops.select(F.col("tree").alias("_tree"), "top")
-    return proved.join(tops, F.col("tree").eqNullSafe(F.col("_tree"))).drop("_tree")
+    deepest, trees = most["deepest"] or 0, most["trees"]
+    of_tree = _small(sizes.select(F.col("tree").alias("_tree"), "depth"), trees, 100)
+    level = placed.join(of_tree, _same_tree()).select("tree", "depth", "idx", "digest", "own")
+    nodes, tops = [], []
+    for base in range(0, max(deepest, 1), STEP):
+        runs = _runs(level, base, label)
+        nodes.append(_segments(runs, base))
+        here = F.element_at(F.array(*[F.get(f"h{k}", F.lit(0)) for k in range(STEP + 1)]), F.col("depth") - base + 1)
+        tops.append(runs.where(F.col("depth") <= base + STEP).select(F.col("tree").alias("_tree"), here.alias("top")))
+        above = runs.where(F.col("depth") > base + STEP)
+        level = above.select("tree", "depth", F.col("run").alias("idx"), F.get(f"h{STEP}", F.lit(0)).alias("digest"), F.lit(None).cast(runs.schema["owns"].dataType.elementType).alias("own"))
+    proved = _jumped(reduce(DataFrame.union, nodes), deepest, most["leaves"] or 0, trees, label)
+    return proved.join(_small(reduce(DataFrame.union, tops), trees, 100), _same_tree()).drop("_tree"), trees
 
 
 def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None) -> DataFrame:
@@ -155,20 +156,21 @@ def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None) -> Da
     )
     # The sort samples its input first; texts are hashed once.
     leaves = materialize(leaves, "merkle-leaves")
-    placed = materialize(number_rows(leaves, [F.asc_nulls_first("doc_id"), F.col("digest")], "idx", ["tree"], start=0), "merkle-placed")
-    low = _proved(placed.select("tree", "idx", "digest"), "merkle-low").withColumnRenamed("top", "subroot")
-
-    subroots = materialize(low.where("idx = 0").select("tree", "subroot"), "merkle-subroots")
-    ordered = materialize(number_rows(subroots, [F.asc_nulls_first("tree")], "place", start=0), "merkle-ordered")
-    high = _proved(ordered.select(F.lit("").alias("tree"), F.col("place").alias("idx"), F.col("subroot").alias("digest")), "merkle-high")
+    placed = number_rows(leaves, [F.asc_nulls_first("doc_id"), F.col("digest")], "idx", ["tree"], start=0)
+    own = F.struct("doc_id", "digest", "carried").alias("own")
+    low, trees = _proved(materialize(placed.select("tree", "idx", "digest", own), "merkle-placed"), "merkle-low")
+    low = low.withColumnRenamed("top", "subroot")
+
+    subroots = low.where("idx = 0").select("tree", "subroot")
+    ordered = number_rows(subroots, [F.asc_nulls_first("tree")], "idx", start=0)
+    high, _ = _proved(ordered.select(F.lit("").alias("tree"), "idx", F.col("subroot").alias("digest"), F.col("tree").alias("own")), "merkle-high")
     # The last jump: from a subroot to the root.
-    last = ordered.join(high.select(F.col("idx").alias("place"), F.col("segment").alias("more"), F.col("top").alias("root")), "place")
-    last = last.select(F.col("tree").alias("_tree"), "more", "root")
-    whole = low.join(last, F.col("tree").eqNullSafe(F.col("_tree"))).select(
-        "tree", F.col("idx").alias("_idx"), "subroot", "root", F.concat("segment", "more").alias("siblings")
-    ).withColumnRenamed("tree", "_tree")
-    joined = placed.join(whole, F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("idx") == F.col("_idx")))
-    return joined.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "siblings", *[F.col("carried")[c].alias(c) for c in carried])
+    last = high.select(F.col("own").alias("_tree"), F.col("segment").alias("more"), F.col("top").alias("root"))
+    whole = low.join(_small(last, trees, 4_000), _same_tree())
+    return whole.select(
+        "own.doc_id", F.col("own.digest").alias("leaf"), "subroot", "root", F.concat("segment", "more").alias("siblings"),
+        *[F.col("own.carried")[c].alias(c) for c in carried],
+    )
 
 
 def folded(leaf: Column, siblings: Column) -> Column:
