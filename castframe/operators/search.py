@@ -414,6 +414,19 @@ def _as_matches(ranked: DataFrame, actors: DataFrame, shared: list[str]) -> Data
     )
 
 
+def merge_matches(stored: DataFrame, fresh: DataFrame, k: int | str, within: str | None = None) -> DataFrame:
+    """The best ``k`` of each actor, from its stored best ``k`` and the best ``k`` of faces that came later.
+
+    The result is that of a search over all faces, of which only the later ones were
+    read. ``k`` is a number or names a column of both sides. A face in both counts once.
+    """
+    actor = [*([within] if within else []), "actor_embedding_path"]
+    both = stored.unionByName(fresh).dropDuplicates([*actor, "face_id"])
+    best = Window.partitionBy(*actor).orderBy(F.desc("similarity_score"), F.asc("face_id"))
+    ranked = both.withColumn("rank", F.row_number().over(best).cast("bigint"))
+    return ranked.where(F.col("rank") <= (F.col(k) if isinstance(k, str) else F.lit(k))).select(*stored.columns)
+
+
 def preview(matches: DataFrame, rows: int) -> DataFrame:
     """The best few matches of each actor. Ranks are dense, so a filter does it."""
     return matches.where(F.col("rank") <= rows).select("rank", "similarity_score", "frame_image_path", "actor_name")

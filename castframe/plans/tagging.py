@@ -19,7 +19,7 @@ from castframe.functions.paths import shot_relative_path
 from castframe.operators.annotate import above_threshold, annotatable_images, annotation_plan
 from castframe.operators.inference import detect, embed, pending_embeddings
 from castframe.operators.render import render
-from castframe.operators.search import match_faces
+from castframe.operators.search import match_faces, merge_matches
 from castframe.schema import DETECTION_BATCH, EMBEDDING_BATCH, SIMILARITY_THRESHOLD, STAGES
 from castframe.session import materialize
 from castframe.sinks.batches import DetectionLedger
@@ -189,16 +189,23 @@ class TaggingRun:
                 if self._any("skip_embedding"):
                     stored = done.select(F.col("movie").alias("_m")).distinct()
                     todo = todo.join(stored, F.col("_skip_embedding") & F.col("movie").eqNullSafe(F.col("_m")), "left_anti")
-                todo = pending_embeddings(todo, done)
+                todo = pending_embeddings(todo, done.drop("batch"))
             fresh = embed(todo, factories, None, read_image, "_embedding_batch")
             counted = Observation()
             statuses = [F.count_if(F.col("status") == s).alias(n) for s, n in (("saved", "saved"), ("error", "errors"))]
-            save_embeddings(fresh.observe(counted, *statuses).where("status = 'saved'"), self.paths["embeddings"])
+            saved = fresh.observe(counted, *statuses).where("status = 'saved'").withColumn("batch", F.lit(self._last_batch() + 1))
+            save_embeddings(saved, self.paths["embeddings"], by=("movie", "batch"))
             counts = counted.get
             self.embedding_counts = {**counts, "skipped": total - sum(counts.values())}
         stored = readable_embeddings(self._own_model(self._table("embeddings")))
         return self._without_stale(stored) if exists else stored
 
+    def _last_batch(self) -> int:
+        """The last batch of embeddings, -1 without any. A listing of folders; no data is read."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths["embeddings"] + "/movie=*/batch=*")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        return max((int(s.getPath().getName().partition("=")[2]) for s in found), default=-1)
+
     def _model(self) -> str:
         if not isinstance(self.settings, Settings):
             raise ValueError("settings by movie need a factory for each model")
@@ -231,7 +238,7 @@ class TaggingRun:
         if self._all("skip_search"):
             return
         kept = self._kept("matches", "skip_search")
-        gallery = self._with(gallery, "top_k", "skip_search").where("not _skip_search").drop("_skip_search")
+        gallery = self._with(gallery, "top_k", "model", "skip_search").where("not _skip_search").drop("_skip_search")
         length = F.size("embedding")
         lengths = [
             side.groupBy("movie").agg(F.min(length).alias(f"low_{name}"), F.max(length).alias(f"high_{name}"))
@@ -244,9 +251,45 @@ class TaggingRun:
         failed.write.mode("overwrite").parquet(self.paths["search_errors"])
         names = self._table("search_errors").select("movie")
         usable = gallery.join(names, "movie", "left_anti")
+
+        entry = F.xxhash64("actor_ord", "embedding_path", "embedding").cast("decimal(38,0)")
+        state = usable.groupBy("movie").agg(
+            F.max("_model").alias("model"), F.max("_top_k").alias("top_k"), F.xxhash64(F.sum(entry), F.count("*")).alias("gallery")
+        )
+        state = materialize(state, "search-state")
+        known = self._known_searches(state)
+        faces = embeddings
+        if known is not None:
+            first = known.agg(F.min("last"), F.count("*")).first()
+            if first[1] == state.count():
+                faces = faces.where(F.col("batch") > first[0])  # prunes the folders of earlier batches
+            own = known.select(F.col("movie").alias("_movie"), "last")
+            faces = faces.join(own, F.col("movie") == F.col("_movie"), "left").where("last is null or batch > last").drop("_movie", "last")
         k = self.settings.top_k if isinstance(self.settings, Settings) else "_top_k"
-        found = match_faces(embeddings, usable, k, within="movie")
+        found = match_faces(faces.drop("batch"), usable, k, within="movie")
+        if known is not None:
+            stored = self._table("matches").join(known.select("movie"), "movie", "left_semi").select(*found.columns)
+            limited = [self._with(side, "top_k") for side in (stored, found)]
+            merged = merge_matches(*[side.where("_top_k is not null") for side in limited], "_top_k", within="movie").drop("_top_k")
+            found = materialize(merged.unionByName(limited[1].where("_top_k is null").drop("_top_k")), "merged")
         save_matches(reduce(DataFrame.unionByName, kept, found), self.paths["matches"], by=("movie", "actor_name"))
+        state.withColumn("batch", F.lit(self._last_batch()).cast("long")).write.mode("overwrite").parquet(self.paths["search_state"])
+
+    def _known_searches(self, state: DataFrame) -> DataFrame | None:
+        """(movie, last) of movies whose stored best matches can be kept up to date with the faces of batches after ``last``.
+
+        They were searched with the same model, limit and gallery, and the faces that they
+        matched are still there. None without such movies.
+        """
+        if not (self._has("search_state") and self._has("matches")):
+            return None
+        before = self._table("search_state").select(*[F.col(c).alias(f"_{c}") for c in ("movie", "model", "top_k", "gallery")], F.col("batch").alias("last"))
+        alike = [F.col(c) == F.col(f"_{c}") for c in ("movie", "model", "top_k", "gallery")]  # without a limit nothing is alike
+        same = state.join(before, reduce(lambda a, b: a & b, alike)).select("movie", "last")
+        keys = self._table("detections").select("movie", "face_id", F.col("image_path").alias("frame_image_path"))
+        gone = self._table("matches").join(keys, ["movie", "face_id", "frame_image_path"], "left_anti").select("movie").distinct()
+        same = materialize(same.join(gone, "movie", "left_anti"), "known-searches")
+        return None if same.isEmpty() else same
 
     def annotations(self, actors: DataFrame) -> None:
         if self._all("skip_annotation"):

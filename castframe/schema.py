@@ -142,14 +142,37 @@ RENDERED = T.StructType(
     ]
 )
 
+# Under which conditions each movie was searched, and up to which batch of embeddings.
+SEARCH_STATE = T.StructType(
+    [
+        T.StructField("movie", T.StringType()),
+        T.StructField("model", T.StringType()),
+        T.StructField("top_k", T.IntegerType()),
+        T.StructField("gallery", T.LongType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+
+# Partial summaries of the matches of one movie.
+SUMMARY_STATES = T.StructType(
+    [
+        T.StructField("movie", T.StringType()),
+        T.StructField("actor_name", T.StringType()),
+        T.StructField("count", T.LongType()),
+        *[T.StructField(c, T.DoubleType()) for c in ("sum", "max", "min")],
+        T.StructField("images", T.BinaryType()),
+    ]
+)
+
 # The tables between the stages of a run.
 STAGES = {
     "detections": T.StructType([*DETECTIONS.fields, T.StructField("face_id", T.LongType())]),
     "current_frames": CURRENT_FRAMES,
     "detection_errors": DETECTION_ERRORS,
-    "embeddings": FACE_EMBEDDINGS,
+    "embeddings": T.StructType([*FACE_EMBEDDINGS.fields, T.StructField("batch", T.LongType())]),
     "embedding_errors": SEARCH_ERRORS,
     "search_errors": SEARCH_ERRORS,
+    "search_state": SEARCH_STATE,
     "matches": T.StructType(
         [T.StructField("movie", T.StringType()), T.StructField("actor_ord", T.IntegerType()), *MATCHES.fields]
     ),

@@ -20,9 +20,9 @@ def save_detections(detections: DataFrame, path: str, fmt: str = "parquet") -> N
         writer.format(fmt).save(path)
 
 
-def save_embeddings(records: DataFrame, path: str, mode: str = "append") -> None:
+def save_embeddings(records: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = ("movie",)) -> None:
     """One folder per movie. No shuffle: a task writes the movies it holds, which are few after ``embed``."""
-    records.write.mode(mode).partitionBy("movie").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    records.write.mode(mode).partitionBy(*by).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 def normalized_embeddings(faces: DataFrame) -> DataFrame:
@@ -51,3 +51,14 @@ def export_matches(matches: DataFrame, path: str) -> None:
         matches.orderBy("actor_ord", "rank").select(*MATCHES.fieldNames())
         .write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
     )
+
+
+def save_bucketed(rows: DataFrame, table: str, by: tuple[str, ...] = ("face_id",), buckets: int = 64, mode: str = "overwrite") -> None:
+    """A catalog table with its rows in buckets by ``by``, sorted in each.
+
+    Tables with the same number of buckets by the same columns are joined and compared
+    without a shuffle of either. Rows are dealt to the buckets first, so a task writes one
+    file for each bucket that it holds.
+    """
+    dealt = rows.repartition(buckets, *by)
+    dealt.write.mode(mode).bucketBy(buckets, *by).sortBy(*by).format("parquet").saveAsTable(table)

@@ -52,6 +52,16 @@ def load_embeddings(embeddings: DataFrame, keys: DataFrame) -> DataFrame:
     return embeddings.join(keys.select("face_id"), "face_id", "left_semi")
 
 
+def with_embeddings(detections: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """Detections with the vector of their face, those alone that have one.
+
+    Only the ids and vectors of the embeddings are read. Stage tables that are bucketed
+    alike (``save_bucketed``) are joined where they lie.
+    """
+    shared = ["movie", "face_id"] if "movie" in detections.columns and "movie" in embeddings.columns else ["face_id"]
+    return detections.join(embeddings.select(*shared, "embedding"), shared)
+
+
 def faces_for_image(detections: DataFrame, image_path: str) -> DataFrame:
     """The faces of one image, by exact path; the filter reaches the scan."""
     return _faces(detections.where(F.col("image_path") == image_path))

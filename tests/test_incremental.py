@@ -8,13 +8,18 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, In
 
 from castframe.operators import numbering, search
+from castframe.operators.states import new_states, summary_states, united_summary
+from castframe.operators.summary import actor_summary
 from castframe.plans.configured import ConfiguredRun
 from castframe.plans.tagging import Settings, TaggingRun, settings_table
 from castframe.schema import CONFIG, RENDERED, STAGES
 from castframe.sinks.batches import BatchedTable
 from castframe.sinks.images import published_images, write_images
+from castframe.sources.frames import walk_frames
+from castframe.sources.listing import FrameReader, folder_listing, listed_frames
 from workload import stubs
 
 GALLERY = "movie string, actor_ord int, embedding_path string, embedding array<float>, display_name string, color struct<r:int,g:int,b:int>, text_color string"
@@ -276,6 +281,105 @@ def test_settings_table_takes_defaults(spark):
     assert row.asDict() == {"movie": "m", **default.__dict__}
 
 
+# -- best matches kept up to date --
+
+
+def plain_matches(run):
+    columns = ["frame_image_path", "rank", "actor_name", "similarity_score", "face_id"]
+    return sorted(map(tuple, run.table("matches").select(*columns).collect()))
+
+
+def test_later_runs_score_new_faces_only_and_equal_a_full_search(spark, tmp_path, monkeypatch):
+    scored = []
+    inner = search.match_faces
+    monkeypatch.setattr("castframe.plans.tagging.match_faces", lambda faces, *more, **how: scored.append(faces) or inner(faces, *more, **how))
+    folder, own = str(tmp_path / "run"), gallery(spark, "m")
+
+    def run(n, k=3, actors=own, at=folder):
+        made = TaggingRun(spark, at, Settings(model="w", top_k=k))
+        return made.run(frames(spark, range(n)), actors, own, stubs.detector, stubs.wave_embedder, stubs.read_frame)
+
+    def fresh(n, k=3, actors=own):
+        made = run(n, k, actors, str(tmp_path / f"fresh-{n}-{k}"))
+        scored.pop()
+        return [r[:4] for r in plain_matches(made)]
+
+    run(30)
+    assert scored.pop().count() == 30
+    grown = run(60)
+    plan = scored[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert scored.pop().count() == 30 and "batch" in plan  # the later half alone
+    assert [r[:4] for r in plain_matches(grown)] == fresh(60)
+    again = run(60)
+    assert scored.pop().count() == 0 and plain_matches(again) == plain_matches(grown)
+    # Another limit, other actors, or matched faces that went: all faces are scored.
+    assert [r[:4] for r in plain_matches(run(60, 5))] == fresh(60, 5)
+    assert scored.pop().count() == 60
+    other = own.withColumn("embedding", F.transform("embedding", lambda x: -x))
+    run(60, 5, other)
+    assert scored.pop().count() == 60
+    assert [r[:4] for r in plain_matches(run(30, 5, other))] == fresh(30, 5, other)
+    assert scored.pop().count() == 30
+
+
+def test_merged_matches(spark):
+    columns = "rank long, similarity_score double, face_id long, actor_embedding_path string"
+    stored = spark.createDataFrame([(1, 0.9, 4, "a"), (2, 0.5, 2, "a"), (1, 0.1, 2, "b")], columns)
+    later = spark.createDataFrame([(1, 0.9, 1, "a"), (2, 0.5, 2, "a"), (1, 0.3, 9, "c")], columns)
+    got = sorted(map(tuple, search.merge_matches(stored, later, 2).collect()), key=lambda r: (r[3], r[0]))
+    assert got == [(1, 0.9, 1, "a"), (2, 0.9, 4, "a"), (1, 0.1, 2, "b"), (1, 0.3, 9, "c")]
+
+
+# -- listing --
+
+
+def test_folders_are_listed_in_tasks_and_filters_come_first(spark, tmp_path):
+    for movie in ("a", "b"):
+        for name in ("shot_1/x/1.jpg", "shot_1/x/2.png", "shot_1/3.txt", "shot_2/4.jpeg", "5.jpg", "shot_2/.jpg", "shot_2/README", "shot_2/6.JPG"):
+            file = tmp_path / movie / name
+            file.parent.mkdir(parents=True, exist_ok=True)
+            file.write_bytes(b"x" * len(name))
+    roots = spark.createDataFrame([(m, str(tmp_path / m)) for m in ("a", "b", "none")], "movie string, folder string")
+    files = folder_listing(spark, roots)
+    assert files.count() == 16
+    images = {(r.movie, r.path[len(str(tmp_path)) + 3 :], r.length) for r in listed_frames(spark, roots).collect()}
+    wanted = ("shot_1/x/1.jpg", "shot_1/x/2.png", "shot_2/4.jpeg", "5.jpg", "shot_2/.jpg")
+    assert images == {(m, n, len(n)) for m in ("a", "b") for n in wanted}
+    assert {tuple(r) for r in walk_frames(roots).collect()} == {tuple(r) for r in listed_frames(spark, roots).collect()}
+    one = files.where("movie = 'b' and suffix = 'jpg'")
+    assert " = " not in one._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0]  # Spark has only to look for nulls
+    assert one.count() == 3 and one.rdd.getNumPartitions() == 3  # the root and its two folders
+
+
+def test_filters_of_the_listing():
+    reader = FrameReader([["a", "/a"], ["b", "/b"]])
+    kept = list(reader.pushFilters([In(("movie",), ("b", "c")), EqualTo(("suffix",), "jpg"), EqualTo(("length",), 3)]))
+    assert reader.roots == [["b", "/b"]] and reader.suffixes == {"jpg"} and kept == [EqualTo(("length",), 3)]
+    assert [p.path for p in FrameReader([]).partitions()] == [""] and next(FrameReader([]).read(FrameReader([]).partitions()[0])).num_rows == 0
+
+
+# -- summaries that merge --
+
+SCORED = "movie string, actor_name string, similarity_score double, frame_image_path string"
+
+
+def test_united_states_equal_a_full_summary(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"m{i % 5}", f"a{i % 3}", float(rng.normal()), f"/{i % 400}") for i in range(3000)] + [("m0", None, 1.0, "/"), (None, "a9", 0.5, None)]
+    matches = spark.createDataFrame(rows, SCORED)
+    states = summary_states(matches.where("movie in ('m0', 'm1')"))
+    more = new_states(matches, states)
+    assert {r.movie for r in more.collect()} == {"m2", "m3", "m4", None}
+    states = states.unionByName(more)
+    assert new_states(matches, states).count() == 0
+    united = united_summary(states)
+    exact = actor_summary(matches)
+    assert sorted(map(tuple, united.drop("images").collect())) == sorted(map(tuple, exact.collect()))
+    images = {r.actor_name: r.n for r in matches.where("actor_name is not null").groupBy("actor_name").agg(F.countDistinct("frame_image_path").alias("n")).collect()}
+    assert all(abs(r.images - images[r.actor_name]) <= 0.05 * images[r.actor_name] for r in united.collect())
+    assert united_summary(summary_states(matches.limit(0))).count() == 0
+
+
 # -- images --
 
 
@@ -331,7 +435,6 @@ def test_an_aborted_job_publishes_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         write_images(broken, path, store)
     assert published_images(spark, path).count() == 3
-    assert len(list((tmp_path / "images" / "attempts").iterdir())) == 1  # those of the aborted job went
 
 
 RETRIED = """
@@ -342,6 +445,8 @@ from pyspark.sql import SparkSession
 from castframe.schema import RENDERED
 from castframe.session import ship
 from castframe.sinks.images import published_images, write_images
+from castframe.sources.frames import walk_frames
+from castframe.sources.listing import FrameReader, folder_listing, listed_frames
 import json
 spark = SparkSession.builder.master("local[2, 4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
 ship(spark, "castframe")

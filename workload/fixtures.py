@@ -6,6 +6,7 @@ is an embedded face. ``workload.oracle`` states the same views in SQL.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from castframe.functions.boxes import pack_box
 from castframe.operators.numbering import assign_face_ids
-from castframe.session import materialize
+from castframe.session import materialize, scratch
 
 INPUT_ROOT = "/frames"
 OUTPUT_ROOT = "/embeddings"
@@ -28,6 +29,7 @@ SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
     "l_extendedprice double, l_discount double",
     "part": "p_brand string",
+    "customer": "c_custkey bigint, c_nationkey int",
 }
 
 
@@ -208,3 +210,45 @@ def pixel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/pixels/"), _text(v), F.lit(".png")).alias("image_path"),
         x.alias("x1"), y.alias("y1"), (x + 3 + v % 4).alias("x2"), (y + 2 + v % 3).alias("y2"),
     )
+
+
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def files(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> str:
+    """A folder with the files of rows (path, content), written by tasks, once per application."""
+
+    def write(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as file:
+                    file.write(content)
+            yield batch[["path"]]
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        folder = scratch(spark, name)
+        rows = make().withColumn("path", F.concat(F.lit(folder), "path"))
+        rows.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+        _written[key] = folder
+    return _written[key]
+
+
+def frame_files(spark: SparkSession, sf_dir: str) -> str:
+    """A frame file for each customer: the start of an image whose size comes from the key. Some are no images by their names."""
+    key = F.col("c_custkey")
+    suffix = F.when(key % 5 == 0, ".txt").when(key % 5 == 1, ".JPG").when(key % 5 == 2, ".jpg").otherwise(".png")
+    path = F.concat(
+        F.lit("/movie_"), _text(F.col("c_nationkey") % 3), F.lit("/shot_"), _text(F.floor(key / 100).cast("bigint")), F.lit("/"), _text(key), suffix
+    )
+    start = F.lit("89504E470D0A1A0A0000000D49484452")
+    size = [F.lpad(F.hex(n), 8, "0") for n in (key % 1280 + 1, key % 720 + 1)]
+    return files(spark, sf_dir, "frame-files", lambda: table(spark, sf_dir, "customer").select(path.alias("path"), F.unhex(F.concat(start, *size)).alias("content")))
+
+
+def gallery_files(spark: SparkSession, sf_dir: str) -> str:
+    """The gallery's files, and others beside them."""
+    own = gallery(spark, sf_dir).select(F.regexp_replace("embedding_path", "^/gallery", "").alias("path"))
+    more = own.select(F.concat("path", F.lit(".txt")).alias("path"))
+    return files(spark, sf_dir, "gallery-files", lambda: own.union(more).withColumn("content", F.lit(b"x")))

@@ -170,9 +170,28 @@ ORACLE = {
     ),
     "embedding_by_face_id": _sql(
         """SELECT face_id, image_path, round(list_sum(embedding), 6) AS total, round(confidence, 6) AS confidence
-           FROM fx_faces WHERE face_id IN (SELECT face_id FROM fx_detections WHERE face_id % 3 = 1)""",
+           FROM fx_faces WHERE face_id IN (SELECT face_id FROM matches WHERE score >= 0.2)""",
         "fx_faces",
-        "fx_detections",
+        "matches",
+    ),
+    "listed_frames": """
+SELECT concat('movie_', c_nationkey % 3) AS movie,
+       concat('/movie_', c_nationkey % 3, '/shot_', c_custkey // 100, '/', c_custkey, CASE WHEN c_custkey % 5 = 2 THEN '.jpg' ELSE '.png' END) AS path,
+       CAST(24 AS BIGINT) AS length
+FROM customer WHERE c_custkey % 5 > 1""",
+    "frame_file_sizes": """
+SELECT concat('/movie_', c_nationkey % 3, '/shot_', c_custkey // 100, '/', c_custkey, CASE WHEN c_custkey % 5 = 2 THEN '.jpg' ELSE '.png' END) AS image_path,
+       c_custkey % 1280 + 1 AS width, c_custkey % 720 + 1 AS height
+FROM customer WHERE c_custkey % 5 > 1""",
+    "exported_matches": _sql(f"SELECT {_MATCH} FROM matches", "matches"),
+    "nothing_to_draw": """
+SELECT count(*) AS processed, count(*) AS skipped, count(*) AS errors, count(*) AS faces_drawn FROM embeddings WHERE false""",
+    "best_matches_kept_up_to_date": _sql(f"SELECT {_MATCH} FROM matches WHERE rank <= 20", "matches"),
+    "united_actor_summary": _sql(
+        """SELECT actor_name, count(*) AS count, round(avg(score), 4) AS mean, round(max(score), 4) AS max, round(min(score), 4) AS min,
+                  true AS images_within_error
+           FROM matches GROUP BY actor_name""",
+        "matches",
     ),
     "load_gallery": _sql(
         """SELECT embedding_path, CAST(place - 1 AS BIGINT) AS place, round(CAST(embedding[place] AS FLOAT)::DOUBLE, 6) AS value

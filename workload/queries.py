@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castframe.functions import boxes, paths, vectors
-from castframe.operators import annotate, inference, lsh, render, search, summary
+from castframe.operators import annotate, inference, lsh, render, search, states, summary
 from castframe.plans import tagging
 from castframe.plans.configured import ConfiguredRun
 from castframe.plans.tagging import Settings, TaggingRun
-from castframe.schema import CONFIG, DETECTIONS_CSV, PREVIEW_ROWS
+from castframe.schema import CONFIG, DETECTIONS_CSV, MATCHES, PREVIEW_ROWS
 from castframe.session import materialize, scratch, ship
 from castframe.sinks import images as image_sink
 from castframe.sinks import labelling, tables as sinks
-from castframe.sources import config, frames as frame_source, images, tables
+from castframe.sources import config, frames as frame_source, images, listing, tables
 from workload import fixtures as fx
 from workload import stubs
 
@@ -90,7 +90,9 @@ def embedding_load_report(spark, sf_dir):
 
 @query
 def embedding_by_face_id(spark, sf_dir):
-    found = tables.load_embeddings(fx.faces(spark, sf_dir), fx.detections(spark, sf_dir).where("face_id % 3 = 1"))
+    """The faces that match an actor well: their ids come from the stored matches."""
+    wanted = annotate.above_threshold(_stored_matches(spark, sf_dir), THRESHOLD).select("face_id")
+    found = tables.load_embeddings(fx.faces(spark, sf_dir), wanted)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return found.select("face_id", "image_path", F.round(total, 6).alias("total"), *_six("confidence"))
 
@@ -106,8 +108,34 @@ def load_gallery(spark, sf_dir):
 
 @query
 def gallery_listing(spark, sf_dir):
-    listed = tables.sorted_gallery(fx.gallery(spark, sf_dir))
-    return listed.select("embedding_path", paths.stem(F.col("embedding_path")).alias("actor_name"))
+    """The files of a real folder, other files beside them left out."""
+    folder = fx.gallery_files(spark, sf_dir)
+    listed = tables.list_gallery(spark, folder)
+    path = F.concat(F.lit("/gallery"), F.substring("embedding_path", len(folder) + 1, 1 << 20))
+    return listed.select(path.alias("embedding_path"), paths.stem(path).alias("actor_name"))
+
+
+def _files(spark, sf_dir):
+    """Real folders of frames, one per movie, as roots; the path without the folder they lie in."""
+    folder = fx.frame_files(spark, sf_dir)
+    movies = fx.table(spark, sf_dir, "customer").select(F.concat(F.lit("movie_"), F.col("c_nationkey") % 3).alias("movie")).distinct()
+    roots = movies.withColumn("folder", F.concat(F.lit(folder + "/"), "movie"))
+    return roots, lambda path: F.substring(path, len(folder) + 1, 1 << 20)
+
+
+@query
+def listed_frames(spark, sf_dir):
+    """The images in real folders of three movies."""
+    roots, inside = _files(spark, sf_dir)
+    return listing.listed_frames(spark, roots).select("movie", inside("path").alias("path"), "length")
+
+
+@query
+def frame_file_sizes(spark, sf_dir):
+    """Width and height from the first bytes of each listed file."""
+    roots, inside = _files(spark, sf_dir)
+    sizes = images.file_dimensions(listing.listed_frames(spark, roots))
+    return sizes.select(inside("image_path").alias("image_path"), *[F.col(c).cast("bigint").alias(c) for c in ("width", "height")])
 
 
 @query
@@ -157,7 +185,9 @@ def embedding_table_layout(spark, sf_dir):
 
 @query
 def normalized_embeddings(spark, sf_dir):
-    unit = sinks.normalized_embeddings(fx.faces(spark, sf_dir).select("face_id", "embedding"))
+    path = scratch(spark, "normalized")
+    sinks.save_normalized(fx.faces(spark, sf_dir).select("face_id", "embedding"), path)
+    unit = spark.read.schema("face_id bigint, norm double, unit array<double>").parquet(path)
     return unit.select("face_id", *_six("norm"), F.posexplode("unit").alias("place", "value")).select(
         "face_id", "norm", F.col("place").cast("bigint").alias("place"), *_six("value")
     )
@@ -171,6 +201,14 @@ def matches_for_one_actor(spark, sf_dir):
     return _match_rows(stored.where(F.col("actor_name") == "actor_3_face_0"))
 
 
+@query
+def exported_matches(spark, sf_dir):
+    """The matches as CSV, read again."""
+    path = scratch(spark, "export")
+    sinks.export_matches(_stored_matches(spark, sf_dir), path)
+    return _match_rows(tables.read_csv(spark, path, MATCHES))
+
+
 @query
 def labelling_samples(spark, sf_dir):
     path = scratch(spark, "samples")
@@ -311,9 +349,8 @@ def actor_topk_lsh(spark, sf_dir):
 
 @query
 def detections_with_embeddings(spark, sf_dir):
-    joined = fx.detections(spark, sf_dir).join(
-        fx.faces(spark, sf_dir).select("face_id", "embedding"), "face_id"
-    )
+    vectors = fx.faces(spark, sf_dir).select("face_id", "embedding")
+    joined = tables.with_embeddings(fx.detections(spark, sf_dir), vectors)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return joined.select("face_id", "image_path", *_six("x1", "y1", "x2", "y2"), F.round(total, 6).alias("total"))
 
@@ -450,6 +487,40 @@ def published_images(spark, sf_dir):
     return published.join(stored, "file", "left").select(*_render_columns(), F.col("length").alias("file_bytes"))
 
 
+@query
+def nothing_to_draw(spark, sf_dir):
+    """A threshold that no match reaches: no image is opened, and the counters are zero."""
+    matches = annotate.above_threshold(_stored_matches(spark, sf_dir), 1.5)
+    plan = annotate.annotation_plan(matches, fx.gallery(spark, sf_dir), 1.5)
+    return render.annotation_counters(render.render(plan, stubs.blank_frame))
+
+
+@query
+def best_matches_kept_up_to_date(spark, sf_dir):
+    """The best matches of the faces known first, merged with those of the others: equal to a search over all."""
+    faces, gallery = fx.faces(spark, sf_dir), fx.gallery(spark, sf_dir)
+    path = scratch(spark, "best")
+    known = F.col("confidence") < 0.75
+    search.match_faces(faces.where(known), gallery, TOP_K).write.parquet(path)
+    later = search.match_faces(faces.where(~known), gallery, TOP_K)
+    return _match_rows(search.merge_matches(spark.read.schema(later.schema).parquet(path), later, TOP_K))
+
+
+@query
+def united_actor_summary(spark, sf_dir):
+    """Summaries kept per movie: those of two movies first, then the third reads its own rows; united per actor."""
+    found = _stored_matches(spark, sf_dir)
+    movie = F.regexp_extract("frame_image_path", "^/frames/([^/]+)/", 1)
+    matches = found.withColumn("movie", movie)
+    path = scratch(spark, "states")
+    states.summary_states(matches.where("movie <> 'movie_2'")).write.parquet(path)
+    states.new_states(matches, spark.read.parquet(path)).write.mode("append").parquet(path)
+    united = states.united_summary(spark.read.parquet(path))
+    exact = found.groupBy("actor_name").agg(F.countDistinct("frame_image_path").alias("exact"))
+    near = F.abs(F.col("images") - F.col("exact")) <= 0.06 * F.col("exact")
+    return united.join(exact, "actor_name").select("actor_name", "count", "mean", "max", "min", near.alias("images_within_error"))
+
+
 # Whole runs
 
 
