@@ -5,7 +5,7 @@ import random
 from make import ENGLISH, documents, odd, plain, sentence
 from test_text_operators import roots
 
-from castframe.llm import simhash
+from castframe.llm import linededup, simhash
 
 
 def shingles(text):
@@ -51,3 +51,31 @@ def test_near_copies_of_documents(spark):
         assert len(expected) < len(names)
         kept = simhash.keep_first(documents(spark, some)).collect()
         assert sorted(r.doc_id for r in kept) == sorted(expected)
+
+
+def with_other_lines(seed=12):
+    """Documents of 30 lines, for each a copy with two lines of its own, and one with most of its lines from elsewhere."""
+    draw = random.Random(seed)
+    out = []
+    for i in range(40):
+        lines = [" ".join(f"{draw.choice(ENGLISH)}{draw.randrange(1000)}" for _ in range(10)) for _ in range(30)]
+        for k, own in ((1000, 2), (2000, 18)):
+            copy = list(lines)
+            for at in draw.sample(range(30), own):
+                copy[at] = " ".join(f"{draw.choice(ENGLISH)}{draw.randrange(1000)}" for _ in range(10))
+            out.append((i + k, "\n".join(copy), "en", "s"))
+        out.append((i, "\n".join(lines), "en", "s"))
+    return out
+
+
+def test_near_copies_are_not_torn_before_they_are_judged(spark):
+    frame = documents(spark, with_other_lines())
+    lines = linededup.dedup_lines(frame, torn=0.5).cache()
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    left = {r.doc_id: r for r in lines.collect()}
+    for i in range(40):
+        assert left[i].text == texts[i] and left[1000 + i].text == texts[1000 + i]  # 28 of 30 lines would go
+        assert len(left[2000 + i].text.split("\n")) == 18 and left[2000 + i].n_chars == len(left[2000 + i].text)
+    kept = {r.doc_id for r in simhash.keep_first(lines).collect()}
+    assert kept == {*range(40), *range(2000, 2040)}
+    assert {r.doc_id for r in simhash.keep_first(linededup.dedup_lines(frame)).collect()} > kept  # torn ones pass as clean
