@@ -53,12 +53,13 @@ def export_matches(matches: DataFrame, path: str) -> None:
     )
 
 
-def save_bucketed(rows: DataFrame, table: str, by: tuple[str, ...] = ("face_id",), buckets: int = 64, mode: str = "overwrite") -> None:
-    """A catalog table with its rows in buckets by ``by``, sorted in each.
+def save_bucketed(rows: DataFrame, table: str, path: str, by: tuple[str, ...] = ("face_id",), buckets: int = 64) -> DataFrame:
+    """A catalog table at ``path`` with its rows in buckets by ``by``, sorted in each; what was there is replaced.
 
     Tables with the same number of buckets by the same columns are joined and compared
-    without a shuffle of either. Rows are dealt to the buckets first, so a task writes one
-    file for each bucket that it holds.
+    without a shuffle of either. Rows are dealt to the buckets first, so that every
+    bucket is one file, and tasks are as many as buckets: choose these for the largest table.
     """
-    dealt = rows.repartition(buckets, *by)
-    dealt.write.mode(mode).bucketBy(buckets, *by).sortBy(*by).format("parquet").saveAsTable(table)
+    dealt = rows.repartition(buckets, *by).sortWithinPartitions(*by)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).format("parquet").saveAsTable(table)
+    return rows.sparkSession.table(table)

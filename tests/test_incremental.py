@@ -18,8 +18,10 @@ from castframe.plans.tagging import Settings, TaggingRun, settings_table
 from castframe.schema import CONFIG, RENDERED, STAGES
 from castframe.sinks.batches import BatchedTable
 from castframe.sinks.images import published_images, write_images
+from castframe.sinks.tables import save_bucketed
 from castframe.sources.frames import walk_frames
 from castframe.sources.listing import FrameReader, folder_listing, listed_frames
+from castframe.sources.tables import with_embeddings
 from workload import stubs
 
 GALLERY = "movie string, actor_ord int, embedding_path string, embedding array<float>, display_name string, color struct<r:int,g:int,b:int>, text_color string"
@@ -358,6 +360,28 @@ def test_filters_of_the_listing():
     assert [p.path for p in FrameReader([]).partitions()] == [""] and next(FrameReader([]).read(FrameReader([]).partitions()[0])).num_rows == 0
 
 
+# -- tables in buckets --
+
+
+def test_tables_in_equal_buckets_are_joined_where_they_lie(spark, tmp_path):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        detections = spark.range(500).select(F.col("id").alias("face_id"), F.concat(F.lit("/"), F.floor(F.col("id") / 3)).alias("image_path"))
+        vectors = spark.range(0, 500, 2).select(F.col("id").alias("face_id"), F.array(F.col("id").cast("float")).alias("embedding"))
+        stored = [save_bucketed(df, f"bucketed_{name}", str(tmp_path / name), buckets=8) for name, df in (("detections", detections), ("embeddings", vectors))]
+        assert len(list((tmp_path / "detections").glob("*.parquet"))) == 8
+        joined, missing = with_embeddings(*stored), stored[0].join(stored[1], "face_id", "left_anti")
+        for frame in (joined, missing):
+            assert frame.count() == 250
+            assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in with_embeddings(detections, vectors)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("detections", "embeddings"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
 # -- summaries that merge --
 
 SCORED = "movie string, actor_name string, similarity_score double, frame_image_path string"
@@ -445,8 +469,10 @@ from pyspark.sql import SparkSession
 from castframe.schema import RENDERED
 from castframe.session import ship
 from castframe.sinks.images import published_images, write_images
+from castframe.sinks.tables import save_bucketed
 from castframe.sources.frames import walk_frames
 from castframe.sources.listing import FrameReader, folder_listing, listed_frames
+from castframe.sources.tables import with_embeddings
 import json
 spark = SparkSession.builder.master("local[2, 4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
 ship(spark, "castframe")

@@ -305,6 +305,11 @@ SELECT count(*) AS processed, count(*) AS skipped, count(*) AS errors, count(*)
             FROM fx_detections d JOIN embeddings e ON e.vec_id = d.face_id""",
         "fx_detections",
     ),
+    "bucketed_join": _sql(
+        """SELECT d.face_id, d.image_path, CAST(coalesce(len(e.embedding), 0) AS BIGINT) AS dims
+           FROM fx_detections d LEFT JOIN embeddings e ON e.vec_id = d.face_id""",
+        "fx_detections",
+    ),
     "embedding_coverage": _sql(
         """SELECT count(d.face_id) AS detected, count(e.vec_id) AS embedded,
                   count(*) FILTER (d.face_id IS NOT NULL AND e.vec_id IS NOT NULL) AS both,

@@ -355,6 +355,20 @@ def detections_with_embeddings(spark, sf_dir):
     return joined.select("face_id", "image_path", *_six("x1", "y1", "x2", "y2"), F.round(total, 6).alias("total"))
 
 
+@query
+def bucketed_join(spark, sf_dir):
+    """Detections and embeddings in equal buckets: joined, and those without a vector, where they lie."""
+    path = scratch(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    detections = sinks.save_bucketed(fx.detections(spark, sf_dir), f"{name}_faces", f"{path}/faces", buckets=buckets)
+    vectors = fx.faces(spark, sf_dir).select("face_id", "embedding")
+    vectors = sinks.save_bucketed(vectors, f"{name}_vectors", f"{path}/vectors", buckets=buckets)
+    found = tables.with_embeddings(detections, vectors).select("face_id", "image_path", F.size("embedding").cast("bigint").alias("dims"))
+    missing = detections.join(vectors, "face_id", "left_anti")
+    return found.unionByName(missing.select("face_id", "image_path", F.lit(0).cast("bigint").alias("dims")))
+
+
 @query
 def embedding_coverage(spark, sf_dir):
     return summary.embedding_coverage(fx.detections(spark, sf_dir), fx.faces(spark, sf_dir))
