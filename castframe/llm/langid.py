@@ -173,8 +173,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, fitted, text_col, **{k: v for k, v in settings.items() if k in ("dims", "seed")})
 
 
-def reject_unknown(docs: DataFrame, min_score: float = 0.03) -> DataFrame:
-    """Leave out texts without letters and those far from every learned language."""
+def reject_unknown(docs: DataFrame, min_score: float = 0.1, min_short: float = 0.03, letters: int = 64) -> DataFrame:
+    """Leave out texts without letters and those far from every learned language.
+
+    The cosine of unrelated vectors has a spread of 1/32, whatever the length: texts in
+    unlearned scripts reach 0.09. Texts of ``letters`` letters or more in a learned
+    language lie far above; they need ``min_score``. The cosines of shorter ones do not
+    tell noise from language, so these need ``min_short`` only.
+    """
     labelled = identify(docs.select("doc_id", "text", "lang", whole_row(docs).alias("_row")))
-    kept = labelled.where((F.col("lang_pred") != UND) & (F.col("score") >= min_score))
-    return kept.select("_row.*")
+    long = F.col("text").rlike(rf"(?s)(?:\p{{L}}\P{{L}}*+){{{letters}}}")
+    least = F.when(long, F.lit(min_score)).otherwise(F.lit(min_short))
+    return labelled.where((F.col("lang_pred") != UND) & (F.col("score") >= least)).select("_row.*")

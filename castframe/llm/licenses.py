@@ -11,14 +11,16 @@ prefix are cut into blocks.
 Beside this, places are reported where a phrase's words stand consecutively.
 
 Defined cases: a null text is empty and has no words. Rows alike in id and text are
-answered alike. A phrase that overlaps itself is counted without overlaps. Extra
-columns are not read. An empty table gives no rows.
+answered alike. A phrase that overlaps itself is counted without overlaps. Templates
+may be whole license texts: the blocks they are sought in are two to four times as long.
+Very long texts are many blocks. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import string
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,9 @@ from castframe.llm.common import text_key
 from castframe.session import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-STRIDE = 32  # blocks are twice as long; a passage of STRIDE + 1 words lies in one block as a whole
+GAP = r"[\p{ASCII}&&[^\p{Alnum}]]++"  # what WORD leaves, as Java reads it
+STRIDE = 32  # at least; a passage of one word more lies in one block as a whole
+ASCII_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 MAX_WORDS = 100_000  # of all templates together; they are sent to every task
 COARSE = (1 << 16) - 1
 
@@ -55,9 +58,10 @@ TEMPLATES = [
 
 
 def normal(text: Column) -> Column:
-    """Lower-case words with one space before, between and after them."""
+    """Words with one space before, between and after them, A-Z in lower case."""
     words = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), GAP, " "))
-    return F.when(words == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), F.lower(words), F.lit(" ")))
+    low = F.when(words.rlike(r"\P{ASCII}"), F.translate(words, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(words))
+    return F.when(words == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), low, F.lit(" ")))
 
 
 def _spaces(part: Column) -> Column:
@@ -74,18 +78,25 @@ def phrase_places(norm: Column, phrase: str) -> tuple[Column, Column, Column]:
 
 
 def _template_words(templates: list[tuple[str, str]]) -> list[list[str]]:
-    sets = [sorted(set(re.findall(WORD, text.lower()))) for _, text in templates]
+    sets = [sorted(set(re.findall(WORD, text.translate(ASCII_LOWER)))) for _, text in templates]
     if sum(map(len, sets)) > MAX_WORDS:
         raise ValueError(f"the templates have more than {MAX_WORDS} words")
-    if any(len(re.findall(WORD, text)) > STRIDE for _, text in templates):
-        raise ValueError(f"a template has more than {STRIDE} words")
     return sets
 
 
-def contained(docs: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+def by_stride(templates: list[tuple[str, str]]) -> dict[int, list[int]]:
+    """The places of the templates by the stride of their blocks, the power of two that is no less than their words."""
+    found: dict[int, list[int]] = {}
+    for at, (_, text) in enumerate(templates):
+        words = len(re.findall(WORD, text))
+        found.setdefault(max(STRIDE, 1 << (words - 1).bit_length() if words else 0), []).append(at)
+    return found
+
+
+def contained(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, stride: int = STRIDE) -> DataFrame:
     """(key, block, template, containment) for every block and template that match.
 
-    ``docs`` has key and norm. Block b has the words from b * STRIDE on.
+    ``docs`` has key and norm. Block b has 2 * stride words, from b * stride on.
     """
     spark = docs.sparkSession
     sets = _template_words(templates)
@@ -103,17 +114,17 @@ def contained(docs: DataFrame, templates: list[tuple[str, str]], threshold: floa
 
     # Blocks that hold a word of some prefix; the others cannot match.
     rare = sorted({w for _, w, _, _, _, _, p in rows if p})
-    seeds = words.where(F.col("word").isin(rare)).select("key", F.floor(F.col("at") / STRIDE).alias("half")).distinct()
+    seeds = words.where(F.col("word").isin(rare)).select("key", F.floor(F.col("at") / stride).alias("half")).distinct()
     blocks = materialize(
         seeds.select("key", F.explode(F.array(F.col("half") - 1, F.col("half"))).alias("block")).where("block >= 0").distinct(), "licenses-blocks"
     )
     coarse = blocks.select(F.col("key.hash").bitwiseAND(F.lit(COARSE)).alias("c")).distinct()  # 65,536 rows at most
     inside = words.join(F.broadcast(coarse), F.col("key.hash").bitwiseAND(F.lit(COARSE)) == F.col("c"), "left_semi").where(F.col("word").isin(vocabulary))
-    half = F.floor(F.col("at") / STRIDE)
+    half = F.floor(F.col("at") / stride)
     in_block = inside.select("key", "word", F.explode(F.array(half - 1, half)).alias("block")).distinct()
     wanted = blocks.select(F.col("key").alias("_key"), F.col("block").alias("_block"))
     sets_of = in_block.join(wanted, F.col("key").eqNullSafe(F.col("_key")) & (F.col("block") == F.col("_block")), "left_semi")
-    by_rank = Window.partitionBy("key", "block").orderBy("rank")  # a block has 2 * STRIDE words at most
+    by_rank = Window.partitionBy("key", "block").orderBy("rank")  # a block has 2 * stride words at most
     ranks = F.broadcast(spark.createDataFrame(list(rank.items()), "word string, rank int"))
     placed = materialize(
         sets_of.join(ranks, "word")
@@ -148,7 +159,13 @@ def scan(
     templates = TEMPLATES if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
     keyed = docs.select(F.col(id_col), text_key(F.col(id_col), F.col(text_col)).alias("key"), normal(F.col(text_col)).alias("norm"))
-    matched = contained(keyed.select("key", "norm"), templates, threshold)
+    matched = None
+    for stride, places in by_stride(templates).items():
+        part = contained(keyed.select("key", "norm"), [templates[at] for at in places], threshold, stride)
+        part = part.withColumn("template", F.get(F.array(*map(F.lit, places)), F.col("template")))
+        matched = part if matched is None else matched.union(part)
+    if matched is None:
+        matched = contained(keyed.select("key", "norm"), [], threshold)
     names = F.array(*[F.lit(label) for label, _ in templates])
     per_doc = matched.groupBy("key").agg(F.collect_set(F.get(names, F.col("template"))).alias("found"), F.max("containment").alias("best"))
     per_doc = per_doc.withColumnRenamed("key", "_key")

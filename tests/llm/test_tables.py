@@ -123,6 +123,35 @@ def test_licenses_against_all_blocks(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_whole_license_texts_are_found_wherever_they_stand(spark):
+    body = " ".join(f"term{i}" for i in range(150))
+    templates = [("long", body), ("short", "red green blue yellow black")]
+    words = body.split()
+    changed = " ".join(w for i, w in enumerate(words) if i % 6)  # five words of six are left
+    rows = [(i, " ".join([*["filler"] * (7 * i), changed if i % 2 else body, *["filler"] * 50]), "en", "s") for i in range(60)]
+    rows += [(100 + i, " ".join([*["filler"] * i, "red green blue yellow black", "filler"]), "en", "s") for i in range(40)]
+    rows += [(200, " ".join(words[:100]), "en", "s")]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows), templates=templates).collect()}
+    for i in range(60):
+        assert got[i].labels == "long" and got[i].score == pytest.approx(125 / 150 if i % 2 else 1)
+    assert {got[100 + i].labels for i in range(40)} == {"short"}
+    assert (got[200].labels, got[200].score) == ("", 0)
+
+
+def test_only_a_to_z_are_lowered(spark):
+    rows = [(1, "\u212aey ONE two", "en", "s"), (2, "KEY one TWO", "en", "s")]
+    got = {r.doc_id: r.labels for r in licenses.scan(documents(spark, rows), templates=[("k", "key one two")], threshold=1.0).collect()}
+    assert got == {1: "", 2: "k"}
+
+
+def test_words_are_counted_by_the_contract(spark):
+    texts = ["", None, " a-b_c ", "\u00e9t\u00e9 42,\u4e2d\u6587 \U0001f600x", "--", "z", "\u00a0\u2003x", "a\x00b\x7fc", *[chr(i) * 2 + "q" for i in range(1, 256)]]
+    made = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in made.select("text", mixing.word_count(F.col("text")).alias("n"), licenses.normal(F.col("text")).alias("norm")).collect():
+        words = re.findall(licenses.WORD, r.text or "")
+        assert (r.n, r.norm.split(" ")[1:-1]) == (len(words), [w.translate(licenses.ASCII_LOWER) for w in words])
+
+
 # -- neighbours --
 
 

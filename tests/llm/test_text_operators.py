@@ -103,6 +103,16 @@ def test_rejecting_keeps_rows_as_they_are(docs, rows):
     assert not {r[0] for r in kept.select("doc_id").collect()} & {1001, 1002, 1003, 1004}
 
 
+def test_scripts_of_no_language_go_and_clean_texts_stay(spark, rows):
+    draw = random.Random(3)
+    script = [chr(0x10D0 + i) for i in range(33)] + [" "] * 6
+    noise = [(5000 + i, "".join(draw.choice(script) for _ in range(draw.choice([120, 500, 3000]))), None, "s") for i in range(60)]
+    short = [(6000 + i, sentence(draw, ENGLISH, n), None, "s") for i, n in enumerate([1, 2, 3, 5, 8, 13, 21, 34] * 4)]
+    kept = {r[0] for r in langid.reject_unknown(documents(spark, [*rows, *noise, *short])).select("doc_id").collect()}
+    assert not kept & {i for i, *_ in noise}
+    assert kept >= {i for i, t, *_ in short if len(t.split()) >= 5}
+
+
 # -- SimHash --
 
 
