@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from castframe.session import materialize
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[\p{Alnum}\P{ASCII}]++"  # ASCII letters and digits, and all beyond ASCII
 POINTS, ROUNDS = 64, 9  # the interval shrinks by 64 in each round, to 2 ** -54 at last
 BISECTIONS = 50
 
