@@ -102,8 +102,10 @@ def contained(docs: DataFrame, templates: list[tuple[str, str]], threshold: floa
     sets = _template_words(templates)
     need = [math.ceil(threshold * len(s) - 1e-9) for s in sets]
     vocabulary = sorted(set().union(*sets))
+    # Texts are taken apart once: the templates' own words are written with their places, and all below reads these.
     words = docs.select("key", F.posexplode(F.split(F.trim("norm"), " ")).alias("at", "word"))
-    counts = {r["word"]: r["count"] for r in words.where(F.col("word").isin(vocabulary)).groupBy("word").count().collect()}
+    words = materialize(words.where(F.col("word").isin(vocabulary)), "licenses-words")
+    counts = {r["word"]: r["count"] for r in words.groupBy("word").count().collect()}
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     ordered = [sorted(s, key=rank.__getitem__) for s in sets]
     rows = [
@@ -119,7 +121,7 @@ def contained(docs: DataFrame, templates: list[tuple[str, str]], threshold: floa
         seeds.select("key", F.explode(F.array(F.col("half") - 1, F.col("half"))).alias("block")).where("block >= 0").distinct(), "licenses-blocks"
     )
     coarse = blocks.select(F.col("key.hash").bitwiseAND(F.lit(COARSE)).alias("c")).distinct()  # 65,536 rows at most
-    inside = words.join(F.broadcast(coarse), F.col("key.hash").bitwiseAND(F.lit(COARSE)) == F.col("c"), "left_semi").where(F.col("word").isin(vocabulary))
+    inside = words.join(F.broadcast(coarse), F.col("key.hash").bitwiseAND(F.lit(COARSE)) == F.col("c"), "left_semi")
     half = F.floor(F.col("at") / stride)
     in_block = inside.select("key", "word", F.explode(F.array(half - 1, half)).alias("block")).distinct()
     wanted = blocks.select(F.col("key").alias("_key"), F.col("block").alias("_block"))
