@@ -1,4 +1,4 @@
-"""Frame folders as a data source: one partition per folder, filters on movie and suffix before any listing."""
+"""Frame folders as a data source: tasks of many folders, filters on movie and suffix before any listing."""
 
 from __future__ import annotations
 
@@ -19,17 +19,23 @@ LISTED = T.StructType([*FRAMES.fields, T.StructField("suffix", T.StringType())])
 _ROWS = 20_000  # of a record batch
 
 
-class Folder(InputPartition):
-    """A folder that a task lists: with all below it, or its own files alone."""
+class Folders(InputPartition):
+    """Folders that a task lists, as (movie, path, deep): with all below them, or their own files alone."""
 
-    def __init__(self, movie: str, path: str, deep: bool):
-        super().__init__(f"{movie}\n{path}")
-        self.movie, self.path, self.deep = movie, path, deep
+    def __init__(self, folders: list[tuple[str, str, bool]]):
+        super().__init__(None)
+        self.folders = folders
+
+    @property
+    def path(self) -> str:
+        """The first of them."""
+        return self.folders[0][1] if self.folders else ""
 
 
 class FrameReader(DataSourceReader):
-    def __init__(self, roots: list[list[str]]):
+    def __init__(self, roots: list[list[str]], tasks: int = 64):
         self.roots = roots
+        self.tasks = tasks
         self.suffixes: set[str] | None = None
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
@@ -43,29 +49,33 @@ class FrameReader(DataSourceReader):
             else:
                 yield one
 
-    def partitions(self) -> list[Folder]:
-        """The folders directly inside each root, and the files of the root itself: one listing per movie here, the rest in tasks."""
+    def partitions(self) -> list[Folders]:
+        """The folders directly inside each root, and the files of the root itself: one listing per movie here, the rest in tasks.
+
+        The folders are dealt to ``tasks``, so that the cost of a task is not paid for each of them.
+        """
         found = []
         for movie, root in self.roots:
-            found.append(Folder(movie, root, False))
-            found += [Folder(movie, path, True) for path, _, is_folder in _entries(root) if is_folder]
-        return found or [Folder("", "", False)]
+            found.append((movie, root, False))
+            found += [(movie, path, True) for path, _, is_folder in _entries(root) if is_folder]
+        return [Folders(found[at :: self.tasks]) for at in range(min(self.tasks, len(found)))] or [Folders([])]
 
-    def read(self, partition: Folder) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Folders) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        todo = [partition.path] if partition.path else []
-        while todo:
-            for path, length, is_folder in _entries(todo.pop()):
-                if is_folder:
-                    todo += [path] if partition.deep else []
-                    continue
-                name, dot, suffix = path.rpartition("/")[2].rpartition(".")
-                suffix = suffix if dot else None
-                if self.suffixes is None or suffix in self.suffixes:
-                    rows.append((partition.movie, path, length, suffix))
-                if len(rows) == _ROWS:
-                    yield _batch(rows)
-                    rows = []
+        for movie, folder, deep in partition.folders:
+            todo = [folder]
+            while todo:
+                for path, length, is_folder in _entries(todo.pop()):
+                    if is_folder:
+                        todo += [path] if deep else []
+                        continue
+                    name, dot, suffix = path.rpartition("/")[2].rpartition(".")
+                    suffix = suffix if dot else None
+                    if self.suffixes is None or suffix in self.suffixes:
+                        rows.append((movie, path, length, suffix))
+                    if len(rows) == _ROWS:
+                        yield _batch(rows)
+                        rows = []
         yield _batch(rows)
 
 
@@ -76,7 +86,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class FrameFolders(DataSource):
-    """Option ``roots``: a JSON list of [movie, folder]."""
+    """Options ``roots``: a JSON list of [movie, folder], and ``tasks``: how many tasks list them at most."""
 
     @classmethod
     def name(cls) -> str:
@@ -86,22 +96,24 @@ class FrameFolders(DataSource):
         return LISTED
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return FrameReader(json.loads(self.options["roots"]))
+        return FrameReader(json.loads(self.options["roots"]), int(self.options["tasks"]))
 
 
-def folder_listing(spark: SparkSession, roots: DataFrame) -> DataFrame:
+def folder_listing(spark: SparkSession, roots: DataFrame, tasks: int | None = None) -> DataFrame:
     """All files (movie, path, length, suffix) below the folders of ``roots`` (movie, folder), a row for each movie.
 
     Nothing is listed until the result is used, and filters on ``movie`` and ``suffix``
     decide first which folders and files are looked at. A folder that is missing has no files;
-    hidden names are kept, links to folders are not followed.
+    hidden names are kept, links to folders are not followed. Folders are dealt to
+    ``tasks``, by default the number of shuffle partitions.
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FrameFolders)
     named = [[r["movie"], r["folder"]] for r in roots.select("movie", "folder").toLocalIterator()]
     if any(movie is None for movie, _ in named):
         raise ValueError("every frame needs a movie")
-    return spark.read.format("castframe_frames").option("roots", json.dumps(named)).load()
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.format("castframe_frames").option("roots", json.dumps(named)).option("tasks", tasks).load()
 
 
 def listed_frames(spark: SparkSession, roots: DataFrame) -> DataFrame:
