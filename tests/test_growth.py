@@ -1,6 +1,10 @@
 """What must grow no faster than the input: tasks, shuffled rows, pixels."""
 
+from pyspark.sql import functions as F
+
+from castframe.operators.numbering import number_rows
 from castframe.sources.listing import FrameReader, folder_listing
+from workload import fixtures as fx
 
 
 def test_folders_share_tasks(spark, tmp_path):
@@ -14,3 +18,27 @@ def test_folders_share_tasks(spark, tmp_path):
     assert sorted(r.length for r in listed.collect()) == list(range(60))
     tasks = FrameReader([["m", str(tmp_path)]], 7).partitions()
     assert sorted(len(t.folders) for t in tasks) == [8, 8, 9, 9, 9, 9, 9]  # the root's own files too
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbering_shuffles_no_rows_for_their_offsets(spark):
+    numbered = number_rows(spark.range(1000).withColumn("wide", F.repeat(F.lit("x"), 100)), [F.desc("id")], "n")
+    assert "BroadcastHashJoin" in plan_of(numbered) and "hashpartitioning" not in plan_of(numbered)
+    assert numbered.where(F.col("n") != 1000 - F.col("id")).count() == 0
+
+
+def test_lines_are_numbered_before_they_are_widened(spark, sf_dir):
+    stored = numbering_input(fx.numbered_detections(spark, sf_dir))
+    assert "image_path" not in stored and {*fx.LINE_ORDER} <= stored
+    raw = fx.number_detections(fx.raw_detections(spark, sf_dir))
+    same = fx.detections(spark, sf_dir).select(*raw.columns)
+    assert raw.exceptAll(same).isEmpty() and same.exceptAll(raw).isEmpty()
+
+
+def numbering_input(df):
+    """The columns of the table that the numbering has written."""
+    path = next(f for f in df.inputFiles() if "numbered-" in f)
+    return set(df.sparkSession.read.parquet(path).columns)
