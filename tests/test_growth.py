@@ -1,10 +1,13 @@
 """What must grow no faster than the input: tasks, shuffled rows, pixels."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from castframe.operators import inference
 from castframe.operators.numbering import number_rows
 from castframe.sources.listing import FrameReader, folder_listing
 from workload import fixtures as fx
+from workload import stubs
 
 
 def test_folders_share_tasks(spark, tmp_path):
@@ -42,3 +45,18 @@ def numbering_input(df):
     """The columns of the table that the numbering has written."""
     path = next(f for f in df.inputFiles() if "numbered-" in f)
     return set(df.sparkSession.read.parquet(path).columns)
+
+
+def test_corners_are_rounded_for_a_whole_batch_as_for_one_box():
+    usual = [(0.5, 1.5, 2.5, 3.5), (0, 0, 4, 4), (1, 1, 1, 1), (-0.4, -0.5, 3, 3)]
+    odd = [(3, 3, 2, 4), (-1, 0, 2, 2), (0, 0, float("inf"), 1), (0, float("nan"), 1, 1), (0, 0, 1e12, 1)]
+    corners = inference._whole_corners(np.array(usual + odd, np.float64))
+    assert corners[len(usual) :] == [None] * len(odd)
+    pixels = np.arange(5 * 5 * 3).reshape(5, 5, 3)
+    for box, (x1, y1, x2, y2) in zip(usual, corners):
+        assert np.array_equal(pixels[y1:y2, x1:x2], inference.crop(pixels, box))
+
+
+def test_embedding_passes_its_rows_through(spark, sf_dir):
+    plan = plan_of(inference.embed(fx.detections(spark, sf_dir), stubs.size_embedder, "m", stubs.read_some_frames))
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
