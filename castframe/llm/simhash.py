@@ -31,7 +31,11 @@ from castframe.session import materialize, ship
 
 LEVELS = (6, 10, 16)  # blocks; a list of the last agrees in 52 bits, so it has 4,096 members at most
 LONGEST_LIST = 512
-ROWS, BANDS = 4, 14  # of the pipeline's near copies
+# Of the pipeline's near copies: bits of a block, blocks, and bits of 128 that near ones differ in at most.
+BLOCK, TABLES, APART = 14, 65, 40
+FEW = 64  # members of a list that is compared together with others
+BITS = 128 + BLOCK * TABLES + -(BLOCK * TABLES) % 8  # eight of a number
+_STEPS = np.arange(1, BITS // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def fingerprint_of(text: str | None, words: int = 3) -> int:
@@ -162,13 +166,127 @@ def word_shingles(plain: Column, words: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.array(F.split(plain, " ")), runs)))  # nested, so that a text is split once
 
 
+def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The bits of a fingerprint for blocks and sketch, from the 64-bit hashes of distinct shingles.
+
+    A shingle's hash gives a number from -128 to 127 for each bit, and a bit is the sign of
+    their sum. With such weights few shingles make no ties, so sets of any size differ in as many bits.
+    """
+    total = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 10):
+        mixed = hashes[at : at + (1 << 10)].view(np.uint64)[:, None] + _STEPS
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        total += (mixed ^ (mixed >> np.uint64(31))).view(np.int8).sum(axis=0, dtype=np.int32)
+    return total * 2 > -len(hashes)  # the mean of the numbers is -1/2
+
+
+def _blocks(sets: DataFrame) -> DataFrame:
+    """(l1, l2, lists, x, y) of rows (l1, l2, s): the block values of the fingerprint, each with its table, and 128 further bits."""
+    ship(sets.sparkSession)
+    powers = 1 << np.arange(BLOCK, dtype=np.int64)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("s")
+            ends, flat = hashes.offsets.to_numpy(), hashes.values.to_numpy()
+            lists, sketches = [], []
+            for start, end in zip(ends, ends[1:]):
+                bits = long_fingerprint(flat[start:end])
+                lists.append(bits[128 : 128 + TABLES * BLOCK].reshape(TABLES, BLOCK) @ powers + (np.arange(TABLES) << BLOCK))
+                sketches.append(np.packbits(bits[:128]).view(np.int64))
+            x, y = np.array(sketches, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("l1"), batch.column("l2"), pa.array(lists, pa.list_(pa.int64())), pa.array(x), pa.array(y)],
+                names=["l1", "l2", "lists", "x", "y"],
+            )
+
+    return sets.mapInArrow(made, "l1 long, l2 long, lists array<long>, x long, y long")
+
+
+def _near(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(sketch ^ others).sum(axis=-1) <= APART
+
+
+def _groups(sketches: np.ndarray) -> np.ndarray:
+    """For each sketch the place of the first of its group: those that are near one another, directly or through others."""
+    root = np.arange(len(sketches))
+    if len(sketches) <= 256 and np.count_nonzero(_near(sketches[:, None], sketches)) == len(sketches):
+        return root
+    left = root.copy()
+    while len(left):
+        first, front, left = left[0], [left[0]], left[1:]
+        while front and len(left):
+            near = _near(sketches[front.pop()], sketches[left])
+            root[left[near]] = first
+            front += left[near].tolist()
+            left = left[~near]
+    return root
+
+
+def _with_near_pairs(rows: np.ndarray) -> np.ndarray:
+    """The rows (list, l1, l2, x, y) of lists in which some are near, or that have more than ``FEW`` members."""
+    names, sketches = rows[:, 0], rows[:, 3:].view(np.uint64)
+    wanted = np.zeros(len(rows), bool)
+    for apart in range(1, FEW + 1):  # all lists at once
+        at = np.flatnonzero(names[apart:] == names[:-apart])
+        if not len(at):
+            break
+        wanted[at] |= _near(sketches[at], sketches[at + apart]) | (apart == FEW)
+    return rows[np.isin(names, np.unique(names[wanted]))]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (l1, l2, list, root) of the groups of two or more in lists that arrive one after the other."""
+    held: list[np.ndarray] = []  # of the list that the batch before ended in
+
+    def bands(rows: np.ndarray) -> Iterator[np.ndarray]:
+        rows = _with_near_pairs(rows)
+        cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
+        for part in np.split(rows, cuts):
+            if len(part) > 1:
+                root = _groups(part[:, 3:].view(np.uint64))
+                several = np.bincount(root, minlength=len(root))[root] > 1
+                if several.any():
+                    yield np.column_stack([part[several, :3], part[root[several], 1]])
+
+    def out(found: list[np.ndarray]) -> pa.RecordBatch:
+        name, l1, l2, root = np.concatenate(found or [np.empty((0, 4), np.int64)]).T
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (l1, l2, name, root)], names=["l1", "l2", "list", "root"])
+
+    for batch in batches:
+        rows = np.column_stack([batch.column(c).to_numpy() for c in ("list", "l1", "l2", "x", "y")])
+        if not len(rows):
+            continue
+        same = len(rows) if rows[0, 0] == rows[-1, 0] else int(np.flatnonzero(rows[:, 0] != rows[-1, 0])[-1]) + 1
+        if held and held[0][0, 0] == rows[-1, 0]:  # the whole batch goes on with the list
+            held.append(rows)
+            continue
+        same = 0 if rows[0, 0] == rows[-1, 0] else same
+        yield out(list(bands(np.concatenate([*held, rows[:same]]))))
+        held = [rows[same:]]
+    if held:
+        yield out(list(bands(np.concatenate(held))))
+
+
+def near_bands(sets: DataFrame) -> DataFrame:
+    """(l1, l2, bands) of rows (l1, l2, s) that have near copies: what they share a band with agrees in a block and is near in Hamming distance."""
+    blocks = materialize(_blocks(sets), "near-prints")
+    listed = blocks.select(F.explode("lists").alias("list"), "l1", "l2", "x", "y")
+    found = listed.repartition("list").sortWithinPartitions("list").mapInArrow(_grouped, "l1 long, l2 long, list long, root long")
+    return found.groupBy("l1", "l2").agg(F.collect_list(F.xxhash64("list", "root")).alias("bands"))
+
+
 def keep_first(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row of each group of near copies, the one with the smallest id and then text.
 
     Near copies have a Jaccard similarity of ``threshold`` or more on their shingles,
-    which is computed exactly. Fingerprints of such texts differ in 10 of 64 bits at
-    0.8, so no choice of their blocks is both selective and safe; the candidates share
-    one of 14 bands of four least hashes, as 99.9 % of pairs at 0.8 do.
+    which is computed exactly. Candidates come from SimHash fingerprints of the same shingles:
+    texts at 0.8 differ in 15 of 100 bits, so 99.8 % of them agree in one of 65 blocks of
+    14 bits. Within a block, texts are grouped by the Hamming distance of 128 further bits,
+    of which unrelated ones differ in 64, give or take 6, and those at 0.8 in 19, give or take 4;
+    the groups take the place of bands. All pairs of a group are judged. A list of texts alike in a
+    block by chance grows with the table (one text in 16,384), in a task's vector operations alone.
     """
     keyed = docs.select(text_key(F.col("doc_id"), F.col("text")).alias("_key"), whole_row(docs).alias("_row"), F.col("text").alias("_text"))
     texts = keyed.select(F.col("_key").alias("key"), plain_words(F.col("_text")).alias("line"))
@@ -178,8 +296,8 @@ def keep_first(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataF
         return word_shingles(plain, words)
 
     distinct = texts.select("l1", "l2", "line").dropDuplicates(["l1", "l2"])
-    hashed = distinct.select("l1", "l2", F.explode(taken(F.col("line"))).alias("h"))
-    signed = materialize(linededup.banded(hashed, ROWS, BANDS, ROWS * BANDS), "near-signed")
+    bounded_batches(docs.sparkSession)
+    signed = materialize(near_bands(distinct.select("l1", "l2", taken(F.col("line")).alias("s"))), "near-signed")
     roots = linededup.similar(signed, texts, threshold, taken)
     rooted = texts.select("key", "l1", "l2").join(roots, ["l1", "l2"], "left")
     least = rooted.groupBy(F.coalesce("r1", "l1").alias("r1"), F.coalesce("r2", "l2").alias("r2")).agg(F.min("key").alias("_kept"))
