@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from castframe.session import materialize
 
-WORD = r"[\p{Alnum}\P{ASCII}]++"  # ASCII letters and digits, and all beyond ASCII
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+JAVA_WORD = r"[\p{Alnum}\P{ASCII}]++"  # the same, as Java reads it faster
 POINTS, ROUNDS = 64, 9  # the interval shrinks by 64 in each round, to 2 ** -54 at last
 BISECTIONS = 50
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(JAVA_WORD)), F.lit(0)).cast("long")
 
 
 def source_shares(counted: DataFrame) -> DataFrame:
