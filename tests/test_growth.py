@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from castframe.operators import inference
 from castframe.operators.numbering import number_rows
+from castframe.sinks import images
 from castframe.sources.listing import FrameReader, folder_listing
 from workload import fixtures as fx
-from workload import stubs
+from workload import queries, stubs
 
 
 def test_folders_share_tasks(spark, tmp_path):
@@ -60,3 +61,22 @@ def test_corners_are_rounded_for_a_whole_batch_as_for_one_box():
 def test_embedding_passes_its_rows_through(spark, sf_dir):
     plan = plan_of(inference.embed(fx.detections(spark, sf_dir), stubs.size_embedder, "m", stubs.read_some_frames))
     assert "MapInArrow" in plan and "MapInPandas" not in plan
+
+
+def test_pixels_stay_in_the_task_that_draws_them(spark, sf_dir, tmp_path, monkeypatch):
+    seen, draw = [], images.draw_images
+    monkeypatch.setattr(images, "draw_images", lambda make, *rest: draw(lambda store: seen.append(make(store)) or seen[-1], *rest))
+    rows = queries.QUERIES["published_images"](spark, sf_dir).collect()
+    assert "pixels" not in seen[0].columns and "file" in seen[0].columns
+    done = [r for r in rows if r.status == "processed"]
+    assert done and all(r.file_bytes == r.height for r in done)
+
+    def full(file, pixels):
+        if file.endswith("1.jpg"):
+            raise OSError("disk full")
+        stubs.write_size(file, pixels)
+
+    path = str(tmp_path / "images")
+    draw(lambda store: queries._rendered(spark, sf_dir, store), path, full)
+    lost = [r for r in images.published_images(spark, path).collect() if r.error == "OSError: disk full"]
+    assert lost and all((r.status, r.faces_drawn, r.file, r.height) == ("error", 0, None, None) for r in lost)
